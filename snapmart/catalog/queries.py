@@ -32,7 +32,7 @@ def query(fn: Query) -> Query:
 
 
 def rounded(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({n: F.round(n, 6) for n in names})
+    return df.withColumns({n: F.round(n, 9) for n in names})
 
 
 def labels(spark, sf_dir):
@@ -246,7 +246,8 @@ def parse_number_query(spark, sf_dir):
 @query
 def iqr_fences(spark, sf_dir):
     fences = clean.iqr_fences(view(spark, sf_dir, "fx_financial"), clean.FINANCIAL_SPECS)
-    return rounded(fences, "q1", "q3", "upper")
+    table_rows = [(c, f["q1"], f["q3"], f["upper"]) for c, f in fences.items()]
+    return rounded(spark.createDataFrame(table_rows, "column string, q1 double, q3 double, upper double"), "q1", "q3", "upper")
 
 
 def numeric(column, spec):

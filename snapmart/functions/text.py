@@ -1,12 +1,11 @@
 """Text normalisation as Column expressions; everything stays inside codegen."""
 
-from itertools import chain
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- fixed values: tokens that count as missing -------------------------------------------
-# compared after norm_token, which writes "nan" for NULL and folds both long dashes to "-"
+# compared in lower case without outer white space; "nan" also stands for NULL, "-" for any
+# dash, and white space around a slash does not count
 MISSING_TOKENS = ["unknown", "unk", "na", "n/a", "null", "none", "nan", "-", ""]
 
 # texts a CSV reader of the source system nulls at ingest
@@ -40,13 +39,16 @@ EMPLOYMENT_SPELLINGS = {
 # misread digits of an income bracket, applied in this order
 INCOME_DIGIT_FIXES = [("1[tfq]0", "150"), ("6[zf]", "60"), ("[mqv]", "0")]
 
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# --- fixed values: the characters that count as white space --------------------------------
+WHITE_SPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+               "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+
 _INNER_SPACE = r"(?U)[\s\x1c-\x1f]+"
 
 
 def strip_text(c: Column) -> Column:
-    """Strip Unicode white space on both ends (``trim`` removes U+0020 only)."""
-    return F.regexp_replace(c.cast("string"), _EDGE_SPACE, "")
+    """Strip Unicode white space on both ends (plain ``trim`` removes U+0020 only)."""
+    return F.btrim(c.cast("string"), F.lit(WHITE_SPACE))
 
 
 def as_text(c: Column) -> Column:
@@ -64,13 +66,20 @@ def fold_dashes(c: Column) -> Column:
     return F.translate(c, "—–", "--")
 
 
-def norm_token(c: Column) -> Column:
-    """Form in which cells are compared with the missing tokens."""
-    return F.regexp_replace(fold_dashes(fold_case(c)), r"\s*/\s*", "/")
-
-
 def is_missing_token(c: Column, tokens=MISSING_TOKENS) -> Column:
-    return norm_token(c).isin(*tokens)
+    """Does a text cell hold a missing token?
+
+    Dashes and slashes are handled in the list of compared values rather than by rewriting
+    every cell; only a cell that starts and ends like a token with a slash meets a pattern.
+    """
+    s = fold_case(c)
+    plain = [v for t in tokens if "/" not in t for v in dict.fromkeys((t, t.replace("-", "—"), t.replace("-", "–")))]
+    out = s.isin(*plain)
+    for t in tokens:
+        if "/" in t:
+            left, right = t.split("/", 1)
+            out = out | (s.startswith(left) & s.endswith(right) & s.rlike(rf"^{left}\s*/\s*{right}$"))
+    return out
 
 
 def null_if_missing(c: Column, tokens=MISSING_TOKENS) -> Column:
@@ -81,15 +90,12 @@ def null_csv_tokens(c: Column) -> Column:
     return F.when(~c.isin(*CSV_NULL_TOKENS), c)
 
 
-def spelling_map(spellings: dict) -> Column:
-    """Literal map from each known spelling to its canonical value."""
-    pairs = [(raw, canon) for canon, raws in spellings.items() for raw in raws]
-    return F.create_map(*[F.lit(x) for x in chain.from_iterable(pairs)])
-
-
 def replace_known(c: Column, spellings: dict) -> Column:
     """Replace known spellings and leave every other text as it is."""
-    return F.coalesce(F.try_element_at(spelling_map(spellings), c), c)
+    out = c
+    for canonical, known in spellings.items():
+        out = F.when(c.isin(*known), canonical).otherwise(out)
+    return out
 
 
 def yes_no_text(c: Column) -> Column:

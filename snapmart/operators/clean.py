@@ -1,6 +1,7 @@
 """Cleaners for the four feature tables."""
 
 from dataclasses import dataclass
+from math import floor, isfinite
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from snapmart.functions.dates import ISO_DATE, parse_date
 from snapmart.functions.numbers import cap_at, parse_number, round_half_even
 from snapmart.operators.fuzzy import DEMOGRAPHIC_SPECS, canonicalize
-from snapmart.operators.ordering import exact_quantiles, row_of
+from snapmart.operators.ordering import exact_quantiles
 from snapmart.operators.rows import drop_value, normalize_headers, normalize_key
 
 QUARTILES = {"q1": 0.25, "q3": 0.75}
@@ -70,19 +71,18 @@ FINANCIAL_KEEP = ("MonthlyCharges", "AverageDataUsage", "AppLoginFrequency",
                   "CustomerSatisfactionScore", "customerID")
 
 
-def iqr_fences(df: DataFrame, specs: dict[str, NumericSpec]) -> DataFrame:
-    """(column, q1, q3, upper) of all fenced columns in one job."""
+def iqr_fences(df: DataFrame, specs: dict[str, NumericSpec]) -> dict:
+    """Fit ``{column: {"q1", "q3", "upper"}}`` of all fenced columns together."""
     values = {c: s.fenced(s.base(parse_number(F.col(c)))) for c, s in specs.items()}
-    k = F.coalesce(*[F.when(F.col("column") == c, F.lit(float(s.iqr_k))) for c, s in specs.items()])
-    spread = F.greatest(F.col("q3") - F.col("q1"), F.lit(0.0))
-    return exact_quantiles(df, values, QUARTILES).withColumn("upper", F.col("q3") + k * spread)
+    return {c: q | {"upper": q["q3"] + specs[c].iqr_k * max(q["q3"] - q["q1"], 0.0)}
+            for c, q in exact_quantiles(df, values, QUARTILES).items()}
 
 
-def clean_numeric(df: DataFrame, specs: dict[str, NumericSpec], fences: DataFrame | None = None) -> DataFrame:
+def clean_numeric(df: DataFrame, specs: dict[str, NumericSpec], fences: dict | None = None) -> DataFrame:
     """Clean numeric text columns, keeping a raw copy and quality flags of each.
 
-    The upper fences of all columns come from one fitted table, which enters the expressions
-    as a scalar subquery; the frame itself is read once and not shuffled.
+    The upper fences are fitted constants (pass ``fences`` to reuse earlier ones); the frame
+    itself is then read once and not shuffled. A column without values has no fence.
     """
     specs = {c: s for c, s in specs.items() if c in df.columns}
     if not specs:
@@ -90,16 +90,14 @@ def clean_numeric(df: DataFrame, specs: dict[str, NumericSpec], fences: DataFram
     fences = iqr_fences(df, specs) if fences is None else fences
     extra = {f"{c}_raw": F.col(c) for c in specs if f"{c}_raw" not in df.columns}
     out = (df.withColumns(extra)
-           .withColumns({f"_num_{c}": parse_number(F.col(c)) for c in specs})
-           .withColumn("_fence", row_of(fences, specs, "upper")))
+           .withColumns({f"_num_{c}": parse_number(F.col(c)) for c in specs}))
     cols = {}
     for c, s in specs.items():
         num = F.col(f"_num_{c}")
         x = s.base(num)
-        upper = F.col("_fence")[c]["upper"]
-        if s.whole and s.outlier == "clip":
-            upper = F.floor(upper).cast("double")
-        high = F.coalesce(x > F.col("_fence")[c]["upper"], F.lit(False))
+        fence = fences.get(c, {}).get("upper", float("inf"))
+        upper = F.lit(float(floor(fence)) if s.whole and isfinite(fence) else fence)
+        high = F.coalesce(x > F.lit(fence), F.lit(False))
         cols[f"{c}_was_negative"] = F.coalesce(num < 0, F.lit(False))
         if s.whole:
             cols[f"{c}_was_fractional"] = F.coalesce(num.isNotNull() & (num >= 0) & (num % 1 != 0), F.lit(False))
@@ -111,7 +109,7 @@ def clean_numeric(df: DataFrame, specs: dict[str, NumericSpec], fences: DataFram
         if s.digits is not None:
             value = round_half_even(value, s.digits)
         cols[c] = value.cast("bigint") if s.whole else value
-    return out.withColumns(cols).drop("_fence", *[f"_num_{c}" for c in specs])
+    return out.withColumns(cols).drop(*[f"_num_{c}" for c in specs])
 
 
 def clean_financial(df: DataFrame, key: str = "customerID", order: str | None = None) -> DataFrame:

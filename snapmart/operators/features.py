@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from snapmart.functions.dates import day_number, quarter_number, weekday_number
 from snapmart.operators.lookup import lookup_join, staged_lookup
-from snapmart.operators.ordering import exact_medians, long_values, modes, row_of
+from snapmart.operators.ordering import exact_medians, long_values, modes
 from snapmart.operators.schema import CALENDAR_NAMES, numeric_columns, text_columns
 
 UNKNOWN = "Unknown"
@@ -31,39 +31,27 @@ def calendar_features(df: DataFrame, columns=None) -> DataFrame:
 
 def impute_median(df: DataFrame, columns, fit_on: DataFrame | None = None) -> DataFrame:
     """Fill NULL with the exact median of ``fit_on`` (default: the frame itself)."""
-    columns = list(columns)
-    fitted = exact_medians(df if fit_on is None else fit_on, {c: F.col(c) for c in columns})
-    return (df.withColumn("_fit", row_of(fitted, columns, "median"))
-            .withColumns({c: F.coalesce(F.col(c).cast("double"), F.col("_fit")[c]["median"]) for c in columns})
-            .drop("_fit"))
+    fitted = exact_medians(df if fit_on is None else fit_on, list(columns))
+    return df.withColumns({
+        c: F.coalesce(F.col(c).cast("double"), F.lit(m).cast("double")) for c, m in fitted.items()})
 
 
 def impute_mode(df: DataFrame, columns, fit_on: DataFrame | None = None) -> DataFrame:
     """Fill NULL with the most frequent value of ``fit_on``, the smallest of tied ones."""
-    columns = list(columns)
-    fitted = modes(df if fit_on is None else fit_on, {c: F.col(c) for c in columns})
-    return (df.withColumn("_fit", row_of(fitted, columns, "value"))
-            .withColumns({c: F.coalesce(F.col(c), F.col("_fit")[c]["value"]) for c in columns})
-            .drop("_fit"))
+    fitted = modes(df if fit_on is None else fit_on, columns)
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v).cast("string")) for c, v in fitted.items()})
 
 
-def deviations(df: DataFrame, columns) -> DataFrame:
-    """(column, std): population deviations in one aggregate; 1 for a constant column."""
-    def std(c):
-        s = F.stddev_pop(c)
-        return F.when(s > 0, s).otherwise(F.lit(1.0))
-    row = df.agg(*[std(c).alias(c) for c in columns])
-    return row.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).alias("std")) for c in columns])))
+def deviations(df: DataFrame, columns) -> dict:
+    """``{column: population deviation}`` in one aggregate; 1 for a constant column."""
+    row = df.agg(*[F.stddev_pop(c).alias(c) for c in columns]).first()
+    return {c: row[c] or 1.0 for c in columns}
 
 
 def scale_by_std(df: DataFrame, columns, fit_on: DataFrame | None = None) -> DataFrame:
     """Divide by the population deviation; no centring."""
-    columns = list(columns)
-    fitted = deviations(df if fit_on is None else fit_on, columns)
-    return (df.withColumn("_fit", row_of(fitted, columns, "std"))
-            .withColumns({c: F.col(c) / F.col("_fit")[c]["std"] for c in columns})
-            .drop("_fit"))
+    fitted = deviations(df if fit_on is None else fit_on, list(columns))
+    return df.withColumns({c: F.col(c) / F.lit(s) for c, s in fitted.items()})
 
 
 def fill_missing(df: DataFrame, fit_on: DataFrame | None = None, exclude=()) -> DataFrame:

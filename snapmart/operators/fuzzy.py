@@ -1,9 +1,9 @@
 """Fuzzy canonicalisation of noisy categories.
 
-Three steps: normalise and replace known spellings with built-in expressions; score only the
-*distinct* remaining values against the choices; join the accepted ones back. The string
-similarity is the one thing here that Spark has no expression for, so it is an Arrow UDF over
-the distinct values.
+A dictionary job works on the *distinct* normalised values of a column: known spellings are
+replaced, the rest is scored against the choices, and what is close enough enters the
+dictionary. Rows are then only normalised and looked up. The string similarity is the one thing
+here that Spark has no expression for, so it is an Arrow UDF over the distinct values.
 """
 
 from collections.abc import Callable
@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.functions import text
-from snapmart.operators.lookup import MAX_BROADCAST_ROWS, lookup_join, staged_lookup
+from snapmart.operators.lookup import MAX_BROADCAST_ROWS
 from snapmart.operators.ordering import long_values
+from snapmart.session import stage
 
 
 @dataclass(frozen=True)
@@ -30,12 +31,10 @@ class FuzzySpec:
     inclusive: bool = False
     show: Callable[[Column], Column] = lambda c: c
 
-    def known(self, c: Column) -> Column:
-        """Normalised value with known spellings replaced; NULL where it stands for missing."""
-        s = self.prepare(c)
-        if self.spellings:
-            s = text.replace_known(s, self.spellings)
-        return F.when(~s.isin(*self.missing), s)
+    def known(self, prepared: Column) -> Column:
+        """Known spellings of a normalised value replaced; NULL where it stands for missing."""
+        s = text.replace_known(prepared, self.spellings)
+        return F.when(~s.isin(*self.missing), s) if self.missing else s
 
     def accepted(self, score: Column) -> Column:
         return score >= self.min_score if self.inclusive else score > self.min_score
@@ -75,55 +74,78 @@ def best_match_udf(choices_by_column: dict):
     return F.pandas_udf(best_match, "best string, score double")
 
 
-def fuzzy_dictionary(df: DataFrame, specs: dict[str, FuzzySpec]) -> DataFrame:
-    """(column, raw, best, score) of every distinct value that is not a known one.
+def distinct_texts(df: DataFrame, specs: dict[str, FuzzySpec]) -> DataFrame:
+    """(column, text, known) of the distinct normalised values of all columns, combined map-side."""
+    texts = df.select(*[s.prepare(F.col(c)).alias(c) for c, s in specs.items()])
+    values = long_values(texts, {c: F.col(c) for c in specs}, values="text").distinct()
+    known = F.lit(None).cast("string")
+    for c, s in specs.items():
+        known = F.when(F.col("column") == c, s.known(F.col("text"))).otherwise(known)
+    return values.withColumn("known", known)
 
-    Cost follows the number of distinct values: the distinct runs map-side first, and a
-    value that already is a choice never reaches the UDF.
-    """
-    known = df.select(*[s.known(F.col(c)).alias(c) for c, s in specs.items()])
-    open_values = {c: F.when(~F.col(c).isin(*s.choices), F.col(c)) for c, s in specs.items()}
-    values = long_values(known, open_values, values="raw").distinct()
+
+def _is_choice(specs: dict[str, FuzzySpec], value: str) -> Column:
+    out = F.lit(False)
+    for c, s in specs.items():
+        out = F.when(F.col("column") == c, F.col(value).isin(*s.choices)).otherwise(out)
+    return out
+
+
+def _scored(texts: DataFrame, specs: dict[str, FuzzySpec]) -> DataFrame:
+    """Add ``best`` and ``score``; a value that already is a choice does not reach the UDF."""
     match = best_match_udf({c: s.choices for c, s in specs.items()})
-    return values.withColumn("_m", match("column", "raw")).select(
-        "column", "raw", "_m.best", "_m.score")
+    open_value = F.when(~_is_choice(specs, "known"), F.col("known"))
+    return (texts.withColumn("_m", match("column", open_value))
+            .withColumns({"best": F.col("_m.best"), "score": F.col("_m.score")}).drop("_m"))
+
+
+def fuzzy_dictionary(df: DataFrame, specs: dict[str, FuzzySpec]) -> DataFrame:
+    """(column, raw, best, score) of every distinct value that is not a known one."""
+    scored = _scored(distinct_texts(df, specs), specs).filter(F.col("score").isNotNull())
+    return scored.select("column", F.col("known").alias("raw"), "best", "score").distinct()
+
+
+def category_dictionary(df: DataFrame, specs: dict[str, FuzzySpec]) -> DataFrame:
+    """(column, text, value): the canonical value of every distinct normalised text that has one."""
+    accepted = F.lit(None).cast("string")
+    shown = F.lit(None).cast("string")
+    for c, s in specs.items():
+        here = F.col("column") == c
+        accepted = F.when(here, F.when(s.accepted(F.col("score")), F.col("best"))).otherwise(accepted)
+        shown = F.when(here, s.show(F.col("_value"))).otherwise(shown)
+    value = F.coalesce(F.when(_is_choice(specs, "known"), F.col("known")), accepted)
+    return (_scored(distinct_texts(df, specs), specs).withColumn("_value", value)
+            .filter(F.col("_value").isNotNull()).select("column", "text", shown.alias("value")))
 
 
 def canonicalize(df: DataFrame, specs: dict[str, FuzzySpec],
                  max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Replace each column of ``specs`` by its canonical value, or NULL where none is close enough.
 
-    The dictionary is staged and counted. While it is small it is broadcast, so that the frame
-    itself is neither shuffled nor sent to Python. A larger one would make every row take part
-    in a shuffle per column; then the same UDF runs on the rows in place, which needs no
-    shuffle and is indifferent to hot values.
+    The dictionary is staged and counted. While the part of each column is small it is
+    broadcast, so that the frame itself is neither shuffled nor sent to Python. A larger one
+    would make every row take part in a shuffle per column; then the same UDF runs on the rows
+    in place, which needs no shuffle and is indifferent to hot values.
     """
     specs = {c: s for c, s in specs.items() if c in df.columns}
     if not specs:
         return df
-    accepted = [(F.col("column") == c) & s.accepted(F.col("score")) for c, s in specs.items()]
-    any_accepted = accepted[0]
-    for a in accepted[1:]:
-        any_accepted = any_accepted | a
-    table, n_rows = staged_lookup(
-        fuzzy_dictionary(df, specs).filter(any_accepted).select("column", "raw", "best"))
-    if n_rows > max_rows:
+    table = stage(category_dictionary(df, specs))
+    sizes = {r["column"]: r["count"] for r in table.groupBy("column").count().collect()}
+    if max(sizes.values(), default=0) > max_rows:
         return canonicalize_in_place(df, specs)
-    out = df
-    for c, s in specs.items():
-        part = table.filter(F.col("column") == c).select(
-            F.col("raw").alias("_raw"), F.col("best").alias("_best"))
-        known = s.known(F.col(c))
-        out = lookup_join(out.withColumn("_raw", known), part, n_rows, ["_raw"], max_rows)
-        value = F.when(F.col("_raw").isin(*s.choices), F.col("_raw")).otherwise(F.col("_best"))
-        out = out.withColumn(c, s.show(value)).drop("_raw", "_best")
-    return out.select(*df.columns)
+    out = df.withColumns({f"_text_{c}": s.prepare(F.col(c)) for c, s in specs.items()})
+    for c in specs:
+        part = F.broadcast(table.filter(F.col("column") == c).select(
+            F.col("text").alias(f"_text_{c}"), F.col("value").alias(f"_value_{c}")))
+        out = out.join(part, f"_text_{c}", "left")
+    return out.select(*[F.col(f"_value_{c}").alias(c) if c in specs else F.col(c) for c in df.columns])
 
 
 def canonicalize_in_place(df: DataFrame, specs: dict[str, FuzzySpec]) -> DataFrame:
     """Same result with the UDF applied to the rows; equal values are scored once per batch."""
     match = best_match_udf({c: s.choices for c, s in specs.items()})
-    known = df.withColumns({f"_known_{c}": s.known(F.col(c)) for c, s in specs.items()})
+    known = df.withColumns({f"_known_{c}": s.known(s.prepare(F.col(c))) for c, s in specs.items()})
     rest = known.withColumns({
         f"_m_{c}": match(F.lit(c), F.when(~F.col(f"_known_{c}").isin(*s.choices), F.col(f"_known_{c}")))
         for c, s in specs.items()})

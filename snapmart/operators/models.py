@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from snapmart.operators.features import (UNKNOWN, apply_vocabulary, category_vocabulary, deviations)
 from snapmart.operators.lookup import staged_lookup
 from snapmart.operators.ordering import exact_medians, modes
-from snapmart.operators.splits import with_class_weight
+from snapmart.operators.splits import class_weight, class_weight_constants
 
 INDEX, ONE_HOT, POOLED = "__index", "__onehot", "__pooled"
 
@@ -55,19 +55,16 @@ def fit_features(train: DataFrame, numeric, categorical, scale: bool, min_freque
     numeric, categorical = list(numeric), list(categorical)
     constants = {"median": {}, "std": {}, "fill": {}}
     if numeric:
-        found = {r["column"]: r["median"] for r in exact_medians(train, {c: F.col(c) for c in numeric}).collect()}
-        constants["median"] = {c: found.get(c, 0.0) for c in numeric}
+        medians = exact_medians(train, numeric)
+        constants["median"] = {c: 0.0 if medians[c] is None else medians[c] for c in numeric}
         constants["std"] = {c: 1.0 for c in numeric}
         if scale:
-            imputed = train.select(*[
-                F.coalesce(F.col(c).cast("double"), F.lit(constants["median"][c])).alias(c) for c in numeric])
-            constants["std"] = {r["column"]: r["std"] for r in deviations(imputed, numeric).collect()}
+            constants["std"] = deviations(train.select(*[
+                F.coalesce(F.col(c).cast("double"), F.lit(constants["median"][c])).alias(c) for c in numeric]), numeric)
     vocabulary, n_rows = None, 0
     if categorical:
-        found = {}
-        if fill is None:
-            found = {r["column"]: r["value"] for r in modes(train, {c: F.col(c) for c in categorical}).collect()}
-        constants["fill"] = {c: found.get(c, fill or UNKNOWN) for c in categorical}
+        found = modes(train, categorical) if fill is None else {}
+        constants["fill"] = {c: found.get(c) or fill or UNKNOWN for c in categorical}
         filled = train.select(*[
             F.coalesce(F.col(c).cast("string"), F.lit(constants["fill"][c])).alias(f"{c}{POOLED}") for c in categorical])
         vocabulary, n_rows = staged_lookup(category_vocabulary(filled, filled.columns, min_frequency))
@@ -109,10 +106,11 @@ def load_model(spark: SparkSession, path: str) -> SnapshotModel:
     return SnapshotModel(features, PipelineModel.load(f"{path}/stages"), meta["info"])
 
 
-def _indexer(features: FeatureModel):
-    names = [f"{c}{POOLED}" for c in features.categorical]
-    return StringIndexerModel.from_arrays_of_labels(
-        features.labels(), names, [f"{c}{INDEX}" for c in features.categorical], handleInvalid="keep")
+def _indexers(features: FeatureModel) -> list:
+    """One fixed indexer per column (a joint one pads short label lists with NULL)."""
+    return [
+        StringIndexerModel.from_labels(labels, f"{c}{POOLED}", f"{c}{INDEX}", handleInvalid="keep")
+        for c, labels in zip(features.categorical, features.labels())]
 
 
 def _ready(df: DataFrame, label: str) -> DataFrame:
@@ -129,16 +127,17 @@ def fit_logistic(train: DataFrame, label: str, numeric, categorical, c: float =
     """
     train = _ready(train, label)
     features = fit_features(train, numeric, categorical, scale=True, min_frequency=min_frequency, fill=None)
-    data = with_class_weight(features.transform(train), label)
+    weights, n_train = class_weight_constants(train, label, "w_balanced")
+    data = features.transform(train).withColumn("weight", class_weight(F.col(label), weights))
     inputs = [f"{n}{POOLED}" for n in features.numeric] + [f"{n}{ONE_HOT}" for n in features.categorical]
     stages = []
     if features.categorical:
-        stages += [_indexer(features), OneHotEncoder(
+        stages += [*_indexers(features), OneHotEncoder(
             inputCols=[f"{n}{INDEX}" for n in features.categorical],
-            outputCols=[f"{n}{ONE_HOT}" for n in features.categorical], dropLast=True, handleInvalid="keep")]
+            outputCols=[f"{n}{ONE_HOT}" for n in features.categorical], dropLast=True)]
     stages += [VectorAssembler(inputCols=inputs, outputCol="features"),
                LogisticRegression(featuresCol="features", labelCol=label, weightCol="weight",
-                                  regParam=1.0 / (c * max(train.count(), 1)), elasticNetParam=0.0,
+                                  regParam=1.0 / (c * n_train), elasticNetParam=0.0,
                                   standardization=False, maxIter=max_iter, tol=1e-8)]
     return SnapshotModel(features, Pipeline(stages=stages).fit(data), {"kind": "logistic", "label": label})
 
@@ -179,13 +178,14 @@ def fit_boosted_trees(train: DataFrame, validation: DataFrame | None, label: str
     inputs = [f"{n}{POOLED}" for n in features.numeric] + [f"{n}{INDEX}" for n in features.categorical]
     prep, width = [], 0
     if features.categorical:
-        prep.append(_indexer(features))
+        prep += _indexers(features)
         width = max(len(v) for v in features.labels())
     prep.append(VectorAssembler(inputCols=inputs, outputCol="features"))
     prepared = PipelineModel(stages=prep)
     # boosting reads its input once per level and round: store the assembled rows
-    data = prepared.transform(with_class_weight(features.transform(train), label, "w_max")).select(
-        label, "weight", "features").persist()
+    weights, _ = class_weight_constants(train, label, "w_max")
+    weight = class_weight(F.col(label), weights).alias("weight")
+    data = prepared.transform(features.transform(train)).select(label, weight, "features").persist()
 
     def trees(rounds):
         return GBTClassifier(featuresCol="features", labelCol=label, weightCol="weight", maxIter=rounds,
@@ -194,7 +194,7 @@ def fit_boosted_trees(train: DataFrame, validation: DataFrame | None, label: str
 
     model, rounds = trees(max_iter), max_iter
     if validation is not None:
-        held_out = prepared.transform(features.transform(_ready(validation, label))).select(label, "features")
+        held_out = prepared.transform(features.transform(_ready(validation, label))).select(label, weight, "features")
         rounds = best_round(list(model.evaluateEachIteration(held_out)), patience)
         if rounds < max_iter:
             model = trees(rounds)

@@ -1,18 +1,21 @@
 """Exact order statistics and running sums that never put one group into one task.
 
 Both operators work on nested value ranges (see ``order_key``). Ranges are counted first;
-sorting only ever happens between the children of one range.
+sorting only ever happens between the members of one range.
 """
 
+from collections import defaultdict
 from collections.abc import Callable
+from math import ceil, floor
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapmart.functions.numbers import order_key
 
-COARSE_BITS = 10
-FINE_BITS = 20
+RANGE_BITS = 16
+COARSE_BITS, FINE_BITS = 10, 20
+SMALL_RANGE_ROWS = 1_000_000
 
 
 def running_sums(df: DataFrame, groups: list, value: str, sums: dict[str, Column],
@@ -20,39 +23,31 @@ def running_sums(df: DataFrame, groups: list, value: str, sums: dict[str, Column
     """One row per group and distinct value with sums, sums of all smaller values and totals.
 
     For every entry ``name`` of ``sums`` the result has ``name`` (sum at the value),
-    ``name_before`` (sum over smaller values of the group) and ``name_total``. Rows with equal
-    values are combined map-side; after that, a running sum is the sum of three parts: coarse
-    ranges before, fine ranges before inside the coarse one, values before inside the fine one.
-    Rows with a NULL value take no part.
+    ``name_before`` (sum over smaller values of the group) and ``name_total``. Rows of equal
+    values are combined map-side. A running sum is then the sum over the ranges before, taken
+    over one row per range, plus the sum over smaller values inside the range. Rows with a
+    NULL value take no part.
     """
     names = list(sums)
+    cell = groups + ["_range"]
     leaf = (df.filter(F.col(value).isNotNull())
-            .withColumn("_c1", key(F.col(value), COARSE_BITS))
-            .withColumn("_c2", key(F.col(value), FINE_BITS))
-            .groupBy(*groups, "_c1", "_c2", value)
-            .agg(*[e.alias(n) for n, e in sums.items()]))
-
-    def summed(frame, cols):
-        return frame.groupBy(*cols).agg(*[F.sum(n).alias(n) for n in names])
+            .groupBy(*groups, value).agg(*[e.alias(n) for n, e in sums.items()])
+            .withColumn("_range", F.coalesce(key(F.col(value), RANGE_BITS), F.lit(0).cast("bigint"))))
 
     def before(n, part, order):
         w = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         return F.coalesce(F.sum(n).over(w), F.lit(0))
 
-    coarse = summed(leaf, groups + ["_c1"]).select(
-        *groups, "_c1",
-        *[before(n, groups, "_c1").alias(f"_{n}_1") for n in names],
+    ranges = leaf.groupBy(*cell).agg(*[F.sum(n).alias(n) for n in names])
+    offsets = ranges.select(
+        *[F.col(c).alias(f"_of_{c}") for c in cell], *[before(n, groups, "_range").alias(f"_{n}_range") for n in names],
         *[F.sum(n).over(Window.partitionBy(*groups)).alias(f"{n}_total") for n in names])
-    fine = summed(leaf, groups + ["_c1", "_c2"]).select(
-        *groups, "_c1", "_c2",
-        *[before(n, groups + ["_c1"], "_c2").alias(f"_{n}_2") for n in names])
-    cell = groups + ["_c1", "_c2"]
-    inside = leaf.select(
-        *cell, value, *names, *[before(n, cell, value).alias(f"_{n}_3") for n in names])
-    offsets = fine.join(coarse, groups + ["_c1"])
-    return inside.join(offsets, cell).select(
+    inside = leaf.select(*cell, value, *names, *[before(n, cell, value).alias(f"_{n}_inside") for n in names])
+    # null-safe, so that a group whose key is NULL keeps its rows
+    same_cell = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in cell]
+    return inside.join(offsets, same_cell).select(
         *groups, value, *names,
-        *[(F.col(f"_{n}_1") + F.col(f"_{n}_2") + F.col(f"_{n}_3")).alias(f"{n}_before") for n in names],
+        *[(F.col(f"_{n}_range") + F.col(f"_{n}_inside")).alias(f"{n}_before") for n in names],
         *[f"{n}_total" for n in names])
 
 
@@ -62,81 +57,93 @@ def long_values(df: DataFrame, columns: dict[str, Column], names="column", value
     return df.select(F.inline(pairs)).filter(F.col(values).isNotNull())
 
 
-def exact_quantiles(df: DataFrame, columns: dict[str, Column], probs: dict[str, float]) -> DataFrame:
-    """Exact quantiles with linear interpolation: one row (column, <name of each prob>).
+def exact_quantiles(df: DataFrame, columns: dict[str, Column], probs: dict[str, float]) -> dict:
+    """Fit exact quantiles with linear interpolation: ``{column: {prob name: value}}``.
 
-    Rank selection in three narrowing passes over pruned columns: counts of coarse ranges, of
-    the fine ranges inside the hit coarse ones, and of the values inside the hit fine ones.
-    Only counts are shuffled, and no task sees more than the children of one range, whereas
-    a built-in exact percentile keeps all distinct values of a column in one task. The tables
-    of hits have at most two rows per column and probability, so they are broadcast.
-    A column without values gives no row.
+    Rank selection in two or three narrowing passes over the pruned columns: counts of coarse
+    ranges, of the fine ranges inside the hit coarse ones, and of the values inside the hit
+    ranges; the fine pass is left out where the coarse hits hold few rows. Only counts are
+    shuffled, and no task sees more than the members of one range, whereas the built-in exact
+    percentile keeps all distinct values of a column in one task. The driver gets at most two
+    rows per column and probability and pass. A column without values is absent.
     """
     data = long_values(df, {n: e.cast("double") for n, e in columns.items()})
-    data = (data.withColumn("_c1", order_key(F.col("value"), COARSE_BITS))
-            .withColumn("_c2", order_key(F.col("value"), FINE_BITS)))
-
-    def counted(frame, group, child):
-        c = frame.groupBy(*group, child).agg(F.count(F.lit(1)).alias("_n"))
-        w = Window.partitionBy(*group).orderBy(child).rowsBetween(Window.unboundedPreceding, 0)
-        return c.withColumn("_hi", F.sum("_n").over(w)).withColumn("_lo", F.col("_hi") - F.col("_n"))
-
-    hit = (F.col("_rank") >= F.col("_lo")) & (F.col("_rank") < F.col("_hi"))
-    inner_rank = (F.col("_rank") - F.col("_lo")).alias("_rank")
-
-    top = counted(data, ["column"], "_c1")
-    top = top.withColumn("_total", F.sum("_n").over(Window.partitionBy("column")))
-    pos = (F.col("_total") - 1) * F.col("_want.q")
-    wanted = F.explode(F.array(*[
-        F.struct(F.lit(n).alias("prob"), F.lit(float(q)).alias("q")) for n, q in probs.items()]))
-    first = (top.withColumn("_want", wanted)
-             .withColumn("_pos", pos)
-             .withColumn("_rank", F.explode(F.array_distinct(F.array(
-                 F.floor("_pos"), F.ceil("_pos")))))
-             .filter(hit)
-             .select("column", "_c1", F.col("_want.prob").alias("prob"), "_pos",
-                     F.col("_rank").alias("_at"), inner_rank))
-
-    on1 = ["column", "_c1"]
-    coarse_hits = data.join(F.broadcast(first.select(*on1).distinct()), on1, "left_semi")
-    second = (counted(coarse_hits, on1, "_c2").join(F.broadcast(first), on1).filter(hit)
-              .select(*on1, "_c2", "prob", "_pos", "_at", inner_rank))
-    on2 = on1 + ["_c2"]
-    fine_hits = data.join(F.broadcast(second.select(*on2).distinct()), on2, "left_semi")
-    third = (counted(fine_hits, on2, "value").join(F.broadcast(second), on2).filter(hit)
-             .select("column", "prob", "_pos", "_at", "value"))
-
-    low = F.min_by("value", "_at")
-    high = F.max_by("value", "_at")
-    per_prob = third.groupBy("column", "prob").agg(
-        F.when(low == high, low)
-        .otherwise(low + (high - low) * (F.first("_pos") - F.min("_at"))).alias("value"))
-    return per_prob.groupBy("column").agg(*[
-        F.max(F.when(F.col("prob") == n, F.col("value"))).alias(n) for n in probs])
-
-
-def exact_medians(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    return exact_quantiles(df, columns, {"median": 0.5})
-
-
-def modes(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """Most frequent value per column, the smallest of tied ones: (column, value, n).
+    data = data.select("column", "value", *[
+        order_key(F.col("value"), bits).alias(f"_r{bits}") for bits in (COARSE_BITS, FINE_BITS)])
+
+    coarse, fine = f"_r{COARSE_BITS}", f"_r{FINE_BITS}"
+    top = _cumulated(data, ["column"], coarse).withColumn(
+        "_total", F.sum("_n").over(Window.partitionBy("column")))
+    positions = [(F.col("_total") - 1) * F.lit(float(q)) for q in dict.fromkeys(probs.values())]
+    hits = (top.withColumn("_rank", F.explode(F.array(*[f(p) for p in positions for f in (F.floor, F.ceil)])))
+            .filter((F.col("_rank") >= F.col("_lo")) & (F.col("_rank") < F.col("_hi")))
+            .select("column", F.col(coarse).alias("range"), "_n", "_total", F.col("_rank").alias("at"),
+                    (F.col("_rank") - F.col("_lo")).alias("inner")).collect())
+    if not hits:
+        return {}
+    totals = {h["column"]: h["_total"] for h in hits}
+    targets = sorted({(h["column"], h["range"], h["at"], h["inner"]) for h in hits})
+    leaf = coarse
+    if sum({(h["column"], h["range"]): h["_n"] for h in hits}.values()) > SMALL_RANGE_ROWS:
+        found = _at_ranks(_cumulated(_in_ranges(data, coarse, targets), ["column", coarse], fine), coarse, targets)
+        targets = [(r["column"], r[fine], r["at"], r["left"]) for r in found.select("column", fine, "at", "left").collect()]
+        leaf = fine
+    found = _at_ranks(_cumulated(_in_ranges(data, leaf, targets), ["column", leaf], "value"), leaf, targets)
+    at = {(r["column"], r["at"]): r["value"] for r in found.select("column", "at", "value").collect()}
+
+    out = defaultdict(dict)
+    for c, n in totals.items():
+        for name, q in probs.items():
+            p = (n - 1) * q
+            low, high = at[c, floor(p)], at[c, ceil(p)]
+            out[c][name] = low if low == high else low + (high - low) * (p - floor(p))
+    return dict(out)
+
+
+def _cumulated(frame: DataFrame, group: list, child: str) -> DataFrame:
+    """Counts per child with the ranks ``_lo`` (first) and ``_hi`` (one past the last) in its group."""
+    counts = frame.groupBy(*group, child).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(*group).orderBy(child).rowsBetween(Window.unboundedPreceding, 0)
+    return counts.withColumn("_hi", F.sum("_n").over(w)).withColumn("_lo", F.col("_hi") - F.col("_n"))
+
+
+def _in_ranges(data: DataFrame, key: str, targets: list) -> DataFrame:
+    """Rows inside the target ranges, by literal predicates."""
+    wanted = defaultdict(set)
+    for column, range_, _, _ in targets:
+        wanted[column].add(range_)
+    keep = F.lit(False)
+    for column, ranges in wanted.items():
+        keep = keep | ((F.col("column") == column) & F.col(key).isin(*ranges))
+    return data.filter(keep)
+
+
+def _at_ranks(cumulated: DataFrame, key: str, targets: list) -> DataFrame:
+    """The children that hold the target ranks, with the rank left inside each child."""
+    wanted = F.array(*[
+        F.struct(F.lit(c).alias("column"), F.lit(r).cast("bigint").alias("range"),
+                 F.lit(at).cast("bigint").alias("at"), F.lit(inner).cast("bigint").alias("inner"))
+        for c, r, at, inner in targets])
+    here = F.filter(wanted, lambda t: (t["column"] == F.col("column")) & (t["range"] == F.col(key))
+                    & (t["inner"] >= F.col("_lo")) & (t["inner"] < F.col("_hi")))
+    return (cumulated.withColumn("_t", F.explode(here))
+            .withColumns({"at": F.col("_t.at"), "left": F.col("_t.inner") - F.col("_lo")}))
+
+
+def exact_medians(df: DataFrame, columns) -> dict:
+    """``{column: median}``, NULL where a column has no values."""
+    found = exact_quantiles(df, {c: F.col(c) for c in columns}, {"median": 0.5})
+    return {c: found.get(c, {}).get("median") for c in columns}
+
+
+def modes(df: DataFrame, columns) -> dict:
+    """``{column: most frequent value}``, the smallest of tied ones; NULL without values.
 
     Values are counted map-side first, so neither a hot value nor a column is held in a task.
     """
-    counts = (long_values(df, {n: e.cast("string") for n, e in columns.items()})
+    columns = list(columns)
+    counts = (long_values(df, {c: F.col(c).cast("string") for c in columns})
               .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
-    best = F.min_by(F.struct("value", "n"), F.struct((-F.col("n")).alias("k"), F.col("value")))
-    return counts.groupBy("column").agg(best.alias("_b")).select("column", "_b.value", "_b.n")
-
-
-def row_of(table: DataFrame, columns, *fields: str) -> Column:
-    """One struct ``{column: {field: value}}`` out of a (column, field...) table as a scalar subquery.
-
-    Lets a fitted constant be used in expressions of another frame with no join; NULL where the
-    table has no row for a column.
-    """
-    per_column = [
-        F.struct(*[F.max(F.when(F.col("column") == c, F.col(f))).alias(f) for f in fields]).alias(c)
-        for c in columns]
-    return table.agg(F.struct(*per_column).alias("_row")).scalar()
+    best = F.min_by("value", F.struct((-F.col("n")).alias("k"), F.col("value")))
+    found = {r["column"]: r["value"] for r in counts.groupBy("column").agg(best.alias("value")).collect()}
+    return {c: found.get(c) for c in columns}

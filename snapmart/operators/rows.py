@@ -42,10 +42,17 @@ def parse_snapshot_date(df: DataFrame, col: str = "snapdate", fmt: str = ISO_DAT
 
 
 def drop_unknown_rows(df: DataFrame, skip=()) -> DataFrame:
-    """Drop a row when any of its cells is a missing token; one filter, no shuffle."""
-    cols = [c for c in df.columns if c not in skip]
-    bad = reduce(or_, [is_missing_token(F.col(c), MISSING_TOKENS) for c in cols])
-    return df.filter(~bad)
+    """Drop a row when any of its cells is missing; one filter, no shuffle.
+
+    Text cells are compared with the missing tokens, typed cells only need to hold a value.
+    """
+    def bad(field):
+        c, kind = F.col(field.name), field.dataType.simpleString()
+        if kind == "string":
+            return is_missing_token(c, MISSING_TOKENS)
+        return c.isNull() | F.isnan(c) if kind in ("double", "float") else c.isNull()
+
+    return df.filter(~reduce(or_, [bad(f) for f in df.schema.fields if f.name not in skip]))
 
 
 def sanitize_tokens(df: DataFrame, protected=()) -> DataFrame:

@@ -115,11 +115,14 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
         (F.max("n").over(w) / F.col("n")).alias("w_max"))
 
 
-def with_class_weight(df: DataFrame, label: str, kind: str = "w_balanced", name: str = "weight") -> DataFrame:
-    """Attach the weight of the 0/1 class of each row; the two weights are one scalar subquery."""
-    weights = class_weights(df, label)
-    by_class = weights.agg(F.struct(*[
-        F.max(F.when(F.col(label) == y, F.col(kind))).alias(f"w{y}") for y in (0, 1)]).alias("w")).scalar()
-    return (df.withColumn("_w", by_class)
-            .withColumn(name, F.when(F.col(label) == 1, F.col("_w")["w1"]).otherwise(F.col("_w")["w0"]))
-            .drop("_w"))
+def class_weight_constants(df: DataFrame, label: str, kind: str) -> tuple[dict, int]:
+    """Weight per class and the row count, for a model fit; one row per class reaches the driver."""
+    fitted = class_weights(df, label).select(label, "n", kind).collect()
+    return {r[label]: r[kind] for r in fitted}, sum(r["n"] for r in fitted)
+
+
+def class_weight(label: Column, weights: dict) -> Column:
+    out = F.lit(None).cast("double")
+    for y, w in weights.items():
+        out = F.when(label == y, F.lit(float(w))).otherwise(out)
+    return out

@@ -10,6 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 def make_session():
     spark = (SparkSession.builder.master("local[8]").appName("snapmart-tests")
              .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
+             .config("spark.ui.showConsoleProgress", "false")
              .config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC")
              .config("spark.sql.execution.arrow.pyspark.enabled", "true").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
