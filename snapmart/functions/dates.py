@@ -19,7 +19,13 @@ DATE_FORMATS = [
 
 
 def parse_date(c: Column, fmt: str = ISO_DATE) -> Column:
-    """Date of a text cell in one format; every other text becomes NULL."""
+    """Date of a text cell in one format; every other text becomes NULL.
+
+    ISO dates take a shape test and a cast, which is several times faster on bad cells than
+    a failing formatter.
+    """
+    if fmt == ISO_DATE:
+        return F.nullif(F.regexp_extract(c.cast("string"), r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$", 0), F.lit("")).try_cast("date")
     return F.try_to_date(c.cast("string"), fmt)
 
 

@@ -3,16 +3,15 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from snapmart.functions.text import strip_text
-
-# A guard is needed because a plain cast reads "12f" and "12d" as numbers and "nan" as NaN.
-NUMBER_PATTERN = r"^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)$"
+# A guard is needed because a plain cast reads "12f" and "12d" as numbers and "nan" as NaN. The
+# number is cut out of its white space in the same match, so the text is looked at once.
+NUMBER_PATTERN = (r"(?iU)^[\s\x1c-\x1f]*([+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?|inf|infinity))"
+                  r"[\s\x1c-\x1f]*$")
 
 
 def parse_number(c: Column) -> Column:
     """Double value of a text cell; anything that is not a number becomes NULL, never NaN."""
-    s = F.lower(strip_text(c))
-    return F.when(s.rlike(NUMBER_PATTERN), s.try_cast("double"))
+    return F.nullif(F.regexp_extract(c.cast("string"), NUMBER_PATTERN, 1), F.lit("")).try_cast("double")
 
 
 def null_nan(c: Column) -> Column:

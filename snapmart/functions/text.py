@@ -1,5 +1,7 @@
 """Text normalisation as Column expressions; everything stays inside codegen."""
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -8,6 +10,9 @@ from pyspark.sql import functions as F
 # dash, and white space around a slash does not count
 MISSING_TOKENS = ["unknown", "unk", "na", "n/a", "null", "none", "nan", "-", ""]
 
+# a Unicode noncharacter, never part of text
+CELL_BREAK = "\ufdd0"
+
 # texts a CSV reader of the source system nulls at ingest
 CSV_NULL_TOKENS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -39,16 +44,13 @@ EMPLOYMENT_SPELLINGS = {
 # misread digits of an income bracket, applied in this order
 INCOME_DIGIT_FIXES = [("1[tfq]0", "150"), ("6[zf]", "60"), ("[mqv]", "0")]
 
-# --- fixed values: the characters that count as white space --------------------------------
-WHITE_SPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
-               "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
-
+_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 _INNER_SPACE = r"(?U)[\s\x1c-\x1f]+"
 
 
 def strip_text(c: Column) -> Column:
-    """Strip Unicode white space on both ends (plain ``trim`` removes U+0020 only)."""
-    return F.btrim(c.cast("string"), F.lit(WHITE_SPACE))
+    """Strip Unicode white space on both ends (``trim`` removes U+0020 only)."""
+    return F.regexp_replace(c.cast("string"), _EDGE_SPACE, "")
 
 
 def as_text(c: Column) -> Column:
@@ -66,20 +68,26 @@ def fold_dashes(c: Column) -> Column:
     return F.translate(c, "—–", "--")
 
 
+def _missing_pattern(tokens, start: str, end: str) -> str:
+    """Pattern of one missing cell between ``start`` and ``end``: any case, any dash, outer space."""
+    space = r"[\s\x1c-\x1f]*"
+    texts = [re.escape(t).replace(r"\-", "[-—–]").replace("/", rf"{space}/{space}") for t in tokens]
+    return rf"(?iU)(?:{start}){space}(?:{'|'.join(texts)}){space}(?:{end})"
+
+
 def is_missing_token(c: Column, tokens=MISSING_TOKENS) -> Column:
-    """Does a text cell hold a missing token?
+    """Is a text cell NULL or a missing token?"""
+    return c.isNull() | c.rlike(_missing_pattern(tokens, "^", "$"))
 
-    Dashes and slashes are handled in the list of compared values rather than by rewriting
-    every cell; only a cell that starts and ends like a token with a slash meets a pattern.
+
+def any_missing_token(cells, tokens=MISSING_TOKENS) -> Column:
+    """Is any of several text cells NULL or a missing token?
+
+    The cells are joined by a character reserved for internal use and meet one pattern, which
+    keeps the generated code small however many cells there are.
     """
-    s = fold_case(c)
-    plain = [v for t in tokens if "/" not in t for v in dict.fromkeys((t, t.replace("-", "—"), t.replace("-", "–")))]
-    out = s.isin(*plain)
-    for t in tokens:
-        if "/" in t:
-            left, right = t.split("/", 1)
-            out = out | (s.startswith(left) & s.endswith(right) & s.rlike(rf"^{left}\s*/\s*{right}$"))
-    return out
+    row = F.concat_ws(CELL_BREAK, *[as_text(c) for c in cells])
+    return row.rlike(_missing_pattern(tokens, f"^|{CELL_BREAK}", f"{CELL_BREAK}|$"))
 
 
 def null_if_missing(c: Column, tokens=MISSING_TOKENS) -> Column:
@@ -110,7 +118,7 @@ def income_text(c: Column) -> Column:
     s = fold_case(c)
     for pattern, repl in INCOME_DIGIT_FIXES:
         s = F.regexp_replace(s, pattern, repl)
-    return fold_dashes(strip_text(s))
+    return fold_dashes(s)
 
 
 def clean_header(name: str) -> str:

@@ -10,7 +10,7 @@ from snapmart.functions.dates import ISO_DATE, parse_date
 from snapmart.functions.numbers import cap_at, parse_number, round_half_even
 from snapmart.operators.fuzzy import DEMOGRAPHIC_SPECS, canonicalize
 from snapmart.operators.ordering import exact_quantiles
-from snapmart.operators.rows import drop_value, normalize_headers, normalize_key
+from snapmart.operators.rows import compute_once, drop_value, normalize_headers, normalize_key
 
 QUARTILES = {"q1": 0.25, "q3": 0.75}
 
@@ -89,8 +89,7 @@ def clean_numeric(df: DataFrame, specs: dict[str, NumericSpec], fences: dict | N
         return df
     fences = iqr_fences(df, specs) if fences is None else fences
     extra = {f"{c}_raw": F.col(c) for c in specs if f"{c}_raw" not in df.columns}
-    out = (df.withColumns(extra)
-           .withColumns({f"_num_{c}": parse_number(F.col(c)) for c in specs}))
+    out = compute_once(df.withColumns(extra), {f"_num_{c}": parse_number(F.col(c)) for c in specs})
     cols = {}
     for c, s in specs.items():
         num = F.col(f"_num_{c}")

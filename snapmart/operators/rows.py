@@ -7,8 +7,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from snapmart.functions.dates import ISO_DATE, parse_date
-from snapmart.functions.text import (MISSING_TOKENS, clean_header, is_missing_token,
-                                     null_if_missing, strip_text)
+from snapmart.functions.text import any_missing_token, clean_header, null_if_missing, strip_text
 
 
 def require_columns(df: DataFrame, *names: str) -> DataFrame:
@@ -18,6 +17,15 @@ def require_columns(df: DataFrame, *names: str) -> DataFrame:
     return df
 
 
+def compute_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that are evaluated once per row.
+
+    Filters on a plain projected column are pushed below it with a copy of its expression; a
+    one-element generator stops that where the expression is worth more than the filter.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[e.alias(n) for n, e in columns.items()]))))
+
+
 def normalize_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[clean_header(c) for c in df.columns])
 
@@ -25,7 +33,7 @@ def normalize_headers(df: DataFrame) -> DataFrame:
 def normalize_key(df: DataFrame, key: str) -> DataFrame:
     """Key as stripped text; rows without a key are dropped."""
     return (require_columns(df, key).withColumn(key, strip_text(F.col(key)))
-            .filter(F.col(key).isNotNull() & (F.col(key) != "")))
+            .filter(F.col(key) != ""))
 
 
 def parse_snapshot_date(df: DataFrame, col: str = "snapdate", fmt: str = ISO_DATE,
@@ -46,13 +54,13 @@ def drop_unknown_rows(df: DataFrame, skip=()) -> DataFrame:
 
     Text cells are compared with the missing tokens, typed cells only need to hold a value.
     """
-    def bad(field):
-        c, kind = F.col(field.name), field.dataType.simpleString()
-        if kind == "string":
-            return is_missing_token(c, MISSING_TOKENS)
-        return c.isNull() | F.isnan(c) if kind in ("double", "float") else c.isNull()
-
-    return df.filter(~reduce(or_, [bad(f) for f in df.schema.fields if f.name not in skip]))
+    fields = [f for f in df.schema.fields if f.name not in skip]
+    text = [F.col(f.name) for f in fields if f.dataType.simpleString() == "string"]
+    typed = [f for f in fields if f.dataType.simpleString() != "string"]
+    bad = [F.col(f.name).isNull() for f in typed]
+    bad += [F.isnan(f.name) for f in typed if f.dataType.simpleString() in ("double", "float")]
+    bad += [any_missing_token(text)] if text else []
+    return df.filter(~reduce(or_, bad)) if bad else df
 
 
 def sanitize_tokens(df: DataFrame, protected=()) -> DataFrame:
