@@ -15,7 +15,7 @@ from snapmart.operators.fuzzy import DEMOGRAPHIC_SPECS, canonicalize, fuzzy_dict
 from snapmart.plans.gold import gold_snapshot
 from snapmart.plans.layers import layer_row_counts, run_layers
 from snapmart.plans.monitor import monitor
-from snapmart.plans.training import drift_grade, evaluate, model_matrix, training_frame
+from snapmart.plans.training import REPORTED, drift_grade, evaluate, model_matrix, training_frame
 from snapmart.session import stage, workspace
 from snapmart.sources.layers import read_snapshots, write_snapshots
 
@@ -484,8 +484,7 @@ def evaluation_by_dataset(spark, sf_dir):
 @query
 def metrics_long(spark, sf_dir):
     df = evaluate(marked(spark, sf_dir), ["model", "dataset"]).withColumnRenamed("dataset", "Dataset")
-    names = {"accuracy": "Accuracy", "auc": "AUC-ROC", "precision": "Precision", "recall": "Recall"}
-    return rounded(metrics.metrics_long(df, ["model", "Dataset"], names), "Value")
+    return rounded(metrics.metrics_long(df, ["model", "Dataset"], REPORTED), "Value")
 
 
 @query

@@ -15,6 +15,7 @@ CLIP = 1e-7
 
 RANKING = ["auc", "average_precision", "ks"]
 THRESHOLDED = ["f1", "precision", "recall"]
+CALIBRATION = ["brier", "logloss", "pred_mean", "pred_std", "positives", "negatives", "n"]
 
 
 def _pos(y):
@@ -128,27 +129,31 @@ def calibration_metrics(df: DataFrame, groups: list, y="y", p="p") -> DataFrame:
     return df.groupBy(*groups).agg(*[e.alias(n) for n, e in exprs.items()])
 
 
-def monthly_metrics(df: DataFrame, groups: list, y="y", p="p", threshold=THRESHOLD) -> DataFrame:
-    """All monitoring metrics per group out of one shuffle of the scores.
+def score_summary(df: DataFrame, groups: list, y="y", p="p", threshold=THRESHOLD) -> DataFrame:
+    """Ranking metrics, confusion matrix and calibration per group out of one shuffle of the scores.
 
     After the rows of equal scores are combined, every metric is an aggregate over distinct
-    scores. Ranking and threshold metrics are NULL in a group with a single class.
+    scores.
     """
-    r = ranked_scores(df, groups, y, p)
     hit = F.col(p) >= threshold
-    both = (F.col("positives") > 0) & (F.col("negatives") > 0)
-    cells = {"tn": F.sum(F.when(~hit, F.col("neg")).otherwise(0)), "fp": F.sum(F.when(hit, F.col("neg")).otherwise(0)),
-             "fn": F.sum(F.when(~hit, F.col("pos")).otherwise(0)), "tp": F.sum(F.when(hit, F.col("pos")).otherwise(0))}
+    cells = {"tn": F.when(~hit, F.col("neg")), "fp": F.when(hit, F.col("neg")),
+             "fn": F.when(~hit, F.col("pos")), "tp": F.when(hit, F.col("pos"))}
+    both = (F.max("pos_total") > 0) & (F.max("neg_total") > 0)
     calibration = _calibration(F.col(p), F.col("pos"), F.col("neg"))
-    out = r.groupBy(*groups).agg(
-        *[RANKING_EXPRS[n]().alias(n) for n in RANKING], *[e.alias(n) for n, e in cells.items()],
+    return ranked_scores(df, groups, y, p).groupBy(*groups).agg(
+        *[F.when(both, RANKING_EXPRS[n]()).alias(n) for n in RANKING],
+        *[F.coalesce(F.sum(e), F.lit(0)).alias(n) for n, e in cells.items()],
         *[e.alias(n) for n, e in calibration.items()])
+
+
+def monthly_metrics(df: DataFrame, groups: list, y="y", p="p", threshold=THRESHOLD) -> DataFrame:
+    """All monitoring metrics; ranking and threshold metrics are NULL in a group with a single class."""
+    both = (F.col("positives") > 0) & (F.col("negatives") > 0)
     at_threshold = threshold_columns()
-    return out.select(
-        *groups,
-        *[F.when(both, F.col(n)).alias(n) for n in RANKING],
+    return score_summary(df, groups, y, p, threshold).select(
+        *groups, *RANKING,
         *[F.when(both, at_threshold[n]).alias(n) for n in THRESHOLDED],
-        at_threshold["accuracy"].alias("accuracy"), *calibration)
+        at_threshold["accuracy"].alias("accuracy"), *CALIBRATION)
 
 
 def metrics_long(df: DataFrame, groups: list, names: dict[str, str]) -> DataFrame:

@@ -60,6 +60,20 @@ def numeric_ratio(df: DataFrame, columns, threshold: float = 0.9) -> DataFrame:
             .withColumn("mostly_numeric", F.coalesce(F.col("ratio") >= threshold, F.lit(False))))
 
 
+def cast_numeric_text(df: DataFrame, exclude=()) -> DataFrame:
+    """Text columns whose cells all parse as numbers become doubles (one aggregate for all).
+
+    Restores the types of a table whose columns were read as text.
+    """
+    columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in exclude]
+    if not columns:
+        return df
+    parsed = {c: parse_number(F.col(c)) for c in columns}
+    found = df.agg(*[
+        ((F.count(c) > 0) & (F.count(c) == F.count(e))).alias(c) for c, e in parsed.items()]).first()
+    return df.withColumns({c: parsed[c] for c in columns if found[c]})
+
+
 def _as_rows(one_row: DataFrame, columns, value: str) -> DataFrame:
     return one_row.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).alias(value)) for c in columns])))

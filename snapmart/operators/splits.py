@@ -73,30 +73,33 @@ def stratified_split(df: DataFrame, label: str, key: str, test_share: float = 0.
     """Add ``part`` (test/train): in each class, the ceil(share) of rows with the smallest key hashes.
 
     The split depends on the key only, not on partitioning or row order. Instead of ranking a
-    class in one task, the hash at the cut is found by counting: first per leading hash digits
-    (evenly filled ranges), then among the hashes of the one range that holds the cut. The cuts
-    are one row per class. Rows with equal keys stay on one side.
+    class in one task, the hash at the cut is fitted by counting: first per leading hash digits
+    (evenly filled ranges), then among the hashes of the one range that holds the cut. One row
+    per class reaches the driver in each step; the rows themselves are neither shuffled nor
+    joined. Rows with equal keys stay on one side, rows without a class in train.
     """
-    hashed = df.withColumn("_h", F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))))
-    counted = hashed.select(label, "_h", F.substring("_h", 1, HASH_DIGITS).alias("_range"))
-
-    per_range = counted.groupBy(label, "_range").agg(F.count(F.lit(1)).alias("_n"))
-    total = F.sum("_n").over(Window.partitionBy(label))
-    upto = F.sum("_n").over(Window.partitionBy(label).orderBy("_range"))
-    cut_range = (per_range
-                 .select(label, "_range", "_n", upto.alias("_upto"),
-                         F.ceil(total * F.lit(test_share)).alias("_take"))
-                 .filter((F.col("_upto") >= F.col("_take")) & (F.col("_upto") - F.col("_n") < F.col("_take")))
-                 .select(label, "_range", (F.col("_take") - F.col("_upto") + F.col("_n")).alias("_take")))
-    per_hash = (counted.join(cut_range, [label, "_range"])
-                .groupBy(label, "_range", "_h", "_take").agg(F.count(F.lit(1)).alias("_n")))
-    upto_hash = F.sum("_n").over(Window.partitionBy(label, "_range").orderBy("_h"))
-    cuts = (per_hash.withColumn("_before", upto_hash - F.col("_n"))
-            .filter(F.col("_before") < F.col("_take"))
-            .groupBy(label).agg(F.max("_h").alias("_cut")))
-    return (hashed.join(cuts, label)
-            .withColumn("part", F.when(F.col("_h") <= F.col("_cut"), "test").otherwise("train"))
-            .select(*df.columns, "part"))
+    hashed = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
+    counted = (df.filter(F.col(label).isNotNull())
+               .select(F.col(label).alias("_y"), hashed.alias("_h"), F.substring(hashed, 1, HASH_DIGITS).alias("_range")))
+
+    def cumulated(frame, child):
+        counts = frame.groupBy("_y", child).agg(F.count(F.lit(1)).alias("_n"))
+        return counts.withColumn("_upto", F.sum("_n").over(Window.partitionBy("_y").orderBy(child)))
+
+    take = F.ceil(F.sum("_n").over(Window.partitionBy("_y")) * F.lit(test_share))
+    ranges = (cumulated(counted, "_range").withColumn("_take", take)
+              .filter((F.col("_upto") >= F.col("_take")) & (F.col("_upto") - F.col("_n") < F.col("_take")))
+              .select("_y", "_range", (F.col("_take") - F.col("_upto") + F.col("_n")).alias("_left")).collect())
+    in_range, left = F.lit(False), F.lit(None).cast("bigint")
+    for r in ranges:
+        in_range = in_range | ((F.col("_y") == r["_y"]) & (F.col("_range") == r["_range"]))
+        left = F.when(F.col("_y") == r["_y"], F.lit(r["_left"])).otherwise(left)
+    cuts = (cumulated(counted.filter(in_range), "_h").filter(F.col("_upto") - F.col("_n") < left)
+            .groupBy("_y").agg(F.max("_h").alias("_cut")).collect())
+    is_test = F.lit(False)
+    for r in cuts:
+        is_test = is_test | ((F.col(label) == r["_y"]) & (hashed <= r["_cut"]))
+    return df.withColumn("part", F.when(is_test, "test").otherwise("train"))
 
 
 def label_distribution(df: DataFrame, label: str) -> DataFrame:

@@ -2,18 +2,26 @@
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from snapmart.functions.dates import month_of
 from snapmart.functions.labels import map_binary_label
 from snapmart.operators.drift import psi, psi_grade
 from snapmart.operators.features import calendar_features, fill_missing
-from snapmart.operators.metrics import confusion_matrix, ranking_metrics, threshold_columns
-from snapmart.operators.rows import keep_last, normalize_key, require_columns
-from snapmart.operators.schema import KEY_NAMES, label_column
-from snapmart.operators.splits import snapshot_range
+from snapmart.operators.metrics import metrics_long, score_summary, threshold_columns
+from snapmart.operators.models import coefficients, feature_importance, fit_boosted_trees, fit_logistic
+from snapmart.operators.rows import keep_last, normalize_key, require_columns, sanitize_tokens
+from snapmart.operators.schema import (KEY_NAMES, align_to_schema, cast_numeric_text, label_column, numeric_columns,
+                                       text_columns)
+from snapmart.operators.splits import latest_snapshot, month_range_label, snapshot_range, stratified_split, time_split
+from snapmart.session import stage
+from snapmart.sources.csv import write_csv
+from snapmart.sources.layers import write_json
+from snapmart.sources.models import load_latest, save_version
 
 TRAIN_RANGE = ("2023-02-01", "2024-04-01")
 OOT_RANGE = ("2024-05-01", "2024-09-01")
+REPORTED = {"accuracy": "Accuracy", "auc": "AUC-ROC", "precision": "Precision", "recall": "Recall"}
 
 
 def training_frame(gold: DataFrame, start: str = TRAIN_RANGE[0], end: str = TRAIN_RANGE[1],
@@ -49,11 +57,84 @@ def model_matrix(df: DataFrame, label: str, keep=(), fit_on: DataFrame | None =
 
 def evaluate(scores: DataFrame, groups: list, y: str = "y", p: str = "p", threshold: float = 0.5) -> DataFrame:
     """Confusion matrix, threshold metrics and AUC per data set."""
-    cells = confusion_matrix(scores, groups, y, p, threshold)
-    cells = cells.select(*groups, "tn", "fp", "fn", "tp", *[e.alias(n) for n, e in threshold_columns().items()])
-    return cells.join(ranking_metrics(scores, groups, ["auc"], y, p), groups)
+    summary = score_summary(scores, groups, y, p, threshold)
+    return summary.select(*groups, "tn", "fp", "fn", "tp", *[e.alias(n) for n, e in threshold_columns().items()], "auc")
 
 
 def drift_grade(scores: DataFrame, side: Column, groups: list = (), p: str = "p") -> DataFrame:
     """PSI between two sides of the scores with its grade."""
     return psi(scores, side, groups, p).withColumn("grade", psi_grade(F.col("psi")))
+
+
+def feature_columns(df: DataFrame, exclude) -> tuple[list, list]:
+    """Numeric and categorical feature columns; dates of other tables are no features."""
+    return numeric_columns(df, exclude), text_columns(df, exclude)
+
+
+def train_logistic(gold: DataFrame, root: str, start: str = TRAIN_RANGE[0], end: str = TRAIN_RANGE[1],
+                   key: str = "customerID", snap: str = "snapdate", order: str | None = None) -> DataFrame:
+    """Logistic path: split the training months by time, fit on train, evaluate every split.
+
+    Stores the model version, scores by split, coefficients and a summary below ``root`` and
+    returns the evaluation per split.
+    """
+    spark = gold.sparkSession
+    frame = training_frame(gold, start, end, key, snap, order)
+    skip = (key, snap, "Churn", "split")
+    df = stage(time_split(cast_numeric_text(sanitize_tokens(frame, protected=skip), exclude=skip), snap))
+    numeric, categorical = feature_columns(df, skip)
+    model = fit_logistic(df.filter("split = 'train'"), "Churn", numeric, categorical)
+    save_version(spark, model, root, "logistic")
+    scores = stage(model.score(df).select(key, snap, "split", F.col("Churn").alias("y"), "p"))
+    scores.write.mode("overwrite").partitionBy("split").parquet(f"{root}/logistic_scores")
+    write_csv(coefficients(model, spark), f"{root}/logistic_coefficients")
+    report = stage(evaluate(scores, ["split"]))
+    write_json(report.join(df.groupBy("split").agg(F.count(F.lit(1)).alias("n")), "split").withColumns({
+        "n_numeric": F.lit(len(numeric)), "n_categorical": F.lit(len(categorical))}), f"{root}/logistic_summary")
+    return report
+
+
+def train_trees(gold: DataFrame, root: str, train: tuple = TRAIN_RANGE, oot: tuple = OOT_RANGE,
+                key: str = "customerID", snap: str = "snapdate", **options) -> DataFrame:
+    """Tree path: stratified hold-out inside the training months, out-of-time months after them.
+
+    Fill values are fitted on the training months only. Stores the model version, scores,
+    importance and long metrics below ``root`` and returns the evaluation per data set, with
+    the drift from hold-out to out-of-time scores.
+    """
+    spark = gold.sparkSession
+    label = label_column(gold)
+    coded = gold.withColumn(label, map_binary_label(F.col(label))).filter(F.col(label).isNotNull())
+    ranged = coded.withColumn("_range", month_range_label(F.col(snap), {"train": train, "oot": oot}))
+    df = stage(calendar_features(cast_numeric_text(ranged.filter(F.col("_range").isNotNull()), exclude=(key, label, "_range"))))
+    parts = stratified_split(df.filter("_range = 'train'"), label, key)
+    keep = (key, label, "_range", "part")
+    numeric, categorical = feature_columns(parts, keep)
+    model = fit_boosted_trees(parts.filter("part = 'train'"), parts.filter("part = 'test'"), label, numeric, categorical, **options)
+    save_version(spark, model, root, "trees")
+    held_out = parts.filter("part = 'test'").drop("part").withColumn("dataset", F.lit("Validation"))
+    later = df.filter("_range = 'oot'").withColumn("dataset", F.lit("OOT"))
+    scores = stage(model.score(held_out.unionByName(later)).select(
+        key, "dataset", F.col(label).alias("y"), "p", "prediction"))
+    scores.write.mode("overwrite").partitionBy("dataset").parquet(f"{root}/trees_scores")
+    write_csv(feature_importance(model, spark), f"{root}/trees_importance")
+    report = stage(evaluate(scores, ["dataset"]))
+    long = metrics_long(report.withColumnRenamed("dataset", "Dataset"), ["Dataset"], REPORTED)
+    write_csv(long, f"{root}/trees_metrics")
+    side = F.when(F.col("dataset") == "Validation", "expected").otherwise("actual")
+    drift_grade(scores, side).write.mode("overwrite").json(f"{root}/trees_drift")
+    return report
+
+
+def predict_latest(gold: DataFrame, root: str, name: str, key: str = "customerID", snap: str = "snapdate") -> DataFrame:
+    """Newest model version applied to the newest snapshot; the key stays with the scores."""
+    model = load_latest(gold.sparkSession, root, name)
+    frame = latest_snapshot(gold, snap)
+    frame = frame.drop(label_column(frame)) if label_column(frame) else frame
+    needed = {c: "double" for c in model.features.numeric} | {c: "string" for c in model.features.categorical}
+    dated = calendar_features(frame) if any(c.startswith(f"{snap}_") for c in needed) else frame
+    wanted = StructType.fromDDL(", ".join(f"`{c}` {t}" for c, t in needed.items()))
+    ready = align_to_schema(dated, wanted.add(key, "string"))
+    out = model.score(ready).select(key, "prediction", F.col("p").alias("probability"))
+    write_csv(out, f"{root}/{name}_predictions")
+    return out
