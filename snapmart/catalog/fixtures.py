@@ -6,6 +6,8 @@ table. Noise is a pure function of the key, and ``ord_`` is the unique ordinal o
 
 from pyspark.sql import DataFrame, SparkSession
 
+from snapmart.session import tune
+
 LABEL = """
 SELECT CASE WHEN o_orderkey % 97 = 0 THEN '  ' ELSE '' END || 'C' || CAST(o_custkey AS STRING) AS customerID,
        CASE WHEN o_orderkey % 211 = 0 THEN 'not a date'
@@ -93,7 +95,7 @@ VIEWS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return tune(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -26,14 +26,19 @@ def compute_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*[e.alias(n) for n, e in columns.items()]))))
 
 
+def replace_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Replace one column by an expression that is evaluated once per row."""
+    once = compute_once(df, {"_once": value})
+    return once.select(*[F.col("_once").alias(c) if c == name else F.col(c) for c in df.columns])
+
+
 def normalize_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[clean_header(c) for c in df.columns])
 
 
 def normalize_key(df: DataFrame, key: str) -> DataFrame:
     """Key as stripped text; rows without a key are dropped."""
-    return (require_columns(df, key).withColumn(key, strip_text(F.col(key)))
-            .filter(F.col(key) != ""))
+    return replace_once(require_columns(df, key), key, strip_text(F.col(key))).filter(F.col(key) != "")
 
 
 def parse_snapshot_date(df: DataFrame, col: str = "snapdate", fmt: str = ISO_DATE,
@@ -42,7 +47,7 @@ def parse_snapshot_date(df: DataFrame, col: str = "snapdate", fmt: str = ISO_DAT
 
     Pass an ``Observation`` to get ``n_rows`` and ``n_bad`` out of the same job.
     """
-    df = require_columns(df, col).withColumn(col, parse_date(F.col(col), fmt))
+    df = replace_once(require_columns(df, col), col, parse_date(F.col(col), fmt))
     if rejected is not None:
         df = df.observe(rejected, F.count(F.lit(1)).alias("n_rows"),
                         F.count_if(F.col(col).isNull()).alias("n_bad"))

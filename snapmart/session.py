@@ -35,3 +35,15 @@ def stage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` once in the shared folder and cut its lineage."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Runtime settings the operators profit from, unless the session has its own.
+
+    The JVM never compiles a method of more than 8000 bytes of bytecode, so a whole-stage
+    method beyond that runs interpreted; with this limit Spark generates smaller methods for
+    such stages instead.
+    """
+    if spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "65535":
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    return spark

@@ -105,3 +105,14 @@ def test_layers_from_small_tables(spark, tmp_path):
     gold = layers.read_snapshots(spark, layers.layer_path(str(tmp_path), "gold", "gold"))
     got = training_frame(gold, "2023-02-01", "2024-04-01", order=None).collect()
     assert [(r["customerID"], r["Churn"]) for r in got] == [("a", 1)]
+
+
+def test_training_frame_prunes_partitions(spark, tmp_path):
+    path = str(tmp_path / "gold")
+    df = spark.createDataFrame([(f" C{i}", dt.date(2023, i % 12 + 1, 1), "Yes", i) for i in range(24)],
+                               "customerID string, snapdate date, Churn string, ord_ int")
+    layers.write_snapshots(df, path)
+    got = training_frame(layers.read_snapshots(spark, path), "2023-03-01", "2023-04-01")
+    assert got.count() == 4
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "snapdate#" in plan.split("PartitionFilters: [")[1].split("]")[0] and "2023-03-01" in plan.split("PartitionFilters: [")[1][:400]
