@@ -192,7 +192,7 @@ BIN = ("CASE WHEN p BETWEEN 0.0 AND 1.0 THEN "
 
 
 def rounded(*cols):
-    return ", ".join(f"round({c}, 9) AS {c}" for c in cols)
+    return ", ".join(f"round({c} + 1e-12, 9) AS {c}" for c in cols)
 
 
 def psi_sql(source, side, groups):
@@ -327,10 +327,10 @@ def oracle_sql():
         "map_binary_label": sql("SELECT ord_, Churn, CASE lower(trim(Churn)) WHEN 'yes' THEN 1 WHEN 'no' THEN 0 END AS y "
                                 "FROM fx_label", "fx_label"),
         "label_distribution": sql("""
-            SELECT y, n, round(n / sum(n) OVER (), 9) AS rate FROM
+            SELECT y, n, round(n / sum(n) OVER () + 1e-12, 9) AS rate FROM
             (SELECT y, count(*) AS n FROM coded GROUP BY y) q""", "coded"),
         "class_weights": sql("""
-            SELECT y, n, round(sum(n) OVER () / (count(*) OVER () * n), 9) AS w_balanced, round(max(n) OVER () / n, 9) AS w_max
+            SELECT y, n, round(sum(n) OVER () / (count(*) OVER () * n) + 1e-12, 9) AS w_balanced, round(max(n) OVER () / n + 1e-12, 9) AS w_max
             FROM (SELECT y, count(*) AS n FROM coded WHERE y IS NOT NULL GROUP BY y) q""", "coded"),
         "clean_yes_no": sql("SELECT customerID, ord_, Partner, Dependents FROM demographic", "demographic"),
         "clean_demographic": sql("SELECT * FROM demographic", "demographic"),
@@ -343,8 +343,8 @@ def oracle_sql():
                 f"SELECT DISTINCT '{c}' AS c, {c} AS v FROM fx_demographic" for c in DEMO) + ")"),
         "parse_number": sql("SELECT customerID, ord_, mc AS MonthlyCharges, du AS AverageDataUsage, al AS AppLoginFrequency "
                             "FROM nums", "nums"),
-        "iqr_fences": sql('SELECT "column", round(q1, 9) AS q1, round(q3, 9) AS q3, '
-                          'round(q3 + 3.0 * greatest(q3 - q1, 0.0), 9) AS upper FROM fences', "fences"),
+        "iqr_fences": sql('SELECT "column", round(q1 + 1e-12, 9) AS q1, round(q3 + 1e-12, 9) AS q3, '
+                          'round(q3 + 3.0 * greatest(q3 - q1, 0.0) + 1e-12, 9) AS upper FROM fences', "fences"),
         "refund_split": sql("""
             SELECT customerID, round_even(CASE WHEN mc > u THEN u ELSE mc END * 100, 0) / 100 AS MonthlyCharges,
                    mc_raw AS MonthlyCharges_raw, coalesce(mc < 0, FALSE) AS MonthlyCharges_was_negative,
@@ -357,7 +357,7 @@ def oracle_sql():
                                "customerID FROM financial", "financial"),
         "numeric_ratio": sql(" UNION ALL ".join(
             f"SELECT '{n}' AS \"column\", round(avg(CASE WHEN {r} IS NOT NULL THEN CASE WHEN {v} IS NOT NULL THEN 1 ELSE 0 END "
-            f"END), 9) AS ratio, coalesce(avg(CASE WHEN {r} IS NOT NULL THEN CASE WHEN {v} IS NOT NULL THEN 1 ELSE 0 END END) "
+            f"END) + 1e-12, 9) AS ratio, coalesce(avg(CASE WHEN {r} IS NOT NULL THEN CASE WHEN {v} IS NOT NULL THEN 1 ELSE 0 END END) "
             f">= 0.9, FALSE) AS mostly_numeric FROM nums"
             for n, r, v in zip(FENCE_COLS, ("mc_raw", "du_raw", "al_raw"), ("mc", "du", "al"))), "nums"),
         "clean_contract": sql("SELECT * FROM contract", "contract"),
@@ -384,7 +384,7 @@ def oracle_sql():
             f"coalesce({c}, (SELECT v FROM mode_of WHERE col = '{c}')) AS {c}" for c in DEMO) + " FROM demographic",
             "demographic", extra=MODE_PART),
         "scale_by_std": sql("SELECT customerID, ord_, " + ", ".join(
-            f"round({c} / (SELECT CASE WHEN stddev_pop({c}) > 0 THEN stddev_pop({c}) ELSE 1 END FROM imp), 9) AS {c}"
+            f"round({c} / (SELECT CASE WHEN stddev_pop({c}) > 0 THEN stddev_pop({c}) ELSE 1 END FROM imp) + 1e-12, 9) AS {c}"
             for c in FENCE_COLS) + " FROM imp", "financial",
             extra="imp AS (SELECT customerID, ord_, " + ", ".join(
                 f"coalesce(CAST({c} AS DOUBLE), (SELECT median({c}) FROM financial)) AS {c}" for c in FENCE_COLS)
@@ -404,8 +404,8 @@ def oracle_sql():
         "stratified_split": sql("SELECT doc_id, quality, CASE WHEN rn - 1 < 0.2 * n THEN 'test' ELSE 'train' END AS part "
                                 "FROM ranked", extra=SPLIT_PART),
         "confusion_matrix": sql(f"SELECT model, month, {CELLS} FROM fx_scores GROUP BY model, month", "fx_scores"),
-        "threshold_metrics": sql(f"SELECT model, month, round({ACC}, 9) AS accuracy, round({PREC}, 9) AS precision, "
-                                 f"round({REC}, 9) AS recall, round({F1}, 9) AS f1 FROM "
+        "threshold_metrics": sql(f"SELECT model, month, round({ACC} + 1e-12, 9) AS accuracy, round({PREC} + 1e-12, 9) AS precision, "
+                                 f"round({REC} + 1e-12, 9) AS recall, round({F1} + 1e-12, 9) AS f1 FROM "
                                  f"(SELECT model, month, {CELLS} FROM fx_scores GROUP BY model, month) q", "fx_scores"),
         "classification_report": sql("SELECT model, label, " + rounded("precision", "recall", "f1") + ", support FROM lines",
                                      "fx_scores", extra=REPORT_PART),
@@ -414,33 +414,33 @@ def oracle_sql():
                                    f"(SELECT model, month, {CALIBRATION} FROM fx_scores GROUP BY model, month) q", "fx_scores"),
         "monthly_metrics": ranking(
             "SELECT model, month, " + rounded("auc", "average_precision", "ks")
-            + f", CASE WHEN auc IS NOT NULL THEN round({F1}, 9) END AS f1"
-            + f", CASE WHEN auc IS NOT NULL THEN round({PREC}, 9) END AS precision"
-            + f", CASE WHEN auc IS NOT NULL THEN round({REC}, 9) END AS recall, round({ACC}, 9) AS accuracy, "
+            + f", CASE WHEN auc IS NOT NULL THEN round({F1} + 1e-12, 9) END AS f1"
+            + f", CASE WHEN auc IS NOT NULL THEN round({PREC} + 1e-12, 9) END AS precision"
+            + f", CASE WHEN auc IS NOT NULL THEN round({REC} + 1e-12, 9) END AS recall, round({ACC} + 1e-12, 9) AS accuracy, "
             + rounded("brier", "logloss", "pred_mean", "pred_std") + ", positives, negatives, n FROM "
             + f"(SELECT model, month, {CELLS}, {CALIBRATION} FROM fx_scores GROUP BY model, month) q "
             + "JOIN rank_metrics USING (model, month)", "model, month", "fx_scores", "fx_scores"),
         "evaluation_by_dataset": ranking(
-            f"SELECT model, dataset, tn, fp, fn, tp, round({ACC}, 9) AS accuracy, round({PREC}, 9) AS precision, "
-            f"round({REC}, 9) AS recall, round({F1}, 9) AS f1, round(auc, 9) AS auc FROM "
+            f"SELECT model, dataset, tn, fp, fn, tp, round({ACC} + 1e-12, 9) AS accuracy, round({PREC} + 1e-12, 9) AS precision, "
+            f"round({REC} + 1e-12, 9) AS recall, round({F1} + 1e-12, 9) AS f1, round(auc + 1e-12, 9) AS auc FROM "
             f"(SELECT model, dataset, {CELLS} FROM marked GROUP BY model, dataset) q JOIN rank_metrics USING (model, dataset)",
             "model, dataset", "marked", "marked"),
         "metrics_long": ranking(
-            " UNION ALL ".join(f'SELECT model, dataset AS "Dataset", \'{name}\' AS "Metric", round({e}, 9) AS "Value" FROM both_'
+            " UNION ALL ".join(f'SELECT model, dataset AS "Dataset", \'{name}\' AS "Metric", round({e} + 1e-12, 9) AS "Value" FROM both_'
                                for name, e in (("Accuracy", ACC), ("AUC-ROC", "auc"), ("Precision", PREC), ("Recall", REC))),
             "model, dataset", "marked", "marked").replace(
                 "\nSELECT model, dataset AS", ", both_ AS (SELECT * FROM (SELECT model, dataset, " + CELLS
                 + " FROM marked GROUP BY model, dataset) q JOIN rank_metrics USING (model, dataset))\nSELECT model, dataset AS", 1),
         "prediction_summary": sql("""
             SELECT model, count(*) FILTER (WHERE p < 0.5) AS n_0, count(*) FILTER (WHERE p >= 0.5) AS n_1,
-                   round(avg(p), 9) AS pred_mean FROM fx_scores GROUP BY model""", "fx_scores"),
+                   round(avg(p) + 1e-12, 9) AS pred_mean FROM fx_scores GROUP BY model""", "fx_scores"),
         "score_histogram": sql(f"""
             SELECT model, CAST(c.bin AS INTEGER) AS bin, count(s.model) AS n FROM (SELECT * FROM
               (SELECT DISTINCT model FROM fx_scores) m, (SELECT unnest(range(10)) AS bin) r) c
             LEFT JOIN (SELECT model, {BIN} AS bin FROM fx_scores) s USING (model, bin) GROUP BY model, c.bin""", "fx_scores"),
-        "psi": sql("SELECT round(psi, 9) AS psi FROM index", "fx_scores", extra=psi_sql(
+        "psi": sql("SELECT round(psi + 1e-12, 9) AS psi FROM index", "fx_scores", extra=psi_sql(
             "fx_scores", "CASE model WHEN 'a' THEN 'expected' ELSE 'actual' END", [])),
-        "psi_grade": sql("SELECT model, round(psi, 9) AS psi, CASE WHEN psi < 0.1 THEN 'good' WHEN psi < 0.2 THEN 'attention' "
+        "psi_grade": sql("SELECT model, round(psi + 1e-12, 9) AS psi, CASE WHEN psi < 0.1 THEN 'good' WHEN psi < 0.2 THEN 'attention' "
                          "ELSE 'drifted' END AS grade FROM index", "fx_scores", extra=psi_sql("fx_scores", MARK_SIDE, ["model"])),
         "layer_row_counts": sql(" UNION ALL ".join(
             [f"SELECT 'bronze' AS layer, '{t}' AS \"table\", count(*) AS n FROM {s}" for t, s in (

@@ -32,7 +32,8 @@ def query(fn: Query) -> Query:
 
 
 def rounded(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({n: F.round(n, 9) for n in names})
+    """Nine digits; exact halves are lifted, so that the order of a sum cannot decide them."""
+    return df.withColumns({n: F.round(F.col(n) + 1e-12, 9) for n in names})
 
 
 def labels(spark, sf_dir):
