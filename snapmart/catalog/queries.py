@@ -10,7 +10,7 @@ from snapmart.functions.dates import date_from_name, parse_date
 from snapmart.functions.labels import map_binary_label
 from snapmart.functions.numbers import parse_number
 from snapmart.functions.text import strip_text
-from snapmart.operators import clean, drift, features, metrics, models, ordering, rows, schema, splits
+from snapmart.operators import clean, drift, features, metrics, models, rows, schema, splits
 from snapmart.operators.fuzzy import DEMOGRAPHIC_SPECS, canonicalize, fuzzy_dictionary
 from snapmart.plans.gold import gold_snapshot
 from snapmart.plans.layers import layer_row_counts, run_layers
@@ -57,11 +57,7 @@ def cleaned_features(spark, sf_dir):
 
 @query
 def gold_snapshot_query(spark, sf_dir):
-    return gold_snapshot(view_labels(spark, sf_dir), cleaned_features(spark, sf_dir))
-
-
-def view_labels(spark, sf_dir):
-    return labels(spark, sf_dir)
+    return gold_snapshot(labels(spark, sf_dir), cleaned_features(spark, sf_dir))
 
 
 # --- bronze and months ---------------------------------------------------------------------

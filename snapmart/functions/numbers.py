@@ -16,7 +16,7 @@ def parse_number(c: Column) -> Column:
 
 def null_nan(c: Column) -> Column:
     """NULL instead of NaN: a NaN compares as larger than every number."""
-    return F.when(~F.isnan(c), c)
+    return F.nanvl(c.cast("double"), F.lit(None).cast("double"))
 
 
 def round_half_even(c: Column, digits: int = 2) -> Column:

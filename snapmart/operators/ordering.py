@@ -11,7 +11,7 @@ from math import ceil, floor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapmart.functions.numbers import order_key
+from snapmart.functions.numbers import null_nan, order_key
 
 RANGE_BITS = 16
 COARSE_BITS, FINE_BITS = 10, 20
@@ -65,9 +65,10 @@ def exact_quantiles(df: DataFrame, columns: dict[str, Column], probs: dict[str,
     ranges; the fine pass is left out where the coarse hits hold few rows. Only counts are
     shuffled, and no task sees more than the members of one range, whereas the built-in exact
     percentile keeps all distinct values of a column in one task. The driver gets at most two
-    rows per column and probability and pass. A column without values is absent.
+    rows per column and probability and pass. NULL and NaN take no part; a column without
+    values is absent.
     """
-    data = long_values(df, {n: e.cast("double") for n, e in columns.items()})
+    data = long_values(df, {n: null_nan(e) for n, e in columns.items()})
     data = data.select("column", "value", *[
         order_key(F.col("value"), bits).alias(f"_r{bits}") for bits in (COARSE_BITS, FINE_BITS)])
 

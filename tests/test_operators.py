@@ -18,7 +18,7 @@ def test_quantiles_equal_numpy(spark, monkeypatch):
     rng = np.random.default_rng(1)
     data = {"a": np.array([1, 2, 3.5, 10, 11.25, 40, 7]), "b": rng.normal(0, 1, 3000), "c": np.repeat([5.0, -2.0], 400),
             "d": np.concatenate([rng.lognormal(0, 9, 2000), [0.0, -1e300, 1e300, 5e-324]])}
-    table = [(n, float(v)) for n, vs in data.items() for v in vs]
+    table = [(n, float(v)) for n, vs in data.items() for v in vs] + [("a", float("nan")), ("b", None)]
     df = spark.createDataFrame(table, "n string, v double").repartition(7)
     cols = {n: F.when(F.col("n") == n, F.col("v")) for n in data} | {"empty": F.lit(None).cast("double")}
     probs = {"q1": 0.25, "m": 0.5, "q3": 0.75, "lo": 0.0, "hi": 1.0}
