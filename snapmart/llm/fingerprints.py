@@ -4,7 +4,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from snapmart.llm.common import whole, words
+from snapmart.llm.common import whole, words, written
 
 K = 128
 WORDS = 5
@@ -95,22 +95,22 @@ def _ranged(rows: DataFrame) -> DataFrame:
             .withColumn("_order", F.coalesce("_id", F.xxhash64("_text"))))
 
 
-def with_next(rows: DataFrame, carried: list[str]) -> DataFrame:
-    """``rows`` (_id, _text and ``carried``) with ``_next``, a struct of what the next row by descending id carries.
+def with_next(rows: DataFrame, carried: dict[str, Column]) -> DataFrame:
+    """``rows`` (_id, _text) with the columns ``carried`` and ``_next``, a struct of those of the next row by descending id.
 
     After the last row comes the first. Rows meet in ranges of ids, so the carried columns are shuffled once; only the
     first row of each range is looked up from the range before it. Equal ids are ordered by text.
     """
     placed = _ranged(rows)
-    heads = placed.groupBy("_place").agg(F.max("_order").alias("_order"))
+    # Written, so that Spark knows how few they are before it decides how to join them.
+    heads = written(placed.groupBy("_place").agg(F.max("_order").alias("_order")), "range-heads")
     around = Window.orderBy(F.col("_place").desc())
     to = F.coalesce(F.lag("_place").over(around), F.min("_place").over(Window.partitionBy()))
-    heads = heads.withColumn("_to", to)
-    first = (placed.join(heads, ["_place", "_order"]).groupBy("_to")
-             .agg(F.min_by(F.struct(*carried), F.col("_text")).alias("_head")).withColumnRenamed("_to", "_place"))
+    carry = F.struct(*carried)
+    first = (placed.join(heads.withColumn("_to", to), ["_place", "_order"]).withColumns(carried).groupBy("_to")
+             .agg(F.min_by(carry, F.col("_text")).alias("_head")).withColumnRenamed("_to", "_place"))
     inside = Window.partitionBy("_place").orderBy(F.col("_order").desc(), "_text")
-    # An outer struct would hide that the lead is missing, so the lead of a plain value tells.
-    return (placed.withColumn("_next", F.lead(F.struct(*carried)).over(inside)).join(first, "_place")
+    return (placed.withColumns(carried).withColumn("_next", F.lead(carry).over(inside)).join(first, "_place")
             .withColumn("_next", F.coalesce("_next", "_head")).drop("_place", "_order", "_head"))
 
 
@@ -120,9 +120,9 @@ def edited_fingerprints(docs: DataFrame, id_column="doc_id", text_column="text",
     Edited text: the last floor(n_chars / 2) code points give way to the first as many (or all) of the next document,
     by descending id. A single row is its own next document. Null texts are empty; an empty table gives an empty result.
     """
-    rows = docs.select(F.col(id_column).alias("_id"), whole(text_column).alias("_text")).withColumn("_sketch", sketch(F.col("_text"), k, n))
+    rows = docs.select(F.col(id_column).alias("_id"), whole(text_column).alias("_text"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
-    edited = (with_next(rows, ["_text", "_sketch"]).withColumn("n_chars", F.length("_text").cast("long"))
+    edited = (with_next(rows, {"_text": F.col("_text"), "_sketch": sketch(F.col("_text"), k, n)}).withColumn("n_chars", F.length("_text").cast("long"))
               .withColumn("_edited", F.concat(F.substr("_text", F.lit(1), (F.col("n_chars") - half).cast("int")), F.substr("_next._text", F.lit(1), half)))
               .withColumn("_new", sketch(F.col("_edited"), k, n)))
     return edited.select(F.col("_id").alias(id_column), "n_chars", F.sha2("_edited", 256).alias("edited_sha256"),

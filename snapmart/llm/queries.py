@@ -1,7 +1,24 @@
 """Registered queries of the operators, over whole tables, with production parameters."""
 
-from snapmart.llm import fingerprints, mixing, secret_scan
-from snapmart.llm.common import documents
+import os
+
+from snapmart.llm import fingerprints, mixing, packing, quality, secret_scan, toxicity
+from snapmart.llm.common import documents, table
+
+#: Folder of the public tokenizers' files; without it the installed package tells.
+TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS")
+
+
+def tokenizer(name):
+    if TOKENIZERS:
+        return f"{TOKENIZERS}/{name}"
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_best_fit_packing(spark, sf_dir):
+    return packing.pack(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
 
 
 def op3_document_fingerprints(spark, sf_dir):
@@ -16,8 +33,17 @@ def op8_mix_sources(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
 
 
+def op9_quality_classifier(spark, sf_dir):
+    return quality.classify(documents(spark, sf_dir), table(spark, sf_dir, "labels"), keep=["doc_id"])
+
+
+def op10_toxicity(spark, sf_dir):
+    return toxicity.classify(documents(spark, sf_dir), table(spark, sf_dir, "labels"), keep=["doc_id"])
+
+
 def registered():
-    return {f.__name__: f for f in (op3_document_fingerprints, op6_secret_scans, op8_mix_sources)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op3_document_fingerprints, op6_secret_scans, op8_mix_sources,
+                                      op9_quality_classifier, op10_toxicity)}
 
 
 def oracle_sql():
