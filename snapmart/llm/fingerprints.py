@@ -60,7 +60,7 @@ def as_text(a: Column) -> Column:
 
 
 def from_text(fingerprint: Column) -> Column:
-    digits = F.transform(F.sequence(F.lit(0), F.length(fingerprint) / 12 - 1), lambda i: F.substr(fingerprint, (i * 12 + 1).cast("int"), F.lit(12)))
+    digits = F.transform(F.sequence(F.lit(0), F.floor(F.length(fingerprint) / 12).cast("int") - 1), lambda i: F.substr(fingerprint, i * 12 + 1, F.lit(12)))
     return F.when(fingerprint == "", F.array().cast("array<bigint>")).otherwise(F.transform(digits, lambda x: F.conv(x, 16, 10).cast("bigint")))
 
 

@@ -20,43 +20,57 @@ ISLANDS = 3
 ROUNDS = 2
 GENERATIONS = 6
 POPULATION = 4
-#: Words whose ids a Python worker remembers at most.
-REMEMBERED = 300_000
+#: Words, and parts of words, whose ids a Python worker remembers at most.
+REMEMBERED = 900_000
 # Characters that Python parts words by and the tokenizer doesn't.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
+# Words of these characters only are lowered and parted by Python as by the tokenizer: printable ASCII and the Latin letters
+# that are one code point in either case.
+_PLAIN = re.compile("[!-~\u00c0-\u012f\u0131-\u0148\u014a-\u017e]+")
+# Fixed value: the parts of a word that the tokenizer's file asks for, for such words.
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 _tokenizers: dict = {}
 
 
+class Remembered(dict):
+    """Results of a function; when full, new ones are made each time."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key):
+        value = self.make(key)
+        if len(self) < REMEMBERED:
+            self[key] = value
+        return value
+
+
 def _encoder(path: str):
     """Ids of a text as little-endian unsigned 32-bit bytes.
 
-    White space is dropped and no token reaches over it, so a text's ids are those of its words one after the other,
-    and words repeat. A text with separators that Python and the tokenizer see differently is encoded as a whole.
+    White space is dropped and no token reaches over it, so a text's ids are those of its words one after the other;
+    words repeat, and their lowered parts repeat more. A text with separators that Python and the tokenizer see differently
+    is encoded as a whole, and so is a word of other characters.
     """
     if path not in _tokenizers:
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = (Tokenizer.from_file(path), {})
-    tokenizer, known = _tokenizers[path]
-
-    def ids(text: str) -> bytes:
-        return np.asarray(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def encode(text: str) -> bytes:
-        if _ODD_SPACE.search(text):
-            return ids(text)
-        found = text.split()
-        try:
-            return b"".join(map(known.__getitem__, found))
-        except KeyError:
-            if len(known) > REMEMBERED:
-                known.clear()
-            for word in found:
-                if word not in known:
-                    known[word] = ids(word)
-            return b"".join(map(known.__getitem__, found))
-
-    return encode
+        tokenizer = Tokenizer.from_file(path)
+
+        def ids(text: str) -> bytes:
+            return np.asarray(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+        parts = Remembered(ids)
+
+        def word_ids(word: str) -> bytes:
+            if _PLAIN.fullmatch(word) and "<|" not in word:
+                return b"".join([parts[part] for part in _PARTS.findall(word.lower())])
+            return ids(word)
+
+        words = Remembered(word_ids)
+        _tokenizers[path] = lambda text: ids(text) if _ODD_SPACE.search(text) else b"".join(map(words.__getitem__, text.split()))
+    return _tokenizers[path]
 
 
 def pieces(docs: DataFrame, tokenizer: str, id_column="doc_id", text_column="text", length: int = LENGTH) -> DataFrame:

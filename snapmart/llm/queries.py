@@ -2,7 +2,9 @@
 
 import os
 
-from snapmart.llm import fingerprints, mixing, packing, quality, secret_scan, toxicity
+from pyspark.sql import functions as F
+
+from snapmart.llm import fingerprints, line_dedup, mixing, ngram_join, packing, quality, secret_scan, toxicity
 from snapmart.llm.common import documents, table
 
 #: Folder of the public tokenizers' files; without it the installed package tells.
@@ -21,6 +23,10 @@ def op1_best_fit_packing(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
 
 
+def op2_ngram_jaccard_join(spark, sf_dir):
+    return ngram_join.join(documents(spark, sf_dir))
+
+
 def op3_document_fingerprints(spark, sf_dir):
     return fingerprints.edited_fingerprints(documents(spark, sf_dir))
 
@@ -29,6 +35,11 @@ def op6_secret_scans(spark, sf_dir):
     return secret_scan.scan(documents(spark, sf_dir)).drop("found")
 
 
+def op7_line_dedup(spark, sf_dir):
+    done = line_dedup.dedup(documents(spark, sf_dir))
+    return done.select("doc_id", "lines", "removed_lines", F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op8_mix_sources(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
 
@@ -42,7 +53,7 @@ def op10_toxicity(spark, sf_dir):
 
 
 def registered():
-    return {f.__name__: f for f in (op1_best_fit_packing, op3_document_fingerprints, op6_secret_scans, op8_mix_sources,
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_ngram_jaccard_join, op3_document_fingerprints, op6_secret_scans, op7_line_dedup, op8_mix_sources,
                                       op9_quality_classifier, op10_toxicity)}
 
 
