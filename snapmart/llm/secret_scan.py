@@ -17,6 +17,8 @@ LEAST = {"assign": 8, "access": 16, "hex": 32}
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
 CANDIDATE = r"[A-Za-z0-9+/_-]{16,}={0,2}"
 SMOOTHING = 0.5
+#: Weight of the characters' own frequencies where a pair was seen seldom.
+BACK_OFF = 8.0
 #: Log-likelihood ratio from which a string counts as random: one ordinary string in about 160,000 by the model.
 THRESHOLD = 12.0
 
@@ -63,7 +65,7 @@ def labelled_samples(scanned: DataFrame) -> DataFrame:
 def log_ratios(samples: DataFrame) -> list[float]:
     """ln P(next | character, random) - ln P(next | character, ordinary), at ``character * (size + 1) + next``.
 
-    Counts of character pairs over all samples, with smoothing. The table has (size + 1) squared entries, whatever the corpus.
+    Counts of character pairs over all samples, backed off to the characters' own frequencies. The table has (size + 1) squared entries, whatever the corpus.
     """
     size = len(ALPHABET) + 1
     codes = F.transform(F.split("_token", ""), lambda c: F.instr(F.lit(ALPHABET), c))
@@ -75,8 +77,10 @@ def log_ratios(samples: DataFrame) -> list[float]:
         counts[label][pair_code] = n
     logs = []
     for table in counts:
+        total = sum(table) + SMOOTHING * size
+        alone = [(sum(table[b::size]) + SMOOTHING) / total for b in range(size)]
         rows = [sum(table[a * size:(a + 1) * size]) for a in range(size)]
-        logs.append([math.log((table[a * size + b] + SMOOTHING) / (rows[a] + SMOOTHING * size)) for a in range(size) for b in range(size)])
+        logs.append([math.log((table[a * size + b] + BACK_OFF * alone[b]) / (rows[a] + BACK_OFF)) for a in range(size) for b in range(size)])
     return [r - o for o, r in zip(*logs, strict=True)]
 
 
@@ -116,7 +120,10 @@ def scan(docs: DataFrame, id_column="doc_id", text_column="text", samples: DataF
     added = F.transform(random, lambda s: F.struct(s["start"].alias("start"), F.lit(3).alias("kind"), s["end"].alias("end")))
     names = F.array(*[F.lit(k) for k in KINDS])
     line = lambda found: F.array_join(F.transform(found, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ",")
-    counts = [F.size(F.filter("_base", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{KINDS[i]}") for i in range(3)]
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("_base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{KINDS[kind]}")
+
     return (scanned.withColumn("found", F.sort_array(F.concat("_base", added)))
-            .select(F.col("_id").alias(id_column), *counts, F.sha2(line(F.sort_array("_base")), 256).alias("base_sha256"),
+            .select(F.col("_id").alias(id_column), *map(count, range(3)), F.sha2(line(F.sort_array("_base")), 256).alias("base_sha256"),
                     line(F.col("found")).alias("spans"), "found"))
