@@ -16,6 +16,7 @@ LEAST = {"assign": 8, "access": 16, "hex": 32}
 #: Characters of the strings that the Markov models judge; the bound of the models' tables is its square.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
 CANDIDATE = r"[A-Za-z0-9+/_-]{16,}={0,2}"
+ORDINARY = "^([A-Z]?[a-z/_-]+|[A-Z/_-]+|[0-9+/_-]+)=*$"
 SMOOTHING = 0.5
 #: Weight of the characters' own frequencies where a pair was seen seldom.
 BACK_OFF = 8.0
@@ -57,8 +58,12 @@ def cut(text: Column, span: Column) -> Column:
 
 
 def labelled_samples(scanned: DataFrame) -> DataFrame:
-    """Distinct ``_token, _random``: values inside base spans against all other candidate strings of the corpus."""
-    strings = scanned.select(F.explode("_strings").alias("_s")).select("_s.*")
+    """Distinct ``_token, _random``: values inside base spans against identifiers and numbers of the whole corpus.
+
+    Outside base spans, a candidate is labelled ordinary where it has letters of one case (or a capital at first) or digits only;
+    others may be secrets themselves and have no label.
+    """
+    strings = scanned.select(F.explode("_strings").alias("_s")).select("_s.*").where(F.col("inside") | F.col("token").rlike(ORDINARY))
     return strings.groupBy(F.col("token").alias("_token")).agg(F.max(F.col("inside").cast("int")).alias("_random"))
 
 
@@ -102,7 +107,7 @@ def scan(docs: DataFrame, id_column="doc_id", text_column="text", samples: DataF
     """Secrets of each document: ``n_assign, n_access, n_hex, base_sha256, spans``, and ``found``, the spans as structs.
 
     ``samples`` (_token, _random 0 or 1) train the Markov models; without them the corpus gives them, base
-    matches against all other candidate strings. A candidate outside base spans whose log-likelihood ratio reaches
+    matches against identifiers and numbers. A candidate outside base spans whose log-likelihood ratio reaches
     ``threshold`` is a span of kind ``markov``. Null and empty texts have no spans and the hash of the empty string;
     repeated rows give repeated results. No text is shuffled.
     """
