@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from snapmart.llm import fingerprints, line_dedup, mixing, neighbours, ngram_join, packing, quality, secret_scan, toxicity
+from snapmart.llm import fingerprints, line_dedup, mixing, neighbours, ngram_join, packing, quality, secret_scan, substring_dedup, toxicity
 from snapmart.llm.common import documents, table
 
 #: Folder of the public tokenizers' files; without it the installed package tells.
@@ -31,6 +31,10 @@ def op3_document_fingerprints(spark, sf_dir):
     return fingerprints.edited_fingerprints(documents(spark, sf_dir))
 
 
+def op4_suffix_array_dedup(spark, sf_dir):
+    return substring_dedup.dedup(documents(spark, sf_dir)).drop("kept")
+
+
 def op5_nearest_neighbours(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return neighbours.search(vectors, F.col("vec_id") % 20 == 0)
@@ -58,7 +62,7 @@ def op10_toxicity(spark, sf_dir):
 
 
 def registered():
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_ngram_jaccard_join, op3_document_fingerprints, op5_nearest_neighbours, op6_secret_scans, op7_line_dedup, op8_mix_sources,
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_ngram_jaccard_join, op3_document_fingerprints, op4_suffix_array_dedup, op5_nearest_neighbours, op6_secret_scans, op7_line_dedup, op8_mix_sources,
                                       op9_quality_classifier, op10_toxicity)}
 
 
