@@ -41,7 +41,7 @@ def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     ends = np.flatnonzero(data == 10)
     starts = np.append(0, ends[:-1] + 1)
     size = ends - starts
-    counts = np.array([t.count("\n") + 1 for t in texts])
+    counts = np.array([t.count("\n") + 1 for t in texts], int)
     kinds = _CLASS[data]
     low = np.maximum(size, 1)
     own = np.empty((len(ends), len(PROPERTIES)))

@@ -101,8 +101,8 @@ class Words:
 def token_features(words: Words, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Features of all tokens and tokens of each text: the word's, and the odds of both neighbours."""
     codes = [words.codes(t.lower().split()) for t in texts]
-    counts = np.array([len(c) for c in codes])
-    own = np.array(words.table)[np.concatenate(codes)] if codes else np.empty((0, 3))
+    counts = np.array([len(c) for c in codes], int)
+    own = np.array(words.table)[np.concatenate([np.empty(0, int), *codes])]
     first = firsts(counts)
     last = np.append(first[1:], True)[: len(first)]
     odds = own[:, 0]
