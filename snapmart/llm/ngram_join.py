@@ -204,7 +204,8 @@ def classes(docs: DataFrame, id_column="doc_id", text_column="text") -> DataFram
     chosen = written(near.join(blocks, "_root").join(texts.select("_node", "_id", "_copy", "_copies"), "_node"), "ngram-candidates")
 
     keyed = rows.select("_id", F.unhex(F.md5("_text")).alias("_copy"), "_text")
-    found = (keyed.join(chosen, keyed["_id"].eqNullSafe(chosen["_id"]) & (keyed["_copy"] == chosen["_copy"]))
+    # Candidates grow with the corpus, so texts meet them in a merge join at every size.
+    found = (keyed.join(chosen.hint("merge"), keyed["_id"].eqNullSafe(chosen["_id"]) & (keyed["_copy"] == chosen["_copy"]))
              .select("_root", "_node", "_copies", "_blocks", "_text"))
     sets = (found.mapInArrow(_sets, "_root bigint, _node bigint, _copies bigint, _blocks int, _set binary").dropDuplicates(["_node"])
             .withColumn("_block", F.pmod(F.xxhash64("_node"), F.col("_blocks")).cast("int"))
