@@ -60,25 +60,30 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(found)
 
 
-def common_blocks(later: list[int], earlier: list[int], sizes: list[int], least: int = CHARACTERS) -> list[int]:
-    """Lines of ``later`` in blocks of consecutive matches with ``earlier`` that have ``least`` characters together."""
+def common_blocks(later: list[int], earlier: list[int], places: list[int], sizes: list[int], least: int = CHARACTERS) -> list[int]:
+    """Lines of ``later`` in blocks of consecutive matches with ``earlier`` that have ``least`` characters together.
+
+    ``earlier`` may lack lines that ``later`` has not; ``places`` are where its lines stand in the whole document.
+    """
     out: list[int] = []
     block: list[int] = []
     last = (-2, -2)
-    for match in [*patience(later, earlier), (-1, -1)]:
+    for i, j in [*patience(later, earlier), (-1, -1)]:
+        match = (i, places[j] if j >= 0 else -1)
         if match != (last[0] + 1, last[1] + 1):
-            if sum(sizes[i] for i in block) >= least:
+            if sum(sizes[k] for k in block) >= least:
                 out += block
             block = []
-        block.append(match[0])
+        block.append(i)
         last = match
     return out
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        later, earlier, sizes = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("_lines", "_lines2", "_sizes"))
-        gone = [common_blocks(a, b, s) for a, b, s in zip(later, earlier, sizes, strict=True)]
+        columns = [batch.column(batch.schema.get_field_index(c)) for c in ("_lines", "_shared", "_places", "_sizes")]
+        # One pair at a time: lists of a whole batch can be large.
+        gone = [common_blocks(*(c[k].as_py() for c in columns)) for k in range(batch.num_rows)]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(gone, pa.list_(pa.int32()))], ["_id", "_hash", "_gone"])
 
 
@@ -102,7 +107,10 @@ def duplicate_lines(docs: DataFrame, id_column="doc_id", text_column="text") ->
     own = narrow.select(order.alias("_doc"), "_lines", "_sizes")
     other = narrow.select(order.alias("_first"), F.col("_lines").alias("_lines2"))
     kind = dict(rows.dtypes)["_id"]
-    gone = (pairs.join(own, "_doc").join(other, "_first").select("_doc._id", "_doc._hash", "_lines", "_sizes", "_lines2")
+    # Of a long early document that very many others share a line with, each pair gets the shared lines only.
+    both = F.filter(F.transform("_lines2", lambda x, i: F.struct(x.alias("line"), i.alias("place"))), lambda x: F.array_contains("_lines", x["line"]))
+    met = pairs.join(own, "_doc").join(other, "_first").withColumn("_both", both)
+    gone = (met.select("_doc._id", "_doc._hash", "_lines", "_sizes", F.col("_both.line").alias("_shared"), F.col("_both.place").alias("_places"))
             .mapInArrow(_aligned, f"_id {kind}, _hash bigint, _gone array<int>"))
     return gone.where(F.size("_gone") > 0).groupBy("_id", "_hash").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("_gone")))).alias("_gone"))
 
@@ -117,7 +125,8 @@ def dedup(docs: DataFrame, id_column="doc_id", text_column="text") -> DataFrame:
     keep = [c for c in docs.columns if c not in ("lines", "removed_lines")]
     gone = written(duplicate_lines(docs, id_column, text_column), "line-matches").select(F.col("_id").alias("_gone_id"), F.col("_hash").alias("_gone_hash"), "_gone")
     keyed = docs.select(*keep).withColumn("_gone_hash", F.xxhash64(whole(text_column)))
-    joined = keyed.join(gone, keyed[id_column].eqNullSafe(gone["_gone_id"]) & (keyed["_gone_hash"] == gone["_gone_hash"]), "left")
+    # What is deleted grows with the corpus, so texts meet it in a merge join at every size.
+    joined = keyed.join(gone.hint("merge"), keyed[id_column].eqNullSafe(gone["_gone_id"]) & (keyed["_gone_hash"] == gone["_gone_hash"]), "left")
     lines = F.split(F.col(text_column), "\n")
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_gone", i)), "\n")
     return joined.select(*[F.when(F.col("_gone").isNull(), F.col(c)).otherwise(kept).alias(c) if c == text_column else keyed[c] for c in keep],

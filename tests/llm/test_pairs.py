@@ -99,7 +99,9 @@ def brute_lines(rows):
         keys, sizes = [x.rstrip(" ") for x in lines], [len(x.strip(" ")) for x in lines]
         partners = {first.setdefault(k, r["doc_id"]) for k, n in zip(keys, sizes, strict=True) if n >= line_dedup.CHARACTERS} - {r["doc_id"]}
         docs[r["doc_id"]] = keys
-        out[r["doc_id"]] = sorted({i for p in partners for i in line_dedup.common_blocks(keys, docs[p], sizes)})
+        own = set(keys)
+        shared = {p: [(k, i) for i, k in enumerate(docs[p]) if k in own] for p in partners}
+        out[r["doc_id"]] = sorted({i for p in partners for i in line_dedup.common_blocks(keys, *map(list, zip(*shared[p], strict=True)), sizes)})
     return out
 
 
