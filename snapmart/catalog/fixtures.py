@@ -59,18 +59,19 @@ SELECT 'C' || CAST(k AS STRING) AS customerID,
             WHEN 4 THEN 'One year' ELSE 'Month-to-month' END AS Contract,
        CASE k % 4 WHEN 0 THEN 'Electronic check' WHEN 1 THEN 'Mailed check' WHEN 2 THEN 'Bank transfer'
             ELSE 'Credit card' END AS PaymentMethod,
-       k AS ord_
-FROM (SELECT c_custkey AS k FROM {customer}
-      UNION ALL SELECT c_custkey AS k FROM {customer} WHERE c_custkey % 6 = 0) t
+       k + 10000000 * v AS ord_
+FROM (SELECT c_custkey AS k, 0 AS v FROM {customer}
+      UNION ALL SELECT c_custkey AS k, 1 AS v FROM {customer} WHERE c_custkey % 6 = 0) t
 """
 
 SERVICE = """
 SELECT 'C' || CAST(k AS STRING) AS customerID,
        CASE (k + v) % 4 WHEN 0 THEN 'DSL' WHEN 1 THEN 'Fiber optic' WHEN 2 THEN 'None' ELSE 'Cable' END AS InternetService,
        CASE WHEN k % 13 = 0 THEN NULL WHEN k % 2 = 0 THEN 'Yes' ELSE 'No' END AS StreamingTV,
-       k + 10000000 * v AS ord_
-FROM (SELECT c_custkey AS k, 0 AS v FROM {customer}
-      UNION ALL SELECT c_custkey AS k, 1 AS v FROM {customer} WHERE c_custkey % 5 = 0) t
+       k + 10000000 * (v + 2 * w) AS ord_
+FROM (SELECT c_custkey AS k, 0 AS v, 0 AS w FROM {customer}
+      UNION ALL SELECT c_custkey AS k, 1 AS v, 0 AS w FROM {customer} WHERE c_custkey % 5 = 0
+      UNION ALL SELECT c_custkey AS k, 0 AS v, 1 AS w FROM {customer} WHERE c_custkey % 7 = 0) t
 """
 
 SCORES = """

@@ -118,11 +118,11 @@ PARTS |= {
                     "SELECT customerID, " + ", ".join(f"{canon_case(c)} AS {c}" for c in DEMO)
                     + ", ord_ FROM fx_demographic"),
     "contract": (("fx_contract",), """
-        SELECT DISTINCT customerID, Contract, PaymentMethod, ord_ FROM fx_contract
-        WHERE lower(coalesce(Contract, 'nan')) <> 'unknown'"""),
+        SELECT customerID, Contract, PaymentMethod, min(ord_) AS ord_ FROM fx_contract
+        WHERE lower(coalesce(Contract, 'nan')) <> 'unknown' GROUP BY customerID, Contract, PaymentMethod"""),
     "service": (("fx_service",), """
-        SELECT DISTINCT customerID, coalesce(InternetService, '') AS InternetService,
-               coalesce(StreamingTV, '') AS StreamingTV, ord_ FROM fx_service"""),
+        SELECT customerID, coalesce(InternetService, '') AS InternetService,
+               coalesce(StreamingTV, '') AS StreamingTV, min(ord_) AS ord_ FROM fx_service GROUP BY 1, 2, 3"""),
     "contract1": (("contract",), last_per("contract", "customerID", "customerID, Contract, PaymentMethod",
                                           complete("Contract", "PaymentMethod"))),
     "service1": (("service",), last_per("service", "customerID", "customerID, InternetService, StreamingTV",
@@ -364,9 +364,9 @@ def oracle_sql():
         "clean_service": sql("SELECT * FROM service", "service"),
         "union_snapshots": sql("""
             SELECT customerID, snapdate, Churn, ord_, CAST(NULL AS VARCHAR) AS channel FROM labels
-            WHERE snapdate = DATE '1996-02-01'
+            WHERE snapdate < DATE '1998-05-01'
             UNION ALL SELECT customerID, snapdate, Churn, ord_, 'web' FROM labels
-            WHERE snapdate = DATE '1996-03-01'""", "labels"),
+            WHERE snapdate >= DATE '1998-05-01'""", "labels"),
         "binary_column_scan": sql(" UNION ALL ".join(
             f"SELECT '{n}' AS \"column\", coalesce(bool_and({e} IN (0, 1)), TRUE) AS is_binary FROM financial" for n, e in (
                 ("negative", "CAST(mc_neg AS INTEGER)"), ("outlier", "CAST(mc_out AS INTEGER)"),
@@ -403,6 +403,14 @@ def oracle_sql():
             FROM train_matrix""", "train_matrix"),
         "stratified_split": sql("SELECT doc_id, quality, CASE WHEN rn - 1 < 0.2 * n THEN 'test' ELSE 'train' END AS part "
                                 "FROM ranked", extra=SPLIT_PART),
+        "stratified_split_by_month": sql(
+            "SELECT customerID, snapdate, ord_, y, CASE WHEN y IS NOT NULL AND rn - 1 < 0.2 * n THEN 'test' ELSE 'train' END AS part "
+            "FROM (SELECT *, row_number() OVER (PARTITION BY y ORDER BY h) AS rn, count(*) OVER (PARTITION BY y) AS n FROM (SELECT *, "
+            "md5(concat_ws('|', customerID, CAST(snapdate AS VARCHAR), CAST(ord_ AS VARCHAR)) || ':42') AS h FROM coded) a) b", "coded"),
+        "csv_round_trip": sql(
+            "SELECT customerID, EducationLevel, CASE WHEN AnnualIncomeBracket = 'n / a' THEN AnnualIncomeBracket ELSE AnnualIncomeBracket END "
+            "AS AnnualIncomeBracket, CAST(ord_ AS VARCHAR) AS ord_, CASE WHEN ord_ % 2 = 0 THEN DATE '2024-01-01' ELSE DATE '2024-02-01' END "
+            "AS snapdate FROM fx_demographic", "fx_demographic"),
         "confusion_matrix": sql(f"SELECT model, month, {CELLS} FROM fx_scores GROUP BY model, month", "fx_scores"),
         "threshold_metrics": sql(f"SELECT model, month, round({ACC} + 1e-12, 9) AS accuracy, round({PREC} + 1e-12, 9) AS precision, "
                                  f"round({REC} + 1e-12, 9) AS recall, round({F1} + 1e-12, 9) AS f1 FROM "

@@ -17,7 +17,8 @@ from snapmart.plans.layers import layer_row_counts, run_layers
 from snapmart.plans.monitor import monitor
 from snapmart.plans.training import REPORTED, drift_grade, evaluate, model_matrix, training_frame
 from snapmart.session import stage, workspace
-from snapmart.sources.layers import read_snapshots, write_snapshots
+from snapmart.sources import csv
+from snapmart.sources.layers import read_named_files, read_snapshots, write_snapshots
 
 TRAIN = ("1996-02-01", "1997-04-01")
 OOT = ("1997-05-01", "1997-09-01")
@@ -178,9 +179,9 @@ def keep_last_per_key_month(spark, sf_dir):
 @query
 def union_snapshots(spark, sf_dir):
     df = labels(spark, sf_dir)
-    first = df.filter(F.col("snapdate") == F.lit("1996-02-01").cast("date"))
-    second = df.filter(F.col("snapdate") == F.lit("1996-03-01").cast("date")).withColumn("channel", F.lit("web"))
-    return rows.union_all([first, second])
+    half = F.lit("1998-05-01").cast("date")
+    early, late = df.filter(F.col("snapdate") < half), df.filter(F.col("snapdate") >= half)
+    return rows.union_all([early, late.withColumn("channel", F.lit("web"))])
 
 
 # --- labels --------------------------------------------------------------------------------
@@ -355,8 +356,22 @@ def stratified_split(spark, sf_dir):
     return splits.stratified_split(df, "quality", "doc_id")
 
 
+@query
+def stratified_split_by_month(spark, sf_dir):
+    return splits.stratified_split(coded(spark, sf_dir), "y", ["customerID", "snapdate", "ord_"])
+
+
+@query
+def csv_round_trip(spark, sf_dir):
+    """A given table written as CSV files with dates in their names, in two encodings, and read back as one table."""
+    df = view(spark, sf_dir, "fx_demographic").select("customerID", "EducationLevel", "AnnualIncomeBracket", "ord_")
+    root = workspace(spark, "csv")
+    for month, part, encoding in (("2024_01_01", 0, "utf-8"), ("2024_02_01", 1, "gb18030")):
+        csv.write_csv(df.filter(F.col("ord_") % 2 == part), f"{root}/gold_{month}.csv", encoding=encoding)
+    return read_named_files(spark, f"{root}/*.csv", order=None)
+
+
 DOC_NUMERIC, DOC_CATEGORICAL = ["n_chars"], ["lang", "source"]
-ROUNDS = 10
 
 
 def document_parts(spark, sf_dir):
@@ -384,14 +399,14 @@ def logreg_coefficients(spark, sf_dir):
 @query
 def gbt_train_predict(spark, sf_dir):
     parts, train, test = document_parts(spark, sf_dir)
-    model = models.fit_boosted_trees(train, test, "quality", DOC_NUMERIC, DOC_CATEGORICAL, max_iter=ROUNDS, depth=4)
+    model = models.fit_boosted_trees(train, test, "quality", DOC_NUMERIC, DOC_CATEGORICAL)
     return scored(model, parts, "doc_id", "quality")
 
 
 @query
 def feature_importance(spark, sf_dir):
     _, train, test = document_parts(spark, sf_dir)
-    model = models.fit_boosted_trees(train, test, "quality", DOC_NUMERIC, DOC_CATEGORICAL, max_iter=ROUNDS, depth=4)
+    model = models.fit_boosted_trees(train, test, "quality", DOC_NUMERIC, DOC_CATEGORICAL)
     return models.feature_importance(model, spark)
 
 
@@ -418,9 +433,11 @@ def monitor_models(spark, sf_dir):
     """Both models, trained on the training months and monitored over the months after them."""
     gold = coded_gold(spark, sf_dir)
     train = splits.snapshot_range(gold, *TRAIN)
+    parts = splits.stratified_split(train, "Churn", ["customerID", "snapdate"])
+    held_out = parts.filter("part = 'test'")
     fitted = {
         "logreg": models.fit_logistic(train, "Churn", GOLD_NUMERIC, GOLD_CATEGORICAL),
-        "trees": models.fit_boosted_trees(train, None, "Churn", GOLD_NUMERIC, GOLD_CATEGORICAL, max_iter=ROUNDS, depth=3),
+        "trees": models.fit_boosted_trees(parts.filter("part = 'train'"), held_out, "Churn", GOLD_NUMERIC, GOLD_CATEGORICAL),
     }
     return monitor(gold, fitted, "Churn", *OOT)
 

@@ -34,6 +34,11 @@ def date_format_of(value: str):
     return next((fmt for pattern, fmt in DATE_FORMATS if pattern.match(value.strip())), None)
 
 
+def fit_date_format(values) -> str:
+    """Format of the first of some sample values that has one; ISO where none has."""
+    return next((fmt for fmt in (date_format_of(v) for v in values if v is not None) if fmt), ISO_DATE)
+
+
 def date_from_name(name: Column) -> Column:
     """Date written as YYYY_MM_DD inside a file name; NULL when there is none or it is invalid."""
     return parse_date(F.regexp_extract(name, r"(\d{4}_\d{2}_\d{2})", 1), "yyyy_MM_dd")

@@ -18,7 +18,3 @@ def map_binary_label(c: Column) -> Column:
     return (F.when(s.isin(*TRUE_LABELS), F.lit(1))
             .when(s.isin(*FALSE_LABELS), F.lit(0))
             .when(number.isNotNull(), (number >= 0.5).cast("int")))
-
-
-def class_of(p: Column, threshold: float = 0.5) -> Column:
-    return (p >= threshold).cast("int")

@@ -10,8 +10,9 @@ from snapmart.functions.dates import ISO_DATE, parse_date
 from snapmart.functions.numbers import cap_at, parse_number, round_half_even
 from snapmart.operators.fuzzy import DEMOGRAPHIC_SPECS, canonicalize
 from snapmart.operators.ordering import exact_quantiles
-from snapmart.operators.rows import compute_once, drop_value, normalize_headers, normalize_key
+from snapmart.operators.rows import compute_once, distinct_rows, drop_value, normalize_headers, normalize_key
 
+ORDER = "ord_"
 QUARTILES = {"q1": 0.25, "q3": 0.75}
 
 
@@ -127,15 +128,15 @@ def _dated(df: DataFrame, fmt: str) -> DataFrame:
     return df.withColumn("snapdate", parse_date(F.col("snapdate"), fmt)) if "snapdate" in df.columns else df
 
 
-def clean_contract(df: DataFrame, key: str = "customerID", fmt: str = ISO_DATE) -> DataFrame:
-    """Drop unknown contracts, parse the date and remove repeated rows."""
+def clean_contract(df: DataFrame, key: str = "customerID", fmt: str = ISO_DATE, order: str = ORDER) -> DataFrame:
+    """Drop unknown contracts, parse the date and remove rows that repeat in all but their ordinal."""
     df = normalize_key(normalize_headers(df), key)
     if "Contract" in df.columns:
         df = drop_value(df, "Contract", "unknown")
-    return _dated(df, fmt).dropDuplicates()
+    return distinct_rows(_dated(df, fmt), order)
 
 
-def clean_service(df: DataFrame, key: str = "customerID", fmt: str = ISO_DATE) -> DataFrame:
-    """Parse the date, write missing text as empty text and remove repeated rows."""
+def clean_service(df: DataFrame, key: str = "customerID", fmt: str = ISO_DATE, order: str = ORDER) -> DataFrame:
+    """Parse the date, write missing text as empty text and remove rows that repeat in all but their ordinal."""
     df = _dated(normalize_key(normalize_headers(df), key), fmt)
-    return df.na.fill("").dropDuplicates()
+    return distinct_rows(df.na.fill(""), order)

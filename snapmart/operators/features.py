@@ -72,17 +72,16 @@ def category_vocabulary(df: DataFrame, columns, min_frequency: int) -> DataFrame
     return counts.withColumn("pooled", F.when(F.col("n") >= min_frequency, F.col("value")).otherwise(INFREQUENT))
 
 
-def apply_vocabulary(df: DataFrame, columns, vocabulary: DataFrame, n_rows: int, suffix: str = "") -> DataFrame:
+def apply_vocabulary(df: DataFrame, columns, vocabulary: DataFrame, suffix: str = "") -> DataFrame:
     """Pooled category per column; a value outside the vocabulary becomes NULL."""
     out = df
     for c in columns:
         part = vocabulary.filter(F.col("column") == c).select(
             F.col("value").alias("_value"), F.col("pooled").alias("_pooled"))
-        out = lookup_join(out.withColumn("_value", F.col(c).cast("string")), part, n_rows, ["_value"])
+        out = lookup_join(out.withColumn("_value", F.col(c).cast("string")), part, ["_value"])
         out = out.withColumn(f"{c}{suffix}", F.col("_pooled")).drop("_value", "_pooled")
     return out
 
 
 def pool_rare_categories(df: DataFrame, columns, min_frequency: int = 10) -> DataFrame:
-    table, n_rows = staged_lookup(category_vocabulary(df, columns, min_frequency))
-    return apply_vocabulary(df, columns, table, n_rows).select(*df.columns)
+    return apply_vocabulary(df, columns, staged_lookup(category_vocabulary(df, columns, min_frequency))).select(*df.columns)

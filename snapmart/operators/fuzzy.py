@@ -14,9 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.functions import text
-from snapmart.operators.lookup import MAX_BROADCAST_ROWS
+from snapmart.operators.lookup import lookup_join, staged_lookup
 from snapmart.operators.ordering import long_values
-from snapmart.session import stage
 
 
 @dataclass(frozen=True)
@@ -118,40 +117,18 @@ def category_dictionary(df: DataFrame, specs: dict[str, FuzzySpec]) -> DataFrame
             .filter(F.col("_value").isNotNull()).select("column", "text", shown.alias("value")))
 
 
-def canonicalize(df: DataFrame, specs: dict[str, FuzzySpec],
-                 max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def canonicalize(df: DataFrame, specs: dict[str, FuzzySpec]) -> DataFrame:
     """Replace each column of ``specs`` by its canonical value, or NULL where none is close enough.
 
-    The dictionary is staged and counted. While the part of each column is small it is
-    broadcast, so that the frame itself is neither shuffled nor sent to Python. A larger one
-    would make every row take part in a shuffle per column; then the same UDF runs on the rows
-    in place, which needs no shuffle and is indifferent to hot values.
+    Only distinct texts reach Python. The dictionary is written, so that Spark knows its bytes and decides
+    between broadcast and shuffle; the rows themselves are never sent to Python.
     """
     specs = {c: s for c, s in specs.items() if c in df.columns}
     if not specs:
         return df
-    table = stage(category_dictionary(df, specs))
-    sizes = {r["column"]: r["count"] for r in table.groupBy("column").count().collect()}
-    if max(sizes.values(), default=0) > max_rows:
-        return canonicalize_in_place(df, specs)
+    table = staged_lookup(category_dictionary(df, specs))
     out = df.withColumns({f"_text_{c}": s.prepare(F.col(c)) for c, s in specs.items()})
     for c in specs:
-        part = F.broadcast(table.filter(F.col("column") == c).select(
-            F.col("text").alias(f"_text_{c}"), F.col("value").alias(f"_value_{c}")))
-        out = out.join(part, f"_text_{c}", "left")
+        part = table.filter(F.col("column") == c).select(F.col("text").alias(f"_text_{c}"), F.col("value").alias(f"_value_{c}"))
+        out = lookup_join(out, part, [f"_text_{c}"])
     return out.select(*[F.col(f"_value_{c}").alias(c) if c in specs else F.col(c) for c in df.columns])
-
-
-def canonicalize_in_place(df: DataFrame, specs: dict[str, FuzzySpec]) -> DataFrame:
-    """Same result with the UDF applied to the rows; equal values are scored once per batch."""
-    match = best_match_udf({c: s.choices for c, s in specs.items()})
-    known = df.withColumns({f"_known_{c}": s.known(s.prepare(F.col(c))) for c, s in specs.items()})
-    rest = known.withColumns({
-        f"_m_{c}": match(F.lit(c), F.when(~F.col(f"_known_{c}").isin(*s.choices), F.col(f"_known_{c}")))
-        for c, s in specs.items()})
-    out = {}
-    for c, s in specs.items():
-        k, m = F.col(f"_known_{c}"), F.col(f"_m_{c}")
-        best = F.when(s.accepted(m["score"]), m["best"])
-        out[c] = s.show(F.when(k.isin(*s.choices), k).otherwise(best))
-    return rest.withColumns(out).select(*df.columns)

@@ -1,30 +1,17 @@
-"""Join of a large frame with a lookup table of checked size."""
+"""Join of a large frame with a lookup table."""
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from snapmart.session import stage
+from snapmart.session import workspace
 
-MAX_BROADCAST_ROWS = 200_000
-SALTS = 16
 
+def staged_lookup(table: DataFrame) -> DataFrame:
+    """A lookup table written once in the shared folder. Spark knows its bytes and decides between broadcast and shuffle."""
+    path = workspace(table.sparkSession, "lookup")
+    table.write.parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
 
-def staged_lookup(table: DataFrame) -> tuple[DataFrame, int]:
-    """Materialise a lookup table in the shared folder and count it."""
-    table = stage(table)
-    return table, table.count()
 
-
-def lookup_join(df: DataFrame, table: DataFrame, n_rows: int, on: list, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Left join with a table that is unique on ``on`` and has ``n_rows`` rows.
-
-    Up to ``max_rows`` the table is broadcast and ``df`` is not shuffled. Beyond that the join
-    is shuffled with salted keys: the rows of a hot key are spread over ``SALTS`` tasks and
-    every lookup row is repeated once per salt, so each row still meets its one partner.
-    """
-    if n_rows <= max_rows:
-        return df.join(F.broadcast(table), on, "left")
-    # the task number separates equal rows, and both parts are the same when a task is run again
-    salt = F.pmod(F.spark_partition_id() + F.xxhash64(*df.columns), F.lit(SALTS))
-    spread = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
-    return df.withColumn("_salt", salt).join(spread, on + ["_salt"], "left").drop("_salt")
+def lookup_join(df: DataFrame, table: DataFrame, on: list) -> DataFrame:
+    """Left join with a table that is unique on ``on``; adaptive execution splits a hot key of ``df``."""
+    return df.join(table, on, "left")

@@ -30,7 +30,7 @@ class FeatureModel:
     categorical: list
     constants: dict
     vocabulary: DataFrame | None
-    vocabulary_rows: int
+    _labels: list | None = None
 
     def transform(self, df: DataFrame) -> DataFrame:
         c = self.constants
@@ -40,10 +40,15 @@ class FeatureModel:
         if not self.categorical:
             return out
         filled = {f"{n}{POOLED}": F.coalesce(F.col(n).cast("string"), F.lit(c["fill"][n])) for n in self.categorical}
-        return apply_vocabulary(out.withColumns(filled), list(filled), self.vocabulary, self.vocabulary_rows)
+        return apply_vocabulary(out.withColumns(filled), list(filled), self.vocabulary)
 
     def labels(self) -> list:
-        """Pooled categories per column; the width of the model, hence small."""
+        """Pooled categories per column, read once; they are the width of the model."""
+        if self._labels is None:
+            self._labels = self._read_labels()
+        return self._labels
+
+    def _read_labels(self) -> list:
         rows = (self.vocabulary.groupBy("column").agg(F.sort_array(F.collect_set("pooled")).alias("labels"))).collect()
         by_column = {r["column"]: list(r["labels"]) for r in rows}
         return [by_column.get(f"{n}{POOLED}", []) or [UNKNOWN] for n in self.categorical]
@@ -61,14 +66,14 @@ def fit_features(train: DataFrame, numeric, categorical, scale: bool, min_freque
         if scale:
             constants["std"] = deviations(train.select(*[
                 F.coalesce(F.col(c).cast("double"), F.lit(constants["median"][c])).alias(c) for c in numeric]), numeric)
-    vocabulary, n_rows = None, 0
+    vocabulary = None
     if categorical:
         found = modes(train, categorical) if fill is None else {}
         constants["fill"] = {c: found.get(c) or fill or UNKNOWN for c in categorical}
         filled = train.select(*[
             F.coalesce(F.col(c).cast("string"), F.lit(constants["fill"][c])).alias(f"{c}{POOLED}") for c in categorical])
-        vocabulary, n_rows = staged_lookup(category_vocabulary(filled, filled.columns, min_frequency))
-    return FeatureModel(numeric, categorical, constants, vocabulary, n_rows)
+        vocabulary = staged_lookup(category_vocabulary(filled, filled.columns, min_frequency))
+    return FeatureModel(numeric, categorical, constants, vocabulary)
 
 
 @dataclass
@@ -98,11 +103,8 @@ class SnapshotModel:
 
 def load_model(spark: SparkSession, path: str) -> SnapshotModel:
     meta = json.loads(spark.read.text(f"{path}/meta").first()["value"])
-    vocabulary, n_rows = None, 0
-    if meta["categorical"]:
-        vocabulary = spark.read.parquet(f"{path}/vocabulary")
-        n_rows = vocabulary.count()
-    features = FeatureModel(meta["numeric"], meta["categorical"], meta["constants"], vocabulary, n_rows)
+    vocabulary = spark.read.parquet(f"{path}/vocabulary") if meta["categorical"] else None
+    features = FeatureModel(meta["numeric"], meta["categorical"], meta["constants"], vocabulary)
     return SnapshotModel(features, PipelineModel.load(f"{path}/stages"), meta["info"])
 
 
@@ -153,24 +155,12 @@ def coefficients(model: SnapshotModel, spark: SparkSession) -> DataFrame:
     return table.withColumn("odds_ratio", F.exp("coef")).orderBy(F.desc("odds_ratio"), "feature")
 
 
-def best_round(losses: list, patience: int) -> int:
-    """Round with the smallest loss before it has failed to improve for ``patience`` rounds."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
-
-
 def fit_boosted_trees(train: DataFrame, validation: DataFrame | None, label: str, numeric, categorical,
-                      max_iter: int = 1000, step: float = 0.03, depth: int = 6, patience: int = 50,
-                      seed: int = 42) -> SnapshotModel:
-    """Boosted trees with balanced weights; the number of rounds comes from the validation rows.
+                      max_iter: int = 1000, step: float = 0.03, depth: int = 6, seed: int = 42) -> SnapshotModel:
+    """Boosted trees with balanced weights, at most ``max_iter`` rounds; the validation rows end the fit.
 
-    One fit of all rounds, its loss per round on the validation rows, and a second fit that
-    stops at the best round (same seed, hence the same trees). Categories are tree splits by
+    One fit: training and validation rows are told apart by a column, and the fit stops at the first round that doesn't lower the
+    loss of the validation rows and keeps the trees up to the best one. Categories are tree splits by
     index; a value unseen in training has a slot of its own.
     """
     train = _ready(train, label)
@@ -182,25 +172,24 @@ def fit_boosted_trees(train: DataFrame, validation: DataFrame | None, label: str
         width = max(len(v) for v in features.labels())
     prep.append(VectorAssembler(inputCols=inputs, outputCol="features"))
     prepared = PipelineModel(stages=prep)
-    # boosting reads its input once per level and round: store the assembled rows
     weights, _ = class_weight_constants(train, label, "w_max")
     weight = class_weight(F.col(label), weights).alias("weight")
-    data = prepared.transform(features.transform(train)).select(label, weight, "features").persist()
 
-    def trees(rounds):
-        return GBTClassifier(featuresCol="features", labelCol=label, weightCol="weight", maxIter=rounds,
-                             stepSize=step, maxDepth=depth, seed=seed, maxBins=max(32, width + 2),
-                             checkpointInterval=20).fit(data)
+    def assembled(df, held_out):
+        return prepared.transform(features.transform(df)).select(label, weight, "features", F.lit(held_out).alias("held_out"))
 
-    model, rounds = trees(max_iter), max_iter
+    data = assembled(train, False)
+    if validation is not None:
+        data = data.union(assembled(_ready(validation, label), True))
+    # boosting reads its input once per level and round: the assembled rows are written
+    data = staged_lookup(data)
+    trees = GBTClassifier(featuresCol="features", labelCol=label, weightCol="weight", maxIter=max_iter, stepSize=step,
+                          maxDepth=depth, seed=seed, maxBins=max(32, width + 2), checkpointInterval=20)
     if validation is not None:
-        held_out = prepared.transform(features.transform(_ready(validation, label))).select(label, weight, "features")
-        rounds = best_round(list(model.evaluateEachIteration(held_out)), patience)
-        if rounds < max_iter:
-            model = trees(rounds)
-    data.unpersist()
+        trees = trees.setValidationIndicatorCol("held_out").setParams(validationTol=0.0)
+    model = trees.fit(data)
     return SnapshotModel(features, PipelineModel(stages=prep + [model]),
-                         {"kind": "trees", "label": label, "rounds": rounds})
+                         {"kind": "trees", "label": label, "rounds": model.getNumTrees})
 
 
 def feature_importance(model: SnapshotModel, spark: SparkSession) -> DataFrame:

@@ -15,7 +15,6 @@ from snapmart.functions.numbers import null_nan, order_key
 
 RANGE_BITS = 16
 COARSE_BITS, FINE_BITS = 10, 20
-SMALL_RANGE_ROWS = 1_000_000
 
 
 def running_sums(df: DataFrame, groups: list, value: str, sums: dict[str, Column],
@@ -60,9 +59,9 @@ def long_values(df: DataFrame, columns: dict[str, Column], names="column", value
 def exact_quantiles(df: DataFrame, columns: dict[str, Column], probs: dict[str, float]) -> dict:
     """Fit exact quantiles with linear interpolation: ``{column: {prob name: value}}``.
 
-    Rank selection in two or three narrowing passes over the pruned columns: counts of coarse
+    Rank selection in three narrowing passes over the pruned columns: counts of coarse
     ranges, of the fine ranges inside the hit coarse ones, and of the values inside the hit
-    ranges; the fine pass is left out where the coarse hits hold few rows. Only counts are
+    ranges. Only counts are
     shuffled, and no task sees more than the members of one range, whereas the built-in exact
     percentile keeps all distinct values of a column in one task. The driver gets at most two
     rows per column and probability and pass. NULL and NaN take no part; a column without
@@ -84,12 +83,9 @@ def exact_quantiles(df: DataFrame, columns: dict[str, Column], probs: dict[str,
         return {}
     totals = {h["column"]: h["_total"] for h in hits}
     targets = sorted({(h["column"], h["range"], h["at"], h["inner"]) for h in hits})
-    leaf = coarse
-    if sum({(h["column"], h["range"]): h["_n"] for h in hits}.values()) > SMALL_RANGE_ROWS:
-        found = _at_ranks(_cumulated(_in_ranges(data, coarse, targets), ["column", coarse], fine), coarse, targets)
-        targets = [(r["column"], r[fine], r["at"], r["left"]) for r in found.select("column", fine, "at", "left").collect()]
-        leaf = fine
-    found = _at_ranks(_cumulated(_in_ranges(data, leaf, targets), ["column", leaf], "value"), leaf, targets)
+    found = _at_ranks(_cumulated(_in_ranges(data, coarse, targets), ["column", coarse], fine), coarse, targets)
+    targets = [(r["column"], r[fine], r["at"], r["left"]) for r in found.select("column", fine, "at", "left").collect()]
+    found = _at_ranks(_cumulated(_in_ranges(data, fine, targets), ["column", fine], "value"), fine, targets)
     at = {(r["column"], r["at"]): r["value"] for r in found.select("column", "at", "value").collect()}
 
     out = defaultdict(dict)

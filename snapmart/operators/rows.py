@@ -113,6 +113,14 @@ def keep_unique(df: DataFrame, keys) -> DataFrame:
                          for c in df.columns])
 
 
+def distinct_rows(df: DataFrame, order: str | None = None) -> DataFrame:
+    """Repeated rows once; the ordinal takes no part and the smallest one of equal rows stays."""
+    if order is None or order not in df.columns:
+        return df.dropDuplicates()
+    rest = [c for c in df.columns if c != order]
+    return df.groupBy(*rest).agg(F.min(order).alias(order)).select(*df.columns)
+
+
 def dedup_report(df: DataFrame, partition: str, key: str) -> DataFrame:
     """Rows before and after :func:`keep_unique` in each partition.
 

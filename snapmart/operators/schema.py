@@ -10,7 +10,6 @@ from snapmart.functions.numbers import parse_number
 LABEL_NAMES = ["Churn", "label", "churn", "is_churn", "target", "y"]
 KEY_NAMES = ["customerID", "Customer_ID", "customer_id", "CUSTOMER_ID", "cust_id",
              "CustomerId", "CustomerID", "id", "ID"]
-SNAPSHOT_NAMES = ["snapdate", "snapshot_date", "SNAPSHOT_DATE"]
 CALENDAR_NAMES = ["year", "month", "year_month"]
 
 

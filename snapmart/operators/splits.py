@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 MONITOR_MONTHS = 5
 TRAIN_SHARE = 0.75
-HASH_DIGITS = 4
+#: Leading hash digits of the ranges of each counting pass; the last one looks at whole hashes.
+HASH_DIGITS = (4, 8, 32)
 
 
 def month_calendar(bounds: DataFrame, start: str = "start", end: str = "end") -> DataFrame:
@@ -69,39 +70,49 @@ def time_split(df: DataFrame, snap: str = "snapdate") -> DataFrame:
             .drop("_cuts"))
 
 
-def stratified_split(df: DataFrame, label: str, key: str, test_share: float = 0.2, seed: int = 42) -> DataFrame:
+def stratified_split(df: DataFrame, label: str, key, test_share: float = 0.2, seed: int = 42) -> DataFrame:
     """Add ``part`` (test/train): in each class, the ceil(share) of rows with the smallest key hashes.
 
-    The split depends on the key only, not on partitioning or row order. Instead of ranking a
-    class in one task, the hash at the cut is fitted by counting: first per leading hash digits
-    (evenly filled ranges), then among the hashes of the one range that holds the cut. One row
-    per class reaches the driver in each step; the rows themselves are neither shuffled nor
-    joined. Rows with equal keys stay on one side, rows without a class in train.
+    ``key`` names the column or columns that tell rows apart, for monthly rows customer and month; rows with equal keys
+    stay on one side, so the share is exact for unique keys only. The split depends on the key alone, not
+    on partitioning or row order. Instead of ranking a class in one task, the hash at the cut is fitted by counting:
+    per leading digits, per more digits inside the range that holds the cut, then among the hashes left, each
+    level of ranges evenly filled. One row per class reaches the driver in each step; the rows themselves are neither
+    shuffled nor joined. Rows without a class are in train.
     """
-    hashed = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
-    counted = (df.filter(F.col(label).isNotNull())
-               .select(F.col(label).alias("_y"), hashed.alias("_h"), F.substring(hashed, 1, HASH_DIGITS).alias("_range")))
-
-    def cumulated(frame, child):
-        counts = frame.groupBy("_y", child).agg(F.count(F.lit(1)).alias("_n"))
-        return counts.withColumn("_upto", F.sum("_n").over(Window.partitionBy("_y").orderBy(child)))
-
+    keys = [key] if isinstance(key, str) else list(key)
+    hashed = F.md5(F.concat(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]), F.lit(f":{seed}")))
+    counted = df.filter(F.col(label).isNotNull()).select(F.col(label).alias("_y"), hashed.alias("_h"))
     take = F.ceil(F.sum("_n").over(Window.partitionBy("_y")) * F.lit(test_share))
-    ranges = (cumulated(counted, "_range").withColumn("_take", take)
-              .filter((F.col("_upto") >= F.col("_take")) & (F.col("_upto") - F.col("_n") < F.col("_take")))
-              .select("_y", "_range", (F.col("_take") - F.col("_upto") + F.col("_n")).alias("_left")).collect())
-    in_range, left = F.lit(False), F.lit(None).cast("bigint")
-    for r in ranges:
-        in_range = in_range | ((F.col("_y") == r["_y"]) & (F.col("_range") == r["_range"]))
-        left = F.when(F.col("_y") == r["_y"], F.lit(r["_left"])).otherwise(left)
-    cuts = (cumulated(counted.filter(in_range), "_h").filter(F.col("_upto") - F.col("_n") < left)
-            .groupBy("_y").agg(F.max("_h").alias("_cut")).collect())
+    left: dict = {}
+    for level, digits in enumerate(HASH_DIGITS):
+        part = F.substring("_h", 1, digits)
+        counts = counted.groupBy("_y", part.alias("_range")).agg(F.count(F.lit(1)).alias("_n"))
+        wanted = take if level == 0 else _per_class(left)
+        upto = counts.withColumn("_upto", F.sum("_n").over(Window.partitionBy("_y").orderBy("_range"))).withColumn("_take", wanted)
+        before = F.col("_upto") - F.col("_n")
+        if digits == HASH_DIGITS[-1]:
+            cuts = upto.filter(before < F.col("_take")).groupBy("_y").agg(F.max("_range").alias("_cut")).collect()
+            break
+        at = upto.filter((F.col("_upto") >= F.col("_take")) & (before < F.col("_take"))).collect()
+        left = {r["_y"]: r["_take"] - r["_upto"] + r["_n"] for r in at}
+        inside = F.lit(False)
+        for r in at:
+            inside = inside | ((F.col("_y") == r["_y"]) & (part == r["_range"]))
+        counted = counted.filter(inside)
     is_test = F.lit(False)
     for r in cuts:
         is_test = is_test | ((F.col(label) == r["_y"]) & (hashed <= r["_cut"]))
     return df.withColumn("part", F.when(is_test, "test").otherwise("train"))
 
 
+def _per_class(values: dict) -> Column:
+    out = F.lit(None).cast("bigint")
+    for y, n in values.items():
+        out = F.when(F.col("_y") == y, F.lit(n)).otherwise(out)
+    return out
+
+
 def label_distribution(df: DataFrame, label: str) -> DataFrame:
     """(label, n, rate) per class."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))

@@ -15,6 +15,13 @@ def latest_features(df: DataFrame, name: str, key: str, order: str, snap: str =
     return df.withColumnRenamed(snap, f"{name}_{snap}")
 
 
+def join_tables(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Inner join on ``key``; a column that both sides have becomes ``_x`` (left) and ``_y`` (right)."""
+    both = set(left.columns) & set(right.columns) - {key}
+    return (left.withColumnsRenamed({c: f"{c}_x" for c in both})
+            .join(right.withColumnsRenamed({c: f"{c}_y" for c in both}), key))
+
+
 def gold_snapshot(labels: DataFrame, features: dict[str, DataFrame], key: str = "customerID",
                   snap: str = "snapdate", order: str = "ord_") -> DataFrame:
     """Labels of all months with the feature row of their customer; all inner joins on ``key``.
@@ -31,4 +38,4 @@ def gold_snapshot(labels: DataFrame, features: dict[str, DataFrame], key: str =
     rows = [latest_features(features[n], n, key, order, snap) for n in names if key in features[n].columns]
     if not rows:
         return labels
-    return labels.join(reduce(lambda a, b: a.join(b, key), rows), key)
+    return join_tables(labels, reduce(lambda a, b: join_tables(a, b, key), rows), key)

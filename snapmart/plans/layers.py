@@ -6,18 +6,31 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from snapmart.operators.clean import clean_contract, clean_demographic, clean_financial, clean_service
-from snapmart.operators.rows import parse_snapshot_date
+from snapmart.functions.dates import fit_date_format
+from snapmart.operators.lookup import staged_lookup
+from snapmart.operators.rows import dedup_report, keep_unique, parse_snapshot_date
 from snapmart.plans.gold import gold_snapshot
-from snapmart.sources.layers import layer_path, write_snapshots
+from snapmart.sources.layers import layer_path, overwrite_snapshots, write_snapshots
 
 CLEANERS = {"demographic": clean_demographic, "financial": lambda df: clean_financial(df, order="ord_"),
             "contract": clean_contract, "service": clean_service}
 
 
+def date_format(df: DataFrame, snap: str = "snapdate", samples: int = 1000) -> str:
+    """Format of the first text of a date column that is in a known format, looked for in a bounded number of rows."""
+    return fit_date_format(r[snap] for r in df.select(F.col(snap).cast("string").alias(snap)).filter(F.col(snap).isNotNull()).limit(samples).collect())
+
+
 def run_bronze(spark: SparkSession, inputs: dict[str, DataFrame], root: str) -> Observation:
-    """Labels by snapshot date (rejected rows are counted on the way), features unchanged."""
+    """Labels by snapshot date (rejected rows are counted on the way), features unchanged.
+
+    The format of the dates comes from the first value that has a known one; a table all of whose rows are rejected is an error.
+    """
     rejected = Observation("rejected_labels")
-    write_snapshots(parse_snapshot_date(inputs["label"], rejected=rejected), layer_path(root, "bronze", "label"))
+    labels, fmt = inputs["label"], date_format(inputs["label"])
+    if parse_snapshot_date(labels, fmt=fmt).isEmpty() and not labels.isEmpty():
+        raise ValueError("no snapshot date of the label table can be read")
+    write_snapshots(parse_snapshot_date(labels, fmt=fmt, rejected=rejected), layer_path(root, "bronze", "label"))
     for name, df in inputs.items():
         if name != "label":
             df.write.mode("overwrite").parquet(layer_path(root, "bronze", name))
@@ -48,6 +61,21 @@ def run_layers(spark: SparkSession, inputs: dict[str, DataFrame], root: str) ->
     return rejected
 
 
+def run_gold_dedup(spark: SparkSession, root: str, key: str = "customerID", snap: str = "snapdate") -> DataFrame:
+    """Keeps the customers that occur once in each gold snapshot, in place; returns the report by date.
+
+    Only dates with repeated customers are written again, from a copy in the shared folder.
+    """
+    path = layer_path(root, "gold", "gold")
+    report = staged_lookup(dedup_report(spark.read.parquet(path), snap, key))
+    dirty = report.filter("dropped > 0").select(snap)
+    gold = spark.read.parquet(path)
+    kept = staged_lookup(keep_unique(gold.join(dirty, snap, "left_semi").select(*gold.columns), [key, snap]))
+    if not kept.isEmpty():
+        overwrite_snapshots(kept, path)
+    return report
+
+
 def layer_row_counts(spark: SparkSession, root: str, names) -> DataFrame:
     """(layer, table, n) of everything written; the counts come from file footers."""
     tables = [(layer, n) for layer in ("bronze", "silver") for n in names] + [("gold", "gold")]

@@ -5,9 +5,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from snapmart.operators.lookup import staged_lookup
 from snapmart.operators.metrics import monthly_metrics
 from snapmart.operators.models import SnapshotModel
 from snapmart.operators.splits import snapshot_range
+from snapmart.sources.csv import write_csv
+from snapmart.sources.layers import write_json
 
 
 def score_months(gold: DataFrame, models: dict[str, SnapshotModel], label: str, start: str, end: str,
@@ -22,5 +25,11 @@ def score_months(gold: DataFrame, models: dict[str, SnapshotModel], label: str,
 
 
 def monitor(gold: DataFrame, models: dict[str, SnapshotModel], label: str, start: str, end: str,
-            key: str = "customerID", snap: str = "snapdate") -> DataFrame:
-    return monthly_metrics(score_months(gold, models, label, start, end, key, snap), ["model", "month"])
+            key: str = "customerID", snap: str = "snapdate", root: str | None = None) -> DataFrame:
+    """Metrics by model and month; with ``root`` they are also written there, as CSV and JSON."""
+    report = monthly_metrics(score_months(gold, models, label, start, end, key, snap), ["model", "month"])
+    if root is not None:
+        report = staged_lookup(report)
+        write_csv(report, f"{root}/monitor_summary")
+        write_json(report, f"{root}/monitor_json")
+    return report

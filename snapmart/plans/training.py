@@ -28,7 +28,8 @@ def training_frame(gold: DataFrame, start: str = TRAIN_RANGE[0], end: str = TRAI
                    key: str = "customerID", snap: str = "snapdate", order: str | None = "ord_") -> DataFrame:
     """Labelled rows of the training months: 0/1 label, month dates, last row per (key, month).
 
-    The date filter runs first, so that it reaches the partitions of the scan.
+    The date filter runs first, so that it reaches the partitions of the scan. Without an ordinal (``order`` is None or
+    missing) the row with the last full date stays.
     """
     label = label_column(gold)
     if label is None:
@@ -36,11 +37,11 @@ def training_frame(gold: DataFrame, start: str = TRAIN_RANGE[0], end: str = TRAI
     df = normalize_key(require_columns(gold, key, snap), key)
     last_day = F.last_day(F.lit(end).cast("date"))
     df = df.filter(F.col(snap).between(F.trunc(F.lit(start).cast("date"), "month"), last_day))
-    df = df.withColumn(snap, month_of(F.col(snap)).cast("date")).withColumn(label, map_binary_label(F.col(label)))
+    df = df.withColumn("_when", F.col(snap)).withColumn(snap, month_of(F.col(snap)).cast("date")).withColumn(label, map_binary_label(F.col(label)))
     df = snapshot_range(df.filter(F.col(label).isNotNull()), start, end, snap)
     if label != "Churn":
         df = df.withColumnRenamed(label, "Churn")
-    return keep_last(df, [key, snap], order) if order else df
+    return keep_last(df, [key, snap], order if order in df.columns else "_when").drop("_when")
 
 
 def model_matrix(df: DataFrame, label: str, keep=(), fit_on: DataFrame | None = None) -> DataFrame:
@@ -106,9 +107,10 @@ def train_trees(gold: DataFrame, root: str, train: tuple = TRAIN_RANGE, oot: tup
     label = label_column(gold)
     coded = gold.withColumn(label, map_binary_label(F.col(label))).filter(F.col(label).isNotNull())
     ranged = coded.withColumn("_range", month_range_label(F.col(snap), {"train": train, "oot": oot}))
-    df = stage(calendar_features(cast_numeric_text(ranged.filter(F.col("_range").isNotNull()), exclude=(key, label, "_range"))))
-    parts = stratified_split(df.filter("_range = 'train'"), label, key)
-    keep = (key, label, "_range", "part")
+    monthly = ranged.filter(F.col("_range").isNotNull()).withColumn("_month", F.date_format(snap, "yyyy-MM-dd"))
+    df = stage(calendar_features(cast_numeric_text(monthly, exclude=(key, label, "_range", "_month"))))
+    parts = stratified_split(df.filter("_range = 'train'"), label, [key, "_month"])
+    keep = (key, label, "_range", "_month", "part")
     numeric, categorical = feature_columns(parts, keep)
     model = fit_boosted_trees(parts.filter("part = 'train'"), parts.filter("part = 'test'"), label, numeric, categorical, **options)
     save_version(spark, model, root, "trees")
@@ -134,7 +136,8 @@ def predict_latest(gold: DataFrame, root: str, name: str, key: str = "customerID
     needed = {c: "double" for c in model.features.numeric} | {c: "string" for c in model.features.categorical}
     dated = calendar_features(frame) if any(c.startswith(f"{snap}_") for c in needed) else frame
     wanted = StructType.fromDDL(", ".join(f"`{c}` {t}" for c, t in needed.items()))
-    ready = align_to_schema(dated, wanted.add(key, "string"))
+    # a tree model has splits on 0 for what is missing, a linear one imputes
+    ready = align_to_schema(dated, wanted.add(key, "string"), fill=0 if model.info["kind"] == "trees" else None)
     out = model.score(ready).select(key, "prediction", F.col("p").alias("probability"))
     write_csv(out, f"{root}/{name}_predictions")
     return out

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from snapmart.functions.dates import date_from_name
 from snapmart.operators.splits import snapshot_range
-from snapmart.sources.csv import can_read
+from snapmart.sources.csv import ORDER, can_read, read_csv_any
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -43,10 +43,11 @@ def read_snapshots(spark: SparkSession, path: str, start: str | None = None, end
     return df
 
 
-def read_named_files(spark: SparkSession, path: str, snap: str = "snapdate") -> DataFrame:
-    """CSV files whose names carry the date (``gold_YYYY_MM_DD.csv``), as one scan; others are skipped."""
-    df = spark.read.csv(path, header=True)
-    return df.select("*", date_from_name(F.col("_metadata.file_name")).alias(snap)).filter(F.col(snap).isNotNull())
+def read_named_files(spark: SparkSession, path: str, snap: str = "snapdate", order: str | None = ORDER, **options) -> DataFrame:
+    """CSV files whose names, or folders' names, carry the date (``gold_YYYY_MM_DD.csv``), as one table; others are skipped."""
+    file = F.regexp_extract(F.col("_metadata.file_path"), r"[^/]*\d{4}_\d{2}_\d{2}[^/]*", 0)
+    df = read_csv_any(spark, path, order=order, extra={snap: date_from_name(file)}, **options)
+    return df.filter(F.col(snap).isNotNull())
 
 
 def newest_file(spark: SparkSession, path: str) -> str:

@@ -69,7 +69,7 @@ def test_models_reload_with_equal_scores(spark, frame, tmp_path):
     root = str(tmp_path)
     train, test = frame.filter("id % 4 != 0"), frame.filter("id % 4 = 0")
     fitted = {"logreg": models.fit_logistic(train, "y", ["x", "z"], ["c"]),
-              "trees": models.fit_boosted_trees(train, test, "y", ["x", "z"], ["c"], max_iter=6, depth=3, patience=3)}
+              "trees": models.fit_boosted_trees(train, test, "y", ["x", "z"], ["c"], max_iter=6, depth=3)}
     assert latest_version(spark, root, "logreg") is None
     with pytest.raises(FileNotFoundError):
         load_latest(spark, root, "logreg")
@@ -88,9 +88,10 @@ def test_models_reload_with_equal_scores(spark, frame, tmp_path):
     assert len(report) == 8 and all(r["auc"] > 0.5 and r["n"] == 120 for r in report)
 
 
-def test_best_round():
-    assert models.best_round([0.9, 0.8, 0.7, 0.75, 0.74, 0.6], 2) == 3
-    assert models.best_round([0.9, 0.8, 0.7, 0.75, 0.74, 0.6], 50) == 6
+def test_validation_rows_end_the_boosting(spark, frame):
+    train, test = frame.filter("id % 4 != 0"), frame.filter("id % 4 = 0")
+    model = models.fit_boosted_trees(train, test, "y", ["x", "z"], ["c"], max_iter=60, step=0.3, depth=3)
+    assert 2 <= model.info["rounds"] < 60
 
 
 def test_class_weights(spark, frame):

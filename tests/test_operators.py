@@ -14,7 +14,7 @@ def pairs(df, *cols):
 
 
 # --- order statistics ----------------------------------------------------------------------
-def test_quantiles_equal_numpy(spark, monkeypatch):
+def test_quantiles_equal_numpy(spark):
     rng = np.random.default_rng(1)
     data = {"a": np.array([1, 2, 3.5, 10, 11.25, 40, 7]), "b": rng.normal(0, 1, 3000), "c": np.repeat([5.0, -2.0], 400),
             "d": np.concatenate([rng.lognormal(0, 9, 2000), [0.0, -1e300, 1e300, 5e-324]])}
@@ -22,13 +22,11 @@ def test_quantiles_equal_numpy(spark, monkeypatch):
     df = spark.createDataFrame(table, "n string, v double").repartition(7)
     cols = {n: F.when(F.col("n") == n, F.col("v")) for n in data} | {"empty": F.lit(None).cast("double")}
     probs = {"q1": 0.25, "m": 0.5, "q3": 0.75, "lo": 0.0, "hi": 1.0}
-    for limit in (10 ** 6, 10):
-        monkeypatch.setattr(ordering, "SMALL_RANGE_ROWS", limit)
-        got = ordering.exact_quantiles(df, cols, probs)
-        assert "empty" not in got
-        for n, vs in data.items():
-            for name, q in probs.items():
-                assert got[n][name] == pytest.approx(np.quantile(vs, q), rel=1e-12), (n, name, limit)
+    got = ordering.exact_quantiles(df, cols, probs)
+    assert "empty" not in got
+    for n, vs in data.items():
+        for name, q in probs.items():
+            assert got[n][name] == pytest.approx(np.quantile(vs, q), rel=1e-12), (n, name)
 
 
 def test_modes_take_the_smallest_of_ties(spark):
@@ -96,12 +94,12 @@ GOLDEN = {
 }
 
 
-def test_canonical_categories_both_ways(spark):
+def test_canonical_categories(spark):
     for column, mapping in GOLDEN.items():
         df = spark.createDataFrame([(i, raw) for i, raw in enumerate(mapping)], f"i int, {column} string")
         specs = {column: fuzzy.DEMOGRAPHIC_SPECS[column]}
-        for got in (fuzzy.canonicalize(df, specs), fuzzy.canonicalize(df, specs, max_rows=0), fuzzy.canonicalize_in_place(df, specs)):
-            assert [r[column] for r in got.orderBy("i").collect()] == list(mapping.values()), column
+        got = fuzzy.canonicalize(df, specs)
+        assert [r[column] for r in got.orderBy("i").collect()] == list(mapping.values()), column
 
 
 def test_numeric_policies(spark):
@@ -142,19 +140,19 @@ def test_contract_and_service(spark):
 
 
 # --- lookup, vocabulary --------------------------------------------------------------------
-def test_lookup_join_is_the_same_beyond_the_bound(spark):
+def test_lookup_join_is_the_same_by_broadcast_and_by_shuffle(spark):
     df = spark.createDataFrame([("hot", i % 3) for i in range(300)] + [(None, 1), ("rare", 2)], "k string, v int")
     table = spark.createDataFrame([("hot", 1), ("rare", 2), ("unused", 3)], "k string, w int")
-    small = lookup.lookup_join(df, table, 3, ["k"]).select("k", "v", "w")
-    salted = lookup.lookup_join(df, table, 3, ["k"], max_rows=1).select("k", "v", "w")
-    assert small.count() == 302 and small.exceptAll(salted).count() == 0 and salted.exceptAll(small).count() == 0
+    small = lookup.lookup_join(df, lookup.staged_lookup(table), ["k"]).select("k", "v", "w")
+    shuffled = lookup.lookup_join(df, table.hint("merge"), ["k"]).select("k", "v", "w")
+    assert small.count() == 302 and small.exceptAll(shuffled).count() == 0 and shuffled.exceptAll(small).count() == 0
 
 
 def test_rare_pooling_and_unknown(spark):
     train = spark.createDataFrame([("a",)] * 12 + [("b",)] * 3, "c string")
-    vocabulary, n = lookup.staged_lookup(features.category_vocabulary(train, ["c"], 10))
+    vocabulary = lookup.staged_lookup(features.category_vocabulary(train, ["c"], 10))
     new = spark.createDataFrame([(1, "a"), (2, "b"), (3, "never")], "i int, c string")
-    got = features.apply_vocabulary(new, ["c"], vocabulary, n).orderBy("i").collect()
+    got = features.apply_vocabulary(new, ["c"], vocabulary).orderBy("i").collect()
     assert [r["c"] for r in got] == ["a", features.INFREQUENT, None]
 
 
@@ -179,6 +177,26 @@ def test_stratified_split_is_exact_and_stable(spark):
     assert splits.stratified_split(df, "y", "k").count() == 1500
 
 
+def test_stratified_split_of_months_with_repeated_customers(spark):
+    df = spark.createDataFrame([(1 if i < 500 else i, f"m{i}", 1) for i in range(1000)] + [(None, "m", None)], "k int, month string, y int")
+    got = splits.stratified_split(df, "y", ["k", "month"])
+    assert {r["part"]: r["count"] for r in got.groupBy("part").count().collect()} == {"test": 200, "train": 801}
+
+
+def test_distinct_ignores_the_ordinal(spark):
+    df = spark.createDataFrame([("a", None, 1), ("a", None, 2), ("b", "x", 3), ("b", "x", 4), ("b", "y", 5)], "customerID string, Contract string, ord_ int")
+    assert pairs(clean.clean_contract(df), "customerID", "ord_") == [("a", 1), ("b", 3), ("b", 5)]
+    assert clean.clean_service(df).count() == 3
+
+
+def test_tables_with_equal_names(spark):
+    from snapmart.plans.gold import join_tables
+
+    a, b = (spark.createDataFrame([("k", v)], "customerID string, Plan string") for v in ("p", "q"))
+    row = join_tables(a, b, "customerID").first()
+    assert row.asDict() == {"customerID": "k", "Plan_x": "p", "Plan_y": "q"}
+
+
 def test_months(spark):
     bounds = spark.createDataFrame([(dt.date(2023, 11, 5), dt.date(2024, 2, 1))], "start date, end date")
     calendar = splits.month_calendar(bounds)

@@ -36,6 +36,42 @@ def test_csv_western_encoding(spark, tmp_path):
         csv.detect_encoding(spark, str(path), ("utf-8",))
 
 
+def test_each_file_in_its_own_encoding(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("k,v\n1,caf\u00e9\u65e0\n".encode("utf-8"))
+    (tmp_path / "b.csv").write_bytes("k,v\n2,\u65e0\u660e\n".encode("gb18030"))
+    assert {e: len(f) for e, f in csv.detect_encodings(spark, str(tmp_path)).items()} == {"utf-8": 1, "gb18030": 1}
+    assert [r["v"] for r in csv.read_csv_any(spark, str(tmp_path)).orderBy("k").collect()] == ["caf\u00e9\u65e0", "\u65e0\u660e"]
+
+
+def test_records_over_several_lines_are_read_or_refused(spark, tmp_path):
+    (tmp_path / "q.csv").write_text('k,v\n1,"a\nb"\n2,"c ""d"""\n')
+    with pytest.raises(ValueError, match="multi_line"):
+        csv.read_csv_any(spark, str(tmp_path))
+    got = csv.read_csv_any(spark, str(tmp_path), multi_line=True, order=None).orderBy("k").collect()
+    assert [r["v"] for r in got] == ["a\nb", 'c "d"']
+
+
+def test_bronze_reads_the_date_format_off_the_data(spark, tmp_path):
+    from snapmart.plans.layers import run_bronze
+
+    labels = spark.createDataFrame([("a", "2024/05/01", "Yes"), ("b", "2024/06/01", "No"), ("c", "?", "No")], "customerID string, snapdate string, Churn string")
+    assert run_bronze(spark, {"label": labels}, str(tmp_path / "x")).get == {"n_rows": 3, "n_bad": 1}
+    with pytest.raises(ValueError, match="no snapshot date"):
+        run_bronze(spark, {"label": labels.filter("customerID = 'c'")}, str(tmp_path / "y"))
+
+
+def test_gold_duplicates_go_in_place(spark, tmp_path):
+    from snapmart.plans.layers import run_gold_dedup
+    from snapmart.sources.layers import layer_path, read_snapshots, write_snapshots
+
+    gold = spark.createDataFrame([("a", dt.date(2024, 5, 1), 1), ("a", dt.date(2024, 5, 1), 2), ("b", dt.date(2024, 5, 1), 3), ("a", dt.date(2024, 6, 1), 4)],
+                                 "customerID string, snapdate date, v int")
+    path = layer_path(str(tmp_path), "gold", "gold")
+    write_snapshots(gold, path)
+    report = {r["snapdate"].month: r["dropped"] for r in run_gold_dedup(spark, str(tmp_path)).collect()}
+    assert report == {5: 2, 6: 0} and sorted(r["v"] for r in read_snapshots(spark, path).collect()) == [3, 4]
+
+
 def test_guarded_read(spark, tmp_path):
     assert csv.read_csv_if_ready(spark, str(tmp_path / "none.csv"), "customerID") is None
     path = tmp_path / "t.csv"
