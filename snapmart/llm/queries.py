@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from snapmart.llm import fingerprints, line_dedup, mixing, neighbours, ngram_join, packing, quality, secret_scan, substring_dedup, toxicity
 from snapmart.llm.common import documents, table
+from snapmart.llm.oracles import ORACLES
 
 #: Folder of the public tokenizers' files; without it the installed package tells.
 TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS")
@@ -67,4 +68,4 @@ def registered():
 
 
 def oracle_sql():
-    return {}
+    return dict(ORACLES)
