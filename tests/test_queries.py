@@ -3,14 +3,15 @@
 import pytest
 
 import __spark_entry__ as entry
+from snapmart.catalog import oracles, queries as catalog
 from tests.compare import check, duck
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalog.registered(), oracles.oracle_sql()
 
 
 def test_names():
-    assert set(SQL) <= set(QUERIES)
+    assert set(SQL) <= set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
     assert set(QUERIES) - set(SQL) == {"logreg_train_predict", "logreg_coefficients", "gbt_train_predict", "feature_importance",
                                        "batch_score", "monitor_models"}
 
