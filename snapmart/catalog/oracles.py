@@ -411,6 +411,20 @@ def oracle_sql():
             "SELECT customerID, EducationLevel, CASE WHEN AnnualIncomeBracket = 'n / a' THEN AnnualIncomeBracket ELSE AnnualIncomeBracket END "
             "AS AnnualIncomeBracket, CAST(ord_ AS VARCHAR) AS ord_, CASE WHEN ord_ % 2 = 0 THEN DATE '2024-01-01' ELSE DATE '2024-02-01' END "
             "AS snapdate FROM fx_demographic", "fx_demographic"),
+        "logreg_optimality": sql(
+            "SELECT 'n_chars' AS feature, TRUE AS stationary UNION ALL SELECT DISTINCT 'lang_' || CASE WHEN n < 10 THEN '__infrequent__' ELSE lang END, TRUE "
+            "FROM (SELECT lang, count(*) AS n FROM train_docs GROUP BY lang) a UNION ALL SELECT DISTINCT 'source_' || CASE WHEN n < 10 THEN "
+            "'__infrequent__' ELSE source END, TRUE FROM (SELECT source, count(*) AS n FROM train_docs GROUP BY source) b",
+            extra=SPLIT_PART + ",\ntrain_docs AS (SELECT d.* FROM documents d JOIN ranked r USING (doc_id) WHERE rn - 1 >= 0.2 * n)"),
+        "gbt_agreement": sql("SELECT doc_id, quality, CASE WHEN rn - 1 < 0.2 * n THEN 'test' ELSE 'train' END AS part, TRUE AS agrees "
+                             "FROM ranked", extra=SPLIT_PART),
+        "batch_score_agreement": sql(
+            "SELECT customerID, CASE lower(Churn) WHEN 'yes' THEN 1 WHEN 'no' THEN 0 END AS y, TRUE AS agrees FROM gold "
+            "WHERE snapdate = (SELECT max(snapdate) FROM gold)", "gold"),
+        "monitor_counts": sql(
+            "SELECT model, CAST(date_trunc('month', snapdate) AS DATE) AS month, count(*) AS n, count(*) FILTER (lower(Churn) = 'yes') AS positives "
+            "FROM gold, (SELECT unnest(['logreg', 'trees']) AS model) m WHERE lower(Churn) IN ('yes', 'no') "
+            f"AND snapdate BETWEEN DATE '{OOT[0]}' AND DATE '{OOT[1]}' GROUP BY ALL", "gold"),
         "confusion_matrix": sql(f"SELECT model, month, {CELLS} FROM fx_scores GROUP BY model, month", "fx_scores"),
         "threshold_metrics": sql(f"SELECT model, month, round({ACC} + 1e-12, 9) AS accuracy, round({PREC} + 1e-12, 9) AS precision, "
                                  f"round({REC} + 1e-12, 9) AS recall, round({F1} + 1e-12, 9) AS f1 FROM "

@@ -410,6 +410,26 @@ def feature_importance(spark, sf_dir):
     return models.feature_importance(model, spark)
 
 
+@query
+def logreg_optimality(spark, sf_dir):
+    """The kept features, and whether the loss is stationary in each at the fitted coefficients."""
+    _, train, _ = document_parts(spark, sf_dir)
+    model = models.fit_logistic(train, "quality", DOC_NUMERIC, DOC_CATEGORICAL)
+    return models.stationarity(model, train, "quality").drop("gradient")
+
+
+def agreeing(scores, *columns):
+    """Scores lie in 0 to 1 and predictions are what the scores say."""
+    return scores.select(*columns, ((F.col("prediction") == (F.col("p") >= 0.5).cast("int")) & F.col("p").between(0, 1)).alias("agrees"))
+
+
+@query
+def gbt_agreement(spark, sf_dir):
+    parts, train, test = document_parts(spark, sf_dir)
+    model = models.fit_boosted_trees(train, test, "quality", DOC_NUMERIC, DOC_CATEGORICAL)
+    return agreeing(model.score(parts), "doc_id", "quality", "part")
+
+
 GOLD_NUMERIC = [*NUMBERS, "CustomerSatisfactionScore"]
 GOLD_CATEGORICAL = ["Contract", "PaymentMethod", "InternetService", "StreamingTV", *DEMOGRAPHIC_SPECS]
 
@@ -442,6 +462,17 @@ def monitor_models(spark, sf_dir):
     return monitor(gold, fitted, "Churn", *OOT)
 
 
+@query
+def batch_score_agreement(spark, sf_dir):
+    return agreeing(batch_score(spark, sf_dir), "customerID", "y")
+
+
+@query
+def monitor_counts(spark, sf_dir):
+    """Rows and positives that each model is monitored on, by month."""
+    return monitor_models(spark, sf_dir).select("model", "month", "n", "positives")
+
+
 # --- evaluation ----------------------------------------------------------------------------
 def scores(spark, sf_dir):
     return view(spark, sf_dir, "fx_scores")

@@ -155,6 +155,24 @@ def coefficients(model: SnapshotModel, spark: SparkSession) -> DataFrame:
     return table.withColumn("odds_ratio", F.exp("coef")).orderBy(F.desc("odds_ratio"), "feature")
 
 
+def stationarity(model: SnapshotModel, train: DataFrame, label: str, c: float = 1.0, tolerance: float = 1e-5) -> DataFrame:
+    """(feature, gradient, stationary) of a logistic model on its training rows.
+
+    At the fitted coefficients the gradient of the penalised loss is zero in every feature; unlike the coefficients, that can be
+    told without solving the model again. One aggregate over the rows in long form.
+    """
+    train = _ready(train, label)
+    weights, n = class_weight_constants(train, label, "w_balanced")
+    rows = model.features.transform(model.score(train))
+    error = class_weight(F.col(label), weights) * (F.col("p") - F.col(label))
+    numeric = [F.struct(F.lit(name).alias("feature"), (error * F.col(f"{name}{POOLED}")).alias("part")) for name in model.features.numeric]
+    categories = [F.struct(F.concat(F.lit(f"{name}_"), F.col(f"{name}{POOLED}")).alias("feature"), error.alias("part")) for name in model.features.categorical]
+    sums = rows.select(F.inline(F.array(*numeric, *categories))).groupBy("feature").agg((F.sum("part") / n).alias("loss"))
+    fitted = coefficients(model, train.sparkSession).select("feature", "coef")
+    gradient = fitted.join(sums, "feature", "left").withColumn("gradient", F.coalesce("loss", F.lit(0.0)) + F.col("coef") / (c * n))
+    return gradient.select("feature", "gradient", (F.abs("gradient") <= tolerance).alias("stationary"))
+
+
 def fit_boosted_trees(train: DataFrame, validation: DataFrame | None, label: str, numeric, categorical,
                       max_iter: int = 1000, step: float = 0.03, depth: int = 6, seed: int = 42) -> SnapshotModel:
     """Boosted trees with balanced weights, at most ``max_iter`` rounds; the validation rows end the fit.
