@@ -2,7 +2,7 @@
 
 import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -13,7 +13,7 @@ from snapmart.llm.quality import firsts, labelled, scored
 #: Labelled documents that a model is fitted on at most, the ones with the smallest hashes of their ids.
 SAMPLE = 6000
 #: Labelled documents whose tokens train the chain at most; word evidence and calibration use the whole sample.
-CHAIN_SAMPLE = 1500
+CHAIN_SAMPLE = 600
 #: A word is labelled toxic where its log odds between toxic and other documents come to this much.
 STRONG = 3.0
 #: Words that a Python worker remembers at most, and tokens that are worked on at once.
@@ -41,27 +41,39 @@ def evidence(texts: list[str], marks: np.ndarray) -> dict[str, float]:
     words of a copied document are no evidence. Units in fewer than four, or in fewer than one for each
     twenty toxic documents, are left out.
     """
-    places = defaultdict(set)
-    tokens = [0, 0]
-    for text in (t for t, m in zip(texts, marks, strict=True) if m):
-        words = _words(text)
-        tokens[1] += len(words)
-        for before, word, after in zip(["", *words], words, [*words[1:], ""], strict=False):
+    def counts(mark: int) -> Counter:
+        found: Counter = Counter()
+        for text in (t for t, m in zip(texts, marks, strict=True) if m == mark):
+            found.update(_words(text))
+        return found
+
+    def by_unit(words: Counter, wanted=None) -> Counter:
+        found: Counter = Counter()
+        for word, n in words.items():
             for unit in units(word):
-                places[unit].add(hash((before, word, after)))
+                if wanted is None or unit in wanted:
+                    found[unit] += n
+        return found
+
+    words, other_words = counts(1), counts(0)
     least = max(4, 0.05 * marks.sum())
-    toxic = {unit: len(found) for unit, found in places.items() if len(found) >= least}
-    others = Counter()
-    for text in (t for t, m in zip(texts, marks, strict=True) if not m):
-        words = _words(text)
-        tokens[0] += len(words)
-        for word, n in Counter(words).items():
+    ratio = (other_words.total() + 1) / (words.total() + 1)
+    toxic = {unit: n for unit, n in by_unit(words).items() if n >= least}
+    others = by_unit(other_words, toxic)
+
+    def odds(unit: str, n: int) -> float:
+        return math.log((n + 0.5) / (others[unit] + 0.5) * ratio)
+
+    # Neighbourhoods are no more than occurrences, so only units that pass by occurrences need them.
+    places: dict[str, set] = {unit: set() for unit, n in toxic.items() if odds(unit, n) >= 1}
+    for text in (t for t, m in zip(texts, marks, strict=True) if m):
+        found = _words(text)
+        for before, word, after in zip(["", *found], found, [*found[1:], ""], strict=False):
             for unit in units(word):
-                if unit in toxic:
-                    others[unit] += n
-    ratio = (tokens[0] + 1) / (tokens[1] + 1)
-    odds = {unit: math.log((n + 0.5) / (others[unit] + 0.5) * ratio) for unit, n in toxic.items()}
-    return {unit: x for unit, x in odds.items() if x >= 1}
+                if unit in places:
+                    places[unit].add(hash((before, word, after)))
+    scored_units = {unit: odds(unit, len(found)) for unit, found in places.items() if len(found) >= least}
+    return {unit: x for unit, x in scored_units.items() if x >= 1}
 
 
 class Words:
