@@ -5,6 +5,10 @@ from snapmart.catalog.fixtures import VIEWS, duck_view
 TRAIN = ("1996-02-01", "1997-04-01")
 OOT = ("1997-05-01", "1997-09-01")
 
+IN_TRAIN = f"snapdate BETWEEN DATE '{TRAIN[0]}' AND DATE '{TRAIN[1]}'"
+IN_OOT = f"snapdate BETWEEN DATE '{OOT[0]}' AND DATE '{OOT[1]}'"
+LABELLED = "lower(Churn) IN ('yes', 'no')"
+
 TOKENS = "('unknown','unk','na','n/a','null','none','nan','-','')"
 
 
@@ -425,6 +429,14 @@ def oracle_sql():
             "SELECT model, CAST(date_trunc('month', snapdate) AS DATE) AS month, count(*) AS n, count(*) FILTER (lower(Churn) = 'yes') AS positives "
             "FROM gold, (SELECT unnest(['logreg', 'trees']) AS model) m WHERE lower(Churn) IN ('yes', 'no') "
             f"AND snapdate BETWEEN DATE '{OOT[0]}' AND DATE '{OOT[1]}' GROUP BY ALL", "gold"),
+        "end_to_end_counts": sql(f"""
+            SELECT 'gold' AS stage, count(*) AS n FROM gold
+            UNION ALL SELECT 'monitor', 2 * count(DISTINCT snapdate) FROM gold WHERE {IN_OOT} AND {LABELLED}
+            UNION ALL SELECT unnest(['logistic_predictions', 'trees_predictions']), n
+                FROM (SELECT count(*) AS n FROM gold WHERE snapdate = (SELECT max(snapdate) FROM gold)) newest
+            UNION ALL SELECT 'logistic_scores', count(*) FROM gold WHERE {IN_TRAIN} AND {LABELLED}
+            UNION ALL SELECT 'trees_scores', CAST(count(*) FILTER ({IN_OOT}) + ceil(0.2 * count(*) FILTER ({IN_TRAIN} AND lower(Churn) = 'yes'))
+                + ceil(0.2 * count(*) FILTER ({IN_TRAIN} AND lower(Churn) = 'no')) AS BIGINT) FROM gold WHERE {LABELLED}""", "gold"),
         "confusion_matrix": sql(f"SELECT model, month, {CELLS} FROM fx_scores GROUP BY model, month", "fx_scores"),
         "threshold_metrics": sql(f"SELECT model, month, round({ACC} + 1e-12, 9) AS accuracy, round({PREC} + 1e-12, 9) AS precision, "
                                  f"round({REC} + 1e-12, 9) AS recall, round({F1} + 1e-12, 9) AS f1 FROM "

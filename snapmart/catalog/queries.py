@@ -12,11 +12,13 @@ from snapmart.functions.numbers import parse_number
 from snapmart.functions.text import strip_text
 from snapmart.operators import clean, drift, features, metrics, models, rows, schema, splits
 from snapmart.operators.fuzzy import DEMOGRAPHIC_SPECS, canonicalize, fuzzy_dictionary
+from snapmart.plans.end_to_end import run_end_to_end, stage_counts
 from snapmart.plans.gold import gold_snapshot
 from snapmart.plans.layers import layer_row_counts, run_layers
 from snapmart.plans.monitor import monitor
 from snapmart.plans.training import REPORTED, drift_grade, evaluate, model_matrix, training_frame
-from snapmart.session import stage, workspace
+from snapmart.operators.lookup import staged_lookup
+from snapmart.session import workspace
 from snapmart.sources import csv
 from snapmart.sources.layers import read_named_files, read_snapshots, write_snapshots
 
@@ -375,7 +377,7 @@ DOC_NUMERIC, DOC_CATEGORICAL = ["n_chars"], ["lang", "source"]
 
 
 def document_parts(spark, sf_dir):
-    parts = stage(splits.stratified_split(documents(spark, sf_dir), "quality", "doc_id"))
+    parts = staged_lookup(splits.stratified_split(documents(spark, sf_dir), "quality", "doc_id"))
     return parts, parts.filter("part = 'train'"), parts.filter("part = 'test'")
 
 
@@ -437,7 +439,7 @@ GOLD_CATEGORICAL = ["Contract", "PaymentMethod", "InternetService", "StreamingTV
 def coded_gold(spark, sf_dir):
     df = gold_snapshot_query(spark, sf_dir)
     df = df.withColumn("CustomerSatisfactionScore", parse_number(F.col("CustomerSatisfactionScore")))
-    return stage(df.withColumn("Churn", map_binary_label(F.col("Churn"))))
+    return staged_lookup(df.withColumn("Churn", map_binary_label(F.col("Churn"))))
 
 
 @query
@@ -563,5 +565,16 @@ def layer_row_counts_query(spark, sf_dir):
     return layer_row_counts(spark, root, names)
 
 
+@query
+def end_to_end_counts(spark, sf_dir):
+    """The noisy views written as CSV files and taken through every stage; rows of what the later stages write."""
+    names = ("label", "contract", "service", "demographic", "financial")
+    root = workspace(spark, "end-to-end")
+    for n in names:
+        csv.write_csv(view(spark, sf_dir, f"fx_{n}").orderBy("ord_").drop("ord_"), f"{root}/csv/{n}")
+    run_end_to_end(spark, {n: f"{root}/csv/{n}" for n in names}, root, TRAIN, OOT)
+    return stage_counts(spark, root)
+
+
 def registered() -> dict[str, Query]:
     return {name.removesuffix("_query"): fn for name, fn in QUERIES.items()}

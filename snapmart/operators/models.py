@@ -14,6 +14,7 @@ from snapmart.operators.features import (UNKNOWN, apply_vocabulary, category_voc
 from snapmart.operators.lookup import staged_lookup
 from snapmart.operators.ordering import exact_medians, modes
 from snapmart.operators.splits import class_weight, class_weight_constants
+from snapmart.session import workspace
 
 INDEX, ONE_HOT, POOLED = "__index", "__onehot", "__pooled"
 
@@ -141,7 +142,11 @@ def fit_logistic(train: DataFrame, label: str, numeric, categorical, c: float =
                LogisticRegression(featuresCol="features", labelCol=label, weightCol="weight",
                                   regParam=1.0 / (c * n_train), elasticNetParam=0.0,
                                   standardization=False, maxIter=max_iter, tol=1e-8)]
-    return SnapshotModel(features, Pipeline(stages=stages).fit(data), {"kind": "logistic", "label": label})
+    # A fitted logistic model carries its training summary, and with it the session, into every task that scores; a session
+    # that has observed metrics cannot be sent there. The stored model has no summary.
+    path = workspace(train.sparkSession, "logistic")
+    Pipeline(stages=stages).fit(data).write().save(path)
+    return SnapshotModel(features, PipelineModel.load(path), {"kind": "logistic", "label": label})
 
 
 def coefficients(model: SnapshotModel, spark: SparkSession) -> DataFrame:

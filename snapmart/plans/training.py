@@ -8,13 +8,14 @@ from snapmart.functions.dates import month_of
 from snapmart.functions.labels import map_binary_label
 from snapmart.operators.drift import psi, psi_grade
 from snapmart.operators.features import calendar_features, fill_missing
+from snapmart.operators.lookup import staged_lookup
 from snapmart.operators.metrics import metrics_long, score_summary, threshold_columns
-from snapmart.operators.models import coefficients, feature_importance, fit_boosted_trees, fit_logistic
+from snapmart.operators.models import (SnapshotModel, coefficients, feature_importance, fit_boosted_trees,
+                                       fit_logistic)
 from snapmart.operators.rows import keep_last, normalize_key, require_columns, sanitize_tokens
 from snapmart.operators.schema import (KEY_NAMES, align_to_schema, cast_numeric_text, label_column, numeric_columns,
                                        text_columns)
 from snapmart.operators.splits import latest_snapshot, month_range_label, snapshot_range, stratified_split, time_split
-from snapmart.session import stage
 from snapmart.sources.csv import write_csv
 from snapmart.sources.layers import write_json
 from snapmart.sources.models import load_latest, save_version
@@ -82,14 +83,14 @@ def train_logistic(gold: DataFrame, root: str, start: str = TRAIN_RANGE[0], end:
     spark = gold.sparkSession
     frame = training_frame(gold, start, end, key, snap, order)
     skip = (key, snap, "Churn", "split")
-    df = stage(time_split(cast_numeric_text(sanitize_tokens(frame, protected=skip), exclude=skip), snap))
+    df = staged_lookup(time_split(cast_numeric_text(sanitize_tokens(frame, protected=skip), exclude=skip), snap))
     numeric, categorical = feature_columns(df, skip)
     model = fit_logistic(df.filter("split = 'train'"), "Churn", numeric, categorical)
     save_version(spark, model, root, "logistic")
-    scores = stage(model.score(df).select(key, snap, "split", F.col("Churn").alias("y"), "p"))
+    scores = staged_lookup(model.score(df).select(key, snap, "split", F.col("Churn").alias("y"), "p"))
     scores.write.mode("overwrite").partitionBy("split").parquet(f"{root}/logistic_scores")
     write_csv(coefficients(model, spark), f"{root}/logistic_coefficients")
-    report = stage(evaluate(scores, ["split"]))
+    report = staged_lookup(evaluate(scores, ["split"]))
     write_json(report.join(df.groupBy("split").agg(F.count(F.lit(1)).alias("n")), "split").withColumns({
         "n_numeric": F.lit(len(numeric)), "n_categorical": F.lit(len(categorical))}), f"{root}/logistic_summary")
     return report
@@ -108,7 +109,7 @@ def train_trees(gold: DataFrame, root: str, train: tuple = TRAIN_RANGE, oot: tup
     coded = gold.withColumn(label, map_binary_label(F.col(label))).filter(F.col(label).isNotNull())
     ranged = coded.withColumn("_range", month_range_label(F.col(snap), {"train": train, "oot": oot}))
     monthly = ranged.filter(F.col("_range").isNotNull()).withColumn("_month", F.date_format(snap, "yyyy-MM-dd"))
-    df = stage(calendar_features(cast_numeric_text(monthly, exclude=(key, label, "_range", "_month"))))
+    df = staged_lookup(calendar_features(cast_numeric_text(monthly, exclude=(key, label, "_range", "_month"))))
     parts = stratified_split(df.filter("_range = 'train'"), label, [key, "_month"])
     keep = (key, label, "_range", "_month", "part")
     numeric, categorical = feature_columns(parts, keep)
@@ -116,11 +117,11 @@ def train_trees(gold: DataFrame, root: str, train: tuple = TRAIN_RANGE, oot: tup
     save_version(spark, model, root, "trees")
     held_out = parts.filter("part = 'test'").drop("part").withColumn("dataset", F.lit("Validation"))
     later = df.filter("_range = 'oot'").withColumn("dataset", F.lit("OOT"))
-    scores = stage(model.score(held_out.unionByName(later)).select(
+    scores = staged_lookup(model.score(held_out.unionByName(later)).select(
         key, "dataset", F.col(label).alias("y"), "p", "prediction"))
     scores.write.mode("overwrite").partitionBy("dataset").parquet(f"{root}/trees_scores")
     write_csv(feature_importance(model, spark), f"{root}/trees_importance")
-    report = stage(evaluate(scores, ["dataset"]))
+    report = staged_lookup(evaluate(scores, ["dataset"]))
     long = metrics_long(report.withColumnRenamed("dataset", "Dataset"), ["Dataset"], REPORTED)
     write_csv(long, f"{root}/trees_metrics")
     side = F.when(F.col("dataset") == "Validation", "expected").otherwise("actual")
@@ -128,16 +129,23 @@ def train_trees(gold: DataFrame, root: str, train: tuple = TRAIN_RANGE, oot: tup
     return report
 
 
+def ready_for(model: SnapshotModel, frame: DataFrame, key: str = "customerID", snap: str = "snapdate", keep: dict | None = None) -> DataFrame:
+    """The columns that a model was fitted on, with the key and the columns in ``keep`` (name: type)."""
+    needed = {c: "double" for c in model.features.numeric} | {c: "string" for c in model.features.categorical}
+    kept = frame.withColumns({f"_{c}": F.col(c) for c in keep or {}})
+    dated = calendar_features(kept, [snap]) if any(c.startswith(f"{snap}_") for c in needed) else kept
+    needed |= {key: "string"} | {f"_{c}": kind for c, kind in (keep or {}).items()}
+    wanted = StructType.fromDDL(", ".join(f"`{c}` {t}" for c, t in needed.items()))
+    # a tree model has splits on 0 for what is missing, a linear one imputes
+    ready = align_to_schema(dated, wanted, fill=0 if model.info["kind"] == "trees" else None)
+    return ready.withColumnsRenamed({f"_{c}": c for c in keep or {}})
+
+
 def predict_latest(gold: DataFrame, root: str, name: str, key: str = "customerID", snap: str = "snapdate") -> DataFrame:
     """Newest model version applied to the newest snapshot; the key stays with the scores."""
     model = load_latest(gold.sparkSession, root, name)
     frame = latest_snapshot(gold, snap)
     frame = frame.drop(label_column(frame)) if label_column(frame) else frame
-    needed = {c: "double" for c in model.features.numeric} | {c: "string" for c in model.features.categorical}
-    dated = calendar_features(frame) if any(c.startswith(f"{snap}_") for c in needed) else frame
-    wanted = StructType.fromDDL(", ".join(f"`{c}` {t}" for c, t in needed.items()))
-    # a tree model has splits on 0 for what is missing, a linear one imputes
-    ready = align_to_schema(dated, wanted.add(key, "string"), fill=0 if model.info["kind"] == "trees" else None)
-    out = model.score(ready).select(key, "prediction", F.col("p").alias("probability"))
+    out = model.score(ready_for(model, frame, key, snap)).select(key, "prediction", F.col("p").alias("probability"))
     write_csv(out, f"{root}/{name}_predictions")
     return out
