@@ -23,7 +23,7 @@ TOLERANCE = 1e-8
 BLOCK = 400
 #: Shingles, and words that a Python worker remembers, at once.
 CHUNK = 400_000
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 _rng = np.random.default_rng(5)
 MULTIPLIERS = _rng.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -21,7 +21,7 @@ ROUNDS = 2
 GENERATIONS = 6
 POPULATION = 4
 #: Words, and parts of words, whose ids a Python worker remembers at most.
-REMEMBERED = 900_000
+REMEMBERED = 450_000
 # Characters that Python parts words by and the tokenizer doesn't.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 # Words of these characters only are lowered and parted by Python as by the tokenizer: printable ASCII and the Latin letters

@@ -17,7 +17,7 @@ CHAIN_SAMPLE = 600
 #: A word is labelled toxic where its log odds between toxic and other documents come to this much.
 STRONG = 3.0
 #: Words that a Python worker remembers at most, and tokens that are worked on at once.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 TOKENS = 200_000
 
 _EDGES = re.compile(r"^\W+|\W+$")
