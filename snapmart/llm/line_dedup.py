@@ -3,6 +3,7 @@
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,8 @@ from snapmart.llm.common import whole, written
 
 #: Characters of a line that can bring two documents together, and of a block that is deleted, at least.
 CHARACTERS = 24
+#: Other holders of a line that a document meets in the first round after the earliest, and times as many in each further round.
+STEP = 8
 
 
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -84,35 +87,97 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = [batch.column(batch.schema.get_field_index(c)) for c in ("_lines", "_shared", "_places", "_sizes")]
         # One pair at a time: lists of a whole batch can be large.
         gone = [common_blocks(*(c[k].as_py() for c in columns)) for k in range(batch.num_rows)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(gone, pa.list_(pa.int32()))], ["_id", "_hash", "_gone"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(gone, pa.list_(pa.int32()))], ["_doc", "_gone"])
+
+
+def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keys of the lines of ``CHARACTERS`` or more, by which documents meet, with the places they cover (from, to)."""
+    for batch in batches:
+        docs, lines, sizes = batch.columns
+        sizes = sizes.flatten().to_numpy(zero_copy_only=False)
+        owner = np.repeat(np.arange(batch.num_rows), np.diff(lines.offsets.to_numpy()))
+        start = (lines.offsets.to_numpy()[:-1] - lines.offsets.to_numpy()[0])[owner]
+        at = np.flatnonzero(sizes >= CHARACTERS)
+        keys = lines.flatten().to_numpy(zero_copy_only=False)[at]
+        places = (at - start[at]).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([docs.take(pa.array(owner[at])), pa.array(keys), pa.array(places), pa.array(places + np.int32(1))], ["_doc", "_key", "_from", "_to"])
+
+
+def _open(done: float):
+    """Rows of documents with the seeds that still cover a line not deleted and have holders that were not met yet, ``_gone`` brought up to date."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            docs, lines, sizes, seeds, gone, more = batch.columns
+            keep, left, deleted = [], [], []
+            for k in range(batch.num_rows):
+                out = {*gone[k].as_py(), *(more[k].as_py() or ())}
+                found = [x for x in seeds[k].as_py() if x["_n"] > done and not out.issuperset(range(x["_from"], x["_to"]))]
+                if found:
+                    keep.append(k)
+                    left.append(found)
+                    deleted.append(sorted(out))
+            keep = pa.array(keep, pa.int64())
+            yield pa.RecordBatch.from_arrays([docs.take(keep), lines.take(keep), sizes.take(keep), pa.array(left, seeds.type), pa.array(deleted, gone.type)], batch.schema.names[:5])
+
+    return run
 
 
 def duplicate_lines(docs: DataFrame, id_column="doc_id", text_column="text") -> DataFrame:
     """``_id, _hash, _gone``: the lines (from 0) to delete of each document that loses any; _hash is that of its text.
 
-    A line of ``CHARACTERS`` or more that several documents share leads each of them to the earliest one that has it, so
-    a line in a third of all documents gives each of them one partner, not all pairs, and the rare lines decide which others
-    a document is aligned with. Each pair is aligned on line hashes alone. A line's earliest document keeps it.
+    A document loses the lines that its alignment with any earlier document puts into a common block. Copies lose all lines at
+    once and are nobody's partner, as the first of them has the same lines. Others meet the earliest holder of each line of ``CHARACTERS`` or more; those that still have such
+    a line then meet a sample of its other earlier holders, ``STEP`` times as many each round, until
+    the line goes or all of them were met. So a line in a third of all documents mostly gives each of them one partner, not all pairs.
+    Each pair is aligned on line hashes alone.
     """
     lines = F.split(F.col("_text"), "\n")
     rows = docs.select(F.col(id_column).alias("_id"), whole(text_column).alias("_text"))
+    kind = dict(rows.dtypes)["_id"]
     narrow = rows.select("_id", F.xxhash64("_text").alias("_hash"), F.transform(lines, lambda x: F.xxhash64(F.rtrim(x))).alias("_lines"),
-                         F.transform(lines, lambda x: F.length(F.trim(x))).alias("_sizes"))
-    narrow = written(narrow, "line-hashes").dropDuplicates(["_id", "_hash"])
+                         F.transform(lines, lambda x: F.length(F.trim(x))).alias("_sizes")).dropDuplicates(["_id", "_hash"])
     order = F.struct(F.col("_id").isNull().alias("_none"), "_id", "_hash")
-    long_lines = F.array_distinct(F.transform(F.filter(F.arrays_zip("_lines", "_sizes"), lambda x: x["_sizes"] >= CHARACTERS), lambda x: x["_lines"]))
-    seen = narrow.select(order.alias("_doc"), F.explode(long_lines).alias("_line"))
-    first = seen.groupBy("_line").agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last")).where("_first < _last").select("_line", "_first")
-    pairs = seen.join(first, "_line").where("_first < _doc").select("_doc", "_first").distinct()
-    own = narrow.select(order.alias("_doc"), "_lines", "_sizes")
-    other = narrow.select(order.alias("_first"), F.col("_lines").alias("_lines2"))
-    kind = dict(rows.dtypes)["_id"]
+    narrow = written(narrow.select(order.alias("_doc"), F.struct(F.xxhash64("_lines"), F.size("_lines")).alias("_body"), "_lines", "_sizes"), "line-hashes")
+
+    first = narrow.groupBy("_body").agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last")).where("_first < _last").select("_body", "_first")
+    chars = F.aggregate("_sizes", F.lit(0).cast("long"), lambda n, x: n + x)
+    copies = written(narrow.select("_doc", "_body", chars.alias("_chars")).join(first, "_body").where("_first < _doc").select("_doc", F.col("_body.col2").alias("_n"), "_chars"), "line-copies")
+    texts = narrow.join(copies.select("_doc"), "_doc", "left_anti").select("_doc", "_lines", "_sizes")
+    found = [copies.where(F.col("_chars") >= CHARACTERS).select("_doc", F.sequence(F.lit(0), F.col("_n") - 1).alias("_gone"))]
+
+    doc = f"struct<_none:boolean,_id:{kind},_hash:bigint>"
+    seeds = texts.mapInArrow(_seeds, f"_doc {doc}, _key bigint, _from int, _to int")
+    # Occurrences, no less than holders: lines that only one document has are dropped here.
+    holders = seeds.groupBy("_key").agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last"), F.count(F.lit(1)).alias("_n")).where("_first < _last").drop("_last")
+    shared = written(seeds.join(holders, "_key"), "line-seeds")
+    own = shared.where("_first < _doc").groupBy("_doc").agg(F.collect_list(F.struct("_key", "_from", "_to", "_first", "_n")).alias("_seeds"))
+    state = texts.join(own, "_doc").withColumn("_gone", F.array().cast("array<int>"))
+    columns = f"_doc {doc}, _lines array<bigint>, _sizes array<int>, _seeds array<struct<_key:bigint,_from:int,_to:int,_first:{doc},_n:bigint>>, _gone array<int>"
+    state = written(state.select("_doc", "_lines", "_sizes", "_seeds", "_gone"), "line-state")
+    met = state.select("_doc", "_lines", "_sizes", F.explode(F.array_distinct(F.transform("_seeds", lambda x: x["_first"]))).alias("_other"))
     # Of a long early document that very many others share a line with, each pair gets the shared lines only.
     both = F.filter(F.transform("_lines2", lambda x, i: F.struct(x.alias("line"), i.alias("place"))), lambda x: F.array_contains("_lines", x["line"]))
-    met = pairs.join(own, "_doc").join(other, "_first").withColumn("_both", both)
-    gone = (met.select("_doc._id", "_doc._hash", "_lines", "_sizes", F.col("_both.line").alias("_shared"), F.col("_both.place").alias("_places"))
-            .mapInArrow(_aligned, f"_id {kind}, _hash bigint, _gone array<int>"))
-    return gone.where(F.size("_gone") > 0).groupBy("_id", "_hash").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("_gone")))).alias("_gone"))
+    other = narrow.select(F.col("_doc").alias("_other"), F.col("_lines").alias("_lines2"))
+    # A holder's place in the sample of a line: holders up to ``done`` were met.
+    place = F.pmod(F.xxhash64("_doc", "_key"), F.lit(2**40)) / F.lit(2.0**40) * F.col("_n")
+    done = 0.0
+    while True:
+        gone = (met.join(other, "_other").withColumn("_both", both)
+                .select("_doc", "_lines", "_sizes", F.col("_both.line").alias("_shared"), F.col("_both.place").alias("_places"))
+                .mapInArrow(_aligned, f"_doc {doc}, _gone array<int>").where(F.size("_gone") > 0)
+                .groupBy("_doc").agg(F.array_distinct(F.flatten(F.collect_list("_gone"))).alias("_more")))
+        gone = written(gone, "line-gone")
+        found.append(gone.select("_doc", F.col("_more").alias("_gone")))
+        state = written(state.join(gone, "_doc", "left").select(*state.columns, "_more").mapInArrow(_open(done), columns), "line-state")
+        if state.isEmpty():
+            break
+        upto = done * STEP or float(STEP)
+        some = shared.where((place >= done) & (place < upto)).select("_key", F.col("_doc").alias("_other"))
+        wanted = state.select("_doc", F.explode(F.array_distinct(F.transform("_seeds", lambda x: x["_key"]))).alias("_key"))
+        pairs = wanted.join(some, "_key").where("_other < _doc").select("_doc", "_other").distinct()
+        met, done = pairs.join(state.select("_doc", "_lines", "_sizes"), "_doc"), upto
+    return (reduce(DataFrame.unionByName, found).groupBy("_doc").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("_gone")))).alias("_gone"))
+            .select("_doc._id", "_doc._hash", "_gone"))
 
 
 def dedup(docs: DataFrame, id_column="doc_id", text_column="text") -> DataFrame:

@@ -122,3 +122,38 @@ def test_line_dedup_edge_cases(edge, nothing):
     assert {r["removed_lines"] for r in got if r["doc_id"] == 1} == {0} and {(r["removed_lines"], r["text"]) for r in got if r["doc_id"] == 5} == {(2, "")}
     assert all(r["text"] is None for r in got if r["doc_id"] == 2)
     assert line_dedup.dedup(nothing).count() == 0
+
+
+def all_pairs(rows):
+    """Deleted lines of each document: aligned with every earlier document."""
+    out, docs = {}, []
+    for r in sorted(rows, key=lambda r: r["doc_id"]):
+        lines = (r["text"] or "").split("\n")
+        keys, sizes = [x.rstrip(" ") for x in lines], [len(x.strip(" ")) for x in lines]
+        own, gone = set(keys), set()
+        for earlier in docs:
+            shared = [(k, i) for i, k in enumerate(earlier) if k in own]
+            if shared:
+                gone |= set(line_dedup.common_blocks(keys, *map(list, zip(*shared, strict=True)), sizes))
+        docs.append(keys)
+        out[r["doc_id"]] = sorted(gone)
+    return out
+
+
+def removed(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    return {r["_id"]: r["_gone"] for r in line_dedup.duplicate_lines(df).collect()}
+
+
+def test_line_dedup_meets_more_than_the_earliest_holder(spark):
+    a, b, c = ("a long enough line of text, number " + x for x in ("one", "two", "three"))
+    short = "\n".join(f"a short line {i}" for i in range(6))
+    assert removed(spark, [a, f"{a}\n{short}", f"{a}\n{short}"])[2] == list(range(7))
+    assert removed(spark, [f"{a}\n{b}\n{c}", f"{c}\n{b}\n{a}", f"{c}\n{b}\n{a}"])[2] == [0, 1, 2]
+    assert removed(spark, [f"{a}\n{b}\n{c}", f"{c}\n{b}\n{a}", f"{c}\n{b}\n{a}\nmore"])[2] == [0, 1, 2]
+    # Shuffled long lines, so alignments cross; 400 documents, so several rounds are needed.
+    rng = random.Random(8)
+    pool = [f"line {i} of a pool of long enough lines" for i in range(12)]
+    texts = ["\n".join([f"a line that the document {n} alone has", *rng.sample(pool, rng.randrange(1, 10))]) for n in range(400)]
+    want = all_pairs([{"doc_id": i, "text": t} for i, t in enumerate(texts)])
+    assert removed(spark, texts) == {i: g for i, g in want.items() if g}
