@@ -11,9 +11,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from snapmart.llm.common import whole, written
 
-#: Characters of a line that can bring two documents together, and of a block that is deleted, at least.
+#: Characters of a run of lines that can bring two documents together, and of a block that is deleted, at least.
 CHARACTERS = 24
-#: Other holders of a line that a document meets in the first round after the earliest, and times as many in each further round.
+#: An odd factor of the hashes of runs, and its inverse modulo 2**64.
+FACTOR = 0x9E3779B97F4A7C15
+INVERSE = pow(FACTOR, -1, 2**64)
+#: Other holders of a run that a document meets in the first round after the earliest, and times as many in each further round.
 STEP = 8
 
 
@@ -90,17 +93,38 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(gone, pa.list_(pa.int32()))], ["_doc", "_gone"])
 
 
+def windows(sizes: np.ndarray, offsets: np.ndarray, least: int = CHARACTERS) -> tuple[np.ndarray, np.ndarray]:
+    """(from, to): the shortest run of lines with ``least`` characters from each line on, and up to each line, inside each text.
+
+    Every block of ``least`` characters consists of such runs, so texts without a common run have no common block.
+    """
+    total = np.append(0, np.cumsum(sizes, dtype=np.int64))
+    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    at = np.arange(len(sizes))
+    to = np.searchsorted(total, total[:-1] + least)
+    fits = to <= offsets[owner + 1]
+    since = np.searchsorted(total, total[1:] - least, side="right") - 1
+    back = since >= offsets[owner]
+    found = np.unique(np.concatenate([np.column_stack([at[fits], to[fits]]), np.column_stack([since[back], at[back] + 1])]), axis=0)
+    return found[:, 0], found[:, 1]
+
+
 def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keys of the lines of ``CHARACTERS`` or more, by which documents meet, with the places they cover (from, to)."""
+    """Keys of the shortest runs of lines that a block can consist of, by which documents meet, with the places they cover (from, to)."""
     for batch in batches:
         docs, lines, sizes = batch.columns
-        sizes = sizes.flatten().to_numpy(zero_copy_only=False)
-        owner = np.repeat(np.arange(batch.num_rows), np.diff(lines.offsets.to_numpy()))
-        start = (lines.offsets.to_numpy()[:-1] - lines.offsets.to_numpy()[0])[owner]
-        at = np.flatnonzero(sizes >= CHARACTERS)
-        keys = lines.flatten().to_numpy(zero_copy_only=False)[at]
-        places = (at - start[at]).astype(np.int32)
-        yield pa.RecordBatch.from_arrays([docs.take(pa.array(owner[at])), pa.array(keys), pa.array(places), pa.array(places + np.int32(1))], ["_doc", "_key", "_from", "_to"])
+        sizes, hashes = (c.flatten().to_numpy(zero_copy_only=False) for c in (sizes, lines))
+        offsets = lines.offsets.to_numpy().astype(np.int64)
+        offsets -= offsets[0]
+        lo, hi = windows(sizes, offsets)
+        # The hash of a run is the difference of two sums over all lines before, whatever its place.
+        power, back = (np.cumprod(np.append(np.uint64(1), np.full(len(hashes), m, np.uint64))) for m in (FACTOR, INVERSE))
+        sums = np.append(np.uint64(0), np.cumsum(hashes.astype(np.int64).view(np.uint64) * power[:-1]))
+        keys = ((sums[hi] - sums[lo]) * back[lo] + (hi - lo).astype(np.uint64)).view(np.int64)
+        owner = np.searchsorted(offsets, lo, side="right") - 1
+        start = offsets[owner]
+        yield pa.RecordBatch.from_arrays([docs.take(pa.array(owner)), pa.array(keys), pa.array((lo - start).astype(np.int32)), pa.array((hi - start).astype(np.int32))],
+                                         ["_doc", "_key", "_from", "_to"])
 
 
 def _open(done: float):
@@ -126,9 +150,9 @@ def duplicate_lines(docs: DataFrame, id_column="doc_id", text_column="text") ->
     """``_id, _hash, _gone``: the lines (from 0) to delete of each document that loses any; _hash is that of its text.
 
     A document loses the lines that its alignment with any earlier document puts into a common block. Copies lose all lines at
-    once and are nobody's partner, as the first of them has the same lines. Others meet the earliest holder of each line of ``CHARACTERS`` or more; those that still have such
-    a line then meet a sample of its other earlier holders, ``STEP`` times as many each round, until
-    the line goes or all of them were met. So a line in a third of all documents mostly gives each of them one partner, not all pairs.
+    once and are nobody's partner, as the first of them has the same lines. Others meet the earliest holder of each shortest run of lines of
+    ``CHARACTERS`` or more; those that keep a line of such a run then meet a sample of its other earlier holders, ``STEP`` times as many each
+    round, until its lines go or all of them were met. So a line in a third of all documents mostly gives each of them one partner, not all pairs.
     Each pair is aligned on line hashes alone.
     """
     lines = F.split(F.col("_text"), "\n")
@@ -147,7 +171,7 @@ def duplicate_lines(docs: DataFrame, id_column="doc_id", text_column="text") ->
 
     doc = f"struct<_none:boolean,_id:{kind},_hash:bigint>"
     seeds = texts.mapInArrow(_seeds, f"_doc {doc}, _key bigint, _from int, _to int")
-    # Occurrences, no less than holders: lines that only one document has are dropped here.
+    # Occurrences, no less than holders: runs that only one document has are dropped here.
     holders = seeds.groupBy("_key").agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last"), F.count(F.lit(1)).alias("_n")).where("_first < _last").drop("_last")
     shared = written(seeds.join(holders, "_key"), "line-seeds")
     own = shared.where("_first < _doc").groupBy("_doc").agg(F.collect_list(F.struct("_key", "_from", "_to", "_first", "_n")).alias("_seeds"))
@@ -158,7 +182,7 @@ def duplicate_lines(docs: DataFrame, id_column="doc_id", text_column="text") ->
     # Of a long early document that very many others share a line with, each pair gets the shared lines only.
     both = F.filter(F.transform("_lines2", lambda x, i: F.struct(x.alias("line"), i.alias("place"))), lambda x: F.array_contains("_lines", x["line"]))
     other = narrow.select(F.col("_doc").alias("_other"), F.col("_lines").alias("_lines2"))
-    # A holder's place in the sample of a line: holders up to ``done`` were met.
+    # A holder's place in the sample of a run: holders up to ``done`` were met.
     place = F.pmod(F.xxhash64("_doc", "_key"), F.lit(2**40)) / F.lit(2.0**40) * F.col("_n")
     done = 0.0
     while True:

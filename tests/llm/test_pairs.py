@@ -157,3 +157,19 @@ def test_line_dedup_meets_more_than_the_earliest_holder(spark):
     texts = ["\n".join([f"a line that the document {n} alone has", *rng.sample(pool, rng.randrange(1, 10))]) for n in range(400)]
     want = all_pairs([{"doc_id": i, "text": t} for i, t in enumerate(texts)])
     assert removed(spark, texts) == {i: g for i, g in want.items() if g}
+
+
+def test_line_dedup_of_short_lines(spark):
+    verse = [f"verse {i} of twenty" for i in range(20)]
+    assert removed(spark, ["\n".join(verse)] * 2)[1] == list(range(20))
+    assert removed(spark, ["\n".join(["own", *verse, "end"]), "\n".join(["other start", *verse[3:15], "", "no"])])[1] == list(range(1, 13))
+    assert removed(spark, ["a\nb\nc", "a\nb\nc"]) == {}
+    rng = random.Random(9)
+    texts = ["\n".join(rng.choice(["", "x", "a short line", "eleven chars", "another short one", "a line of twenty-four or more"]) + rng.choice("  123") for _ in range(rng.randrange(14))) for _ in range(300)]
+    want = all_pairs([{"doc_id": i, "text": t} for i, t in enumerate(texts)])
+    assert removed(spark, texts) == {i: g for i, g in want.items() if g}
+
+
+def test_line_dedup_against_all_pairs(docs, rows):
+    got = {r["_id"]: r["_gone"] for r in line_dedup.duplicate_lines(docs).collect()}
+    assert got == {i: g for i, g in all_pairs(rows).items() if g}
