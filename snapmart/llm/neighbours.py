@@ -211,8 +211,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_column="vec_id"
 
     placed = written(clean.mapInArrow(routed, "_id bigint, _v array<double>, _q boolean, _parts array<int>"), "neighbour-index")
     alike = Window.partitionBy("_v").orderBy("_id")
-    rows = (placed.select("_id", "_v", F.get("_parts", F.lit(0)).alias("_part")).withColumn("_n", F.row_number().over(alike)).where(F.col("_n") <= k + 1)
-            .dropDuplicates(["_id"]).drop("_n"))
+    # Repeats of an id go before the cut, or they would use up places of other ids.
+    rows = (placed.select("_id", "_v", F.get("_parts", F.lit(0)).alias("_part")).dropDuplicates(["_id"])
+            .withColumn("_n", F.row_number().over(alike)).where(F.col("_n") <= k + 1).drop("_n"))
     rows = written(rows, "neighbour-rows")
     counts = {r["_part"]: r["count"] for r in rows.groupBy("_part").count().collect()}  # a row for each partition
     sizes = F.array(*[F.lit(counts.get(p, 0)) for p in range(max(counts) + 1)])

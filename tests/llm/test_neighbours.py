@@ -65,3 +65,14 @@ def test_edge_cases(spark):
     assert {q: [i for i, _ in g] for q, g in got.items()} == {0: [20, 1], 20: [0, 1]}
     assert neighbours.search(spark.createDataFrame([], schema), F.col("vec_id") % 20 == 0).count() == 0
     assert neighbours.search(spark.createDataFrame(made[3:6], schema), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_repeated_rows_of_a_vector_that_many_ids_share(spark):
+    far = [(100 + i, [0.1, 0.01 * i, 0.0]) for i in range(40)]
+    shared = [(i, [3.0, 1.0, 0.0]) for i in range(40)]
+    for made in ([*far, *[shared[5]] * 21, *shared], [*far, *shared, *shared]):
+        got = by_query(neighbours.search(spark.createDataFrame(made, "vec_id bigint, embedding array<double>"), F.col("vec_id") % 20 == 0))
+        rows = dict(made)
+        ids = np.array(sorted(rows))
+        want = brute(ids, np.array([rows[i] for i in ids]), [i for i in ids if i % 20 == 0])
+        assert {q: [i for i, _ in g] for q, g in got.items()} == {q: [i for i, _ in g] for q, g in want.items()}
