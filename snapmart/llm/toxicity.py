@@ -3,6 +3,7 @@
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -16,6 +17,12 @@ SAMPLE = 6000
 CHAIN_SAMPLE = 600
 #: A word is labelled toxic where its log odds between toxic and other documents come to this much.
 STRONG = 3.0
+#: Different toxic texts that a unit of evidence is in at least.
+LEAST = 4
+#: Log-likelihood ratio from which counts of a unit are no chance: one in 10,000.
+RATIO = 15.13
+#: A text of whose neighbourhoods of words this share or less is new is a near copy.
+COPY = 0.2
 #: Words that a Python worker remembers at most, and tokens that are worked on at once.
 REMEMBERED = 200_000
 TOKENS = 200_000
@@ -34,46 +41,49 @@ def _words(text: str) -> list[str]:
     return [_EDGES.sub("", w) for w in text.lower().split()]
 
 
+def _own_words(texts: list[str]) -> Iterator[set[str]]:
+    """Different words of each text, of a near copy of texts before only those all of whose three-word neighbourhoods are new."""
+    seen: set[int] = set()
+    for text in texts:
+        found = _words(text)
+        places = [hash(place) for place in zip(["", *found], found, [*found[1:], ""], strict=False)]
+        new = [place not in seen for place in places]
+        around = zip([False, *new], new, [*new[1:], False], strict=False)
+        yield set(found) if sum(new) > COPY * len(new) else {w for w, three in zip(found, around, strict=True) if all(three)}
+        seen.update(places)
+
+
 def evidence(texts: list[str], marks: np.ndarray) -> dict[str, float]:
     """Log odds of words and word beginnings between toxic and other documents.
 
-    In toxic documents, the different neighbourhoods of a unit count: a passage that many copies share counts once, so the
-    words of a copied document are no evidence. Units in fewer than four, or in fewer than one for each
-    twenty toxic documents, are left out.
+    Different texts count, however often they hold a unit; of a near copy of other toxic texts only what is new in it, so the
+    words of a copied document are no evidence. Units in ``LEAST`` toxic texts or more are kept where the log-likelihood ratio of
+    their counts, against the texts' numbers of different words, comes to ``RATIO``.
     """
-    def counts(mark: int) -> Counter:
-        found: Counter = Counter()
-        for text in (t for t, m in zip(texts, marks, strict=True) if m == mark):
-            found.update(_words(text))
-        return found
-
-    def by_unit(words: Counter, wanted=None) -> Counter:
-        found: Counter = Counter()
-        for word, n in words.items():
-            for unit in units(word):
-                if wanted is None or unit in wanted:
-                    found[unit] += n
-        return found
-
-    words, other_words = counts(1), counts(0)
-    least = max(4, 0.05 * marks.sum())
-    ratio = (other_words.total() + 1) / (words.total() + 1)
-    toxic = {unit: n for unit, n in by_unit(words).items() if n >= least}
-    others = by_unit(other_words, toxic)
-
-    def odds(unit: str, n: int) -> float:
-        return math.log((n + 0.5) / (others[unit] + 0.5) * ratio)
-
-    # Neighbourhoods are no more than occurrences, so only units that pass by occurrences need them.
-    places: dict[str, set] = {unit: set() for unit, n in toxic.items() if odds(unit, n) >= 1}
-    for text in (t for t, m in zip(texts, marks, strict=True) if m):
-        found = _words(text)
-        for before, word, after in zip(["", *found], found, [*found[1:], ""], strict=False):
-            for unit in units(word):
-                if unit in places:
-                    places[unit].add(hash((before, word, after)))
-    scored_units = {unit: odds(unit, len(found)) for unit, found in places.items() if len(found) >= least}
-    return {unit: x for unit, x in scored_units.items() if x >= 1}
+    toxic, others = (list(dict.fromkeys(t for t, m in zip(texts, marks, strict=True) if m == mark)) for mark in (1, 0))
+    found: Counter = Counter()
+    size = 0
+    for words in _own_words(toxic):
+        size += len(words)
+        found.update({unit for word in words for unit in units(word)})
+    found = Counter({unit: n for unit, n in found.items() if n >= LEAST})
+    other: Counter = Counter()
+    other_size = 0
+    known: dict[str, list[str]] = {}
+    for text in others:
+        words = set(_words(text))
+        other_size += len(words)
+        for word in words:
+            if word not in known:
+                known[word] = [unit for unit in units(word) if unit in found]
+        other.update({unit for word in words for unit in known[word]})
+    share = (size + 1) / (size + other_size + 2)
+
+    def ratio(n: int, m: int) -> float:
+        return 2 * (n * math.log(n / ((n + m) * share)) + (m * math.log(m / ((n + m) * (1 - share))) if m else 0.0))
+
+    odds = {unit: math.log((n + 0.5) / (other[unit] + 0.5) * (1 - share) / share) for unit, n in found.items()}
+    return {unit: x for unit, x in odds.items() if x >= 1 and ratio(found[unit], other[unit]) >= RATIO}
 
 
 class Words:

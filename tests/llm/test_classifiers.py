@@ -85,3 +85,44 @@ def test_edge_cases(spark, edge, nothing):
             assert classify(nothing, marks).count() == 0
         assert {r["score"] for r in classify(edge, none).collect()} == {0.5}
         assert set(edge.columns) <= set(classify(edge, none).columns)
+
+
+def rare_terms(seed, toxic, clean, terms=25, times=40):
+    """Toxic and other texts of 30 ordinary words; every toxic one holds one of many rare terms, each in ``times`` of 1,000."""
+    rng = np.random.default_rng(seed)
+    ordinary = np.array([f"{a}{b}{c}o" for a in "bdfgklmn" for b in "aeiou" for c in "prstvz"])
+    slurs = [f"{'xyqj'[i % 4]}{'aeiou'[i % 5]}{'bcdfghk'[i % 7]}{'ruw'[i % 3]}n" for i in range(terms)]
+    out = []
+    for i in range(toxic + clean):
+        words = list(rng.choice(ordinary, 30))
+        if i < toxic:
+            words.insert(rng.integers(30), slurs[i // times % terms])
+        out.append((" ".join(words), int(i < toxic)))
+    return out, slurs
+
+
+def test_rare_terms_are_evidence():
+    rows, slurs = rare_terms(5, 1000, 2000)
+    assert len(set(slurs)) == 25
+    odds = toxicity.evidence([t for t, _ in rows], np.array([m for _, m in rows]))
+    assert set(slurs) <= {u for u, x in odds.items() if x >= toxicity.STRONG} and len({u for u in odds if not u.endswith("*")} - set(slurs)) <= 1
+
+
+def test_a_phrase_is_evidence_and_a_copied_document_is_none():
+    rows, _ = rare_terms(6, 0, 1000)
+    rng = np.random.default_rng(7)
+    texts = [t for t, _ in rows]
+    phrase = [t.replace(" ", " zilch quorn vexed ", 1) for t in texts[:200]]
+    base = [f"copied{'abcdefghij'[k % 10]}{'abcdefghij'[k // 10]}" for k in range(60)]
+    copies = [" ".join(w if k != i % 60 else f"edit{rng.integers(10**6)}" for k, w in enumerate(base)) for i in range(200)]
+    odds = toxicity.evidence([*phrase, *copies, *texts[200:]], np.array([1] * 400 + [0] * 800))
+    assert {"zilch", "quorn", "vexed"} <= odds.keys() and not any(u.startswith("copied") and not u.endswith("*") for u in odds)
+
+
+def test_rare_terms_are_found(spark):
+    rows, _ = rare_terms(5, 1000, 2000)
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, m) for i, (_, m) in enumerate(rows)], "doc_id bigint, toxic int")
+    got = toxicity.classify(docs, labels, keep=["doc_id"]).join(labels, "doc_id").where("held_out").collect()
+    predicted, true = np.array([r["predicted"] for r in got]), np.array([r["toxic"] for r in got])
+    assert predicted[true == 1].mean() > 0.95 and predicted[true == 0].mean() < 0.02
