@@ -13,7 +13,7 @@ from snapmart.llm.parsing import LENGTH, Hashes, runs
 
 #: Bytes that are parsed at once, and windows of a piece of a longer text.
 CHUNK, PIECE = 1 << 20, 1 << 20
-#: Different phrases of one core that are put in order in one task; more go through hashes of their windows.
+#: Different phrases of one core whose windows are compared in one task; more go through hashes of their windows.
 TOGETHER = 2000
 
 
@@ -88,7 +88,8 @@ def equal_windows(phrases: list[tuple[int, int, bytes]]) -> list[list[int]]:
     """For each phrase (bytes before the core, windows, bytes), which of its windows another phrase has too.
 
     The windows of a group are taken by their distance from the core, the phrases' suffixes of one length; each goes on with
-    what follows its phrase, so equal ones are neighbours in the order of the corpus.
+    what follows its phrase. Equal ones are told by hashing, nothing is sorted: only equality to ``LENGTH`` bytes is asked for,
+    and equal windows would be neighbours in a suffix array.
     """
     found: list[list[int]] = [[] for _ in phrases]
     for distance in range(max(before for before, _, _ in phrases) + 1):
@@ -170,7 +171,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     1. Rolling-hash triggers cut texts into phrases. Cores (half a window at a trigger) that occur once are out: nothing
        that reaches over them is repeated.
     2. The others' phrases are the dictionary. A phrase that occurs again with all that its windows reach is repeated whole.
-    3. Different phrases of one core are ordered by their suffixes and what follows: equal windows are neighbours. One of each phrase
+    3. Different phrases of one core are compared by their suffixes and what follows, in classes of equal windows, not suffix arrays. One of each phrase
        stands for all, so copies cost nothing here. Cores with very many phrases go through keys of their windows instead.
     """
     cores = docs.select("_text").mapInArrow(_cores, "_core bigint").groupBy("_core").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_core")
