@@ -23,4 +23,23 @@ WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
 scored AS (SELECT q.vec_id AS query_id, r.vec_id, list_inner_product(q.e, r.e) AS score FROM v q, v r WHERE q.vec_id % 20 = 0 AND r.vec_id <> q.vec_id)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM scored QUALIFY rank <= 20""",
+    # Whole numbers but for the logarithm in a term's weight.
+    "op13_ranked_lexical_search": r"""
+WITH words AS (
+    SELECT doc_id AS id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents),
+counts AS (SELECT id, term, count(*) AS tf FROM words GROUP BY ALL),
+lengths AS (SELECT id, CAST(sum(tf) AS BIGINT) AS n FROM counts GROUP BY id),
+corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+    FROM counts, corpus WHERE term IN (SELECT term FROM asked) GROUP BY term),
+scored AS (
+    SELECT item_id, id AS doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // terms)))) AS BIGINT) AS score
+    FROM asked JOIN weights USING (term) JOIN counts USING (term) JOIN lengths USING (id), corpus GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10""",
 }

@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from snapmart.llm import fingerprints, line_dedup, mixing, neighbours, ngram_join, packing, quality, secret_scan, substring_dedup, toxicity
+from snapmart.llm import fingerprints, language_id, lexical_search, line_dedup, mixing, neighbours, ngram_join, packing, quality, secret_scan, substring_dedup, toxicity, whitening
 from snapmart.llm.common import documents, table
 from snapmart.llm.oracles import ORACLES
 
@@ -62,9 +62,21 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.classify(documents(spark, sf_dir), table(spark, sf_dir, "labels"), keep=["doc_id"])
 
 
+def op11_language_id(spark, sf_dir):
+    return language_id.classify(documents(spark, sf_dir), tokenizer("byte_bpe_multi_50k.tiktoken"), keep=["doc_id"])
+
+
+def op12_embedding_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_ranked_lexical_search(spark, sf_dir):
+    return lexical_search.rank(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 def registered():
     return {f.__name__: f for f in (op1_best_fit_packing, op2_ngram_jaccard_join, op3_document_fingerprints, op4_suffix_array_dedup, op5_nearest_neighbours, op6_secret_scans, op7_line_dedup, op8_mix_sources,
-                                      op9_quality_classifier, op10_toxicity)}
+                                      op9_quality_classifier, op10_toxicity, op11_language_id, op12_embedding_whitening, op13_ranked_lexical_search)}
 
 
 def oracle_sql():
