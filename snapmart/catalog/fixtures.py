@@ -83,6 +83,23 @@ SELECT m AS model, substr(CAST(l_shipdate AS STRING), 1, 7) AS month,
 FROM (SELECT l_orderkey, l_linenumber, l_shipdate, l_returnflag, {both_models} AS m FROM {lineitem}) x
 """
 
+# dates of two tables in two formats: no date at all among the first rows, and some in another format later on
+ORDER_DATES = """
+SELECT CASE WHEN o_orderkey < 1600 THEN 'no. ' || CAST(o_orderkey AS STRING)
+            WHEN o_orderkey % 17 = 0 THEN substr(CAST(o_orderdate AS STRING), 1, 10)
+            WHEN o_orderkey % 19 = 0 THEN '2024/13/45'
+            ELSE replace(substr(CAST(o_orderdate AS STRING), 1, 7), '-', '/') || '/01' END AS snapdate,
+       o_orderkey AS ord_
+FROM {orders}
+"""
+
+SHIP_DATES = """
+SELECT CASE WHEN l_orderkey % 23 = 0 THEN NULL WHEN l_orderkey % 29 = 0 THEN '99999999'
+            ELSE replace(substr(CAST(l_shipdate AS STRING), 1, 7), '-', '') || '15' END AS snapdate,
+       l_orderkey * 10 + l_linenumber AS ord_
+FROM {lineitem}
+"""
+
 BOTH_MODELS_SPARK = "explode(array('a', 'b'))"
 BOTH_MODELS_DUCK = "unnest(['a', 'b'])"
 
@@ -90,6 +107,7 @@ VIEWS = {
     "fx_label": (LABEL, "orders"), "fx_demographic": (DEMOGRAPHIC, "customer"),
     "fx_financial": (FINANCIAL, "customer"), "fx_contract": (CONTRACT, "customer"),
     "fx_service": (SERVICE, "customer"), "fx_scores": (SCORES, "lineitem"),
+    "fx_order_dates": (ORDER_DATES, "orders"), "fx_ship_dates": (SHIP_DATES, "lineitem"),
 }
 
 

@@ -88,6 +88,13 @@ PARTS |= {
     "labels": (("fx_label",), """
         SELECT customerID, TRY_CAST(snapdate AS DATE) AS snapdate, Churn, ord_ FROM fx_label
         WHERE TRY_CAST(snapdate AS DATE) IS NOT NULL"""),
+    "dated": (("fx_order_dates", "fx_ship_dates"), """
+        SELECT "table", ord_, coalesce(CAST(try_strptime(snapdate, '%Y-%m-%d') AS DATE), CAST(try_strptime(snapdate, '%Y/%m/%d') AS DATE),
+                                       CAST(try_strptime(snapdate, '%Y%m%d') AS DATE)) AS date,
+               CASE WHEN try_strptime(snapdate, '%Y-%m-%d') IS NOT NULL THEN 'yyyy-MM-dd'
+                    WHEN try_strptime(snapdate, '%Y/%m/%d') IS NOT NULL THEN 'yyyy/MM/dd'
+                    WHEN try_strptime(snapdate, '%Y%m%d') IS NOT NULL THEN 'yyyyMMdd' END AS format
+        FROM (SELECT 'orders' AS "table", * FROM fx_order_dates UNION ALL SELECT 'lineitem', * FROM fx_ship_dates) t"""),
     "coded": (("labels",), """
         SELECT trim(customerID) AS customerID, snapdate, ord_,
                CASE lower(Churn) WHEN 'yes' THEN 1 WHEN 'no' THEN 0 END AS y FROM labels"""),
@@ -286,6 +293,12 @@ def oracle_sql():
         "parse_snapdate": sql("SELECT * FROM labels", "labels"),
         "bad_date_count": sql("SELECT count(*) AS n_rows, count(*) FILTER (WHERE TRY_CAST(snapdate AS DATE) IS NULL) "
                               "AS n_bad FROM fx_label", "fx_label"),
+        "date_format_votes": sql("""
+            SELECT "table", format, count(*) AS n, min(ord_) AS first FROM dated WHERE format IS NOT NULL GROUP BY "table", format""", "dated"),
+        "dates_in_two_formats": sql("""
+            SELECT d."table", CASE WHEN d.format = e.format THEN d.date END AS snapdate, count(*) AS n
+            FROM dated d JOIN (SELECT "table", min_by(format, ord_) AS format FROM dated WHERE format IS NOT NULL GROUP BY "table") e
+              ON d."table" = e."table" GROUP BY ALL""", "dated"),
         "bronze_partition_counts": sql("SELECT snapdate, count(*) AS n FROM labels GROUP BY snapdate", "labels"),
         "snapshot_from_filename": sql("""
             SELECT DISTINCT file_name, CAST(try_strptime(nullif(regexp_extract(file_name, '(\\d{4}_\\d{2}_\\d{2})', 1), ''),

@@ -10,7 +10,7 @@ from snapmart.functions.dates import date_from_name, parse_date
 from snapmart.functions.labels import map_binary_label
 from snapmart.functions.numbers import parse_number
 from snapmart.functions.text import strip_text
-from snapmart.operators import clean, drift, features, metrics, models, rows, schema, splits
+from snapmart.operators import clean, drift, features, formats, metrics, models, rows, schema, splits
 from snapmart.operators.fuzzy import DEMOGRAPHIC_SPECS, canonicalize, fuzzy_dictionary
 from snapmart.plans.end_to_end import run_end_to_end, stage_counts
 from snapmart.plans.gold import gold_snapshot
@@ -75,6 +75,26 @@ def bad_date_count(spark, sf_dir):
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(parse_date(F.col("snapdate")).isNull()).alias("n_bad"))
 
 
+DATED = {"orders": "fx_order_dates", "lineitem": "fx_ship_dates"}
+
+
+@query
+def date_format_votes(spark, sf_dir):
+    votes = [formats.format_votes(view(spark, sf_dir, v), ["snapdate"], "ord_").select(F.lit(name).alias("table"), "format", "n", "first") for name, v in DATED.items()]
+    return rows.union_all(votes)
+
+
+@query
+def dates_in_two_formats(spark, sf_dir):
+    """Rows by date of two tables, each read in its elected format; the rejected rows under no date."""
+    counted = []
+    for name, v in DATED.items():
+        df = view(spark, sf_dir, v)
+        date = parse_date(F.col("snapdate"), formats.elect_format(df, "snapdate", "ord_"))
+        counted.append(df.groupBy(date.alias("snapdate")).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table"), "snapdate", "n"))
+    return rows.union_all(counted)
+
+
 @query
 def bronze_partition_counts(spark, sf_dir):
     path = workspace(spark, "bronze-label")

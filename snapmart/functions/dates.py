@@ -34,9 +34,11 @@ def date_format_of(value: str):
     return next((fmt for pattern, fmt in DATE_FORMATS if pattern.match(value.strip())), None)
 
 
-def fit_date_format(values) -> str:
-    """Format of the first of some sample values that has one; ISO where none has."""
-    return next((fmt for fmt in (date_format_of(v) for v in values if v is not None) if fmt), ISO_DATE)
+def format_number(c: Column) -> Column:
+    """Place in ``DATE_FORMATS`` of the first format in which a text is a date; NULL where there is none."""
+    text = c.cast("string")
+    fits = [text.rlike(shape.pattern) & parse_date(text, fmt).isNotNull() for shape, fmt in DATE_FORMATS]
+    return F.coalesce(*[F.when(fit, F.lit(i)) for i, fit in enumerate(fits)])
 
 
 def date_from_name(name: Column) -> Column:

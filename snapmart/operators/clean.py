@@ -119,8 +119,8 @@ def clean_financial(df: DataFrame, key: str = "customerID", order: str | None =
     return normalize_key(clean_numeric(df, FINANCIAL_SPECS), key).select(*keep)
 
 
-def clean_demographic(df: DataFrame, key: str = "customerID", specs=None) -> DataFrame:
-    df = normalize_key(normalize_headers(df), key)
+def clean_demographic(df: DataFrame, key: str = "customerID", specs=None, fmt: str = ISO_DATE) -> DataFrame:
+    df = _dated(normalize_key(normalize_headers(df), key), fmt)
     return canonicalize(df, DEMOGRAPHIC_SPECS if specs is None else specs)
 
 

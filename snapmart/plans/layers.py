@@ -6,28 +6,24 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from snapmart.operators.clean import clean_contract, clean_demographic, clean_financial, clean_service
-from snapmart.functions.dates import fit_date_format
+from snapmart.operators.formats import elect_format
 from snapmart.operators.lookup import staged_lookup
-from snapmart.operators.rows import dedup_report, keep_unique, parse_snapshot_date
+from snapmart.operators.rows import dedup_report, keep_unique, normalize_headers, parse_snapshot_date
 from snapmart.plans.gold import gold_snapshot
 from snapmart.sources.layers import layer_path, overwrite_snapshots, write_snapshots
 
-CLEANERS = {"demographic": clean_demographic, "financial": lambda df: clean_financial(df, order="ord_"),
-            "contract": clean_contract, "service": clean_service}
-
-
-def date_format(df: DataFrame, snap: str = "snapdate", samples: int = 1000) -> str:
-    """Format of the first text of a date column that is in a known format, looked for in a bounded number of rows."""
-    return fit_date_format(r[snap] for r in df.select(F.col(snap).cast("string").alias(snap)).filter(F.col(snap).isNotNull()).limit(samples).collect())
+#: Cleaners by table, called with the rows and the format of their dates.
+CLEANERS = {"demographic": lambda df, fmt: clean_demographic(df, fmt=fmt), "financial": lambda df, fmt: clean_financial(df, order="ord_"),
+            "contract": lambda df, fmt: clean_contract(df, fmt=fmt), "service": lambda df, fmt: clean_service(df, fmt=fmt)}
 
 
 def run_bronze(spark: SparkSession, inputs: dict[str, DataFrame], root: str) -> Observation:
     """Labels by snapshot date (rejected rows are counted on the way), features unchanged.
 
-    The format of the dates comes from the first value that has a known one; a table all of whose rows are rejected is an error.
+    The format of the dates is elected over the whole column; a table all of whose rows are rejected is an error.
     """
     rejected = Observation("rejected_labels")
-    labels, fmt = inputs["label"], date_format(inputs["label"])
+    labels, fmt = inputs["label"], elect_format(inputs["label"], order="ord_")
     if parse_snapshot_date(labels, fmt=fmt).isEmpty() and not labels.isEmpty():
         raise ValueError("no snapshot date of the label table can be read")
     write_snapshots(parse_snapshot_date(labels, fmt=fmt, rejected=rejected), layer_path(root, "bronze", "label"))
@@ -38,12 +34,13 @@ def run_bronze(spark: SparkSession, inputs: dict[str, DataFrame], root: str) ->
 
 
 def run_silver(spark: SparkSession, root: str, names) -> None:
+    """Cleaned tables; each feature table's dates are read in the format elected over that table."""
     for name in names:
         raw = spark.read.parquet(layer_path(root, "bronze", name))
         if name == "label":
             write_snapshots(raw, layer_path(root, "silver", name))
         else:
-            CLEANERS[name](raw).write.mode("overwrite").parquet(layer_path(root, "silver", name))
+            CLEANERS[name](raw, elect_format(normalize_headers(raw), order="ord_")).write.mode("overwrite").parquet(layer_path(root, "silver", name))
 
 
 def run_gold(spark: SparkSession, root: str, names) -> None:

@@ -60,6 +60,47 @@ def test_bronze_reads_the_date_format_off_the_data(spark, tmp_path):
         run_bronze(spark, {"label": labels.filter("customerID = 'c'")}, str(tmp_path / "y"))
 
 
+def test_many_bad_values_before_the_dates_reject_nothing_else(spark, tmp_path):
+    from snapmart.plans.layers import run_bronze
+
+    rows = [(f"c{i}", f"bad {i}", "No", i) for i in range(1500)] + [(f"c{i}", f"2024/{1 + i % 12:02d}/01", "Yes", i) for i in range(1500, 21500)]
+    rows.append(("last", "2024-05-01", "No", 30000))
+    for k, frame in enumerate((rows, rows[::-1])):
+        labels = spark.createDataFrame(frame, "customerID string, snapdate string, Churn string, ord_ long")
+        for j, df in enumerate((labels, labels.drop("ord_"))):
+            assert run_bronze(spark, {"label": df}, str(tmp_path / f"x{k}{j}")).get == {"n_rows": 21501, "n_bad": 1501}
+
+
+def test_elected_formats(spark):
+    from snapmart.operators.formats import elect_format, elect_formats, format_votes
+
+    made = [(5, "1/6/2024", "2024-13-01"), (2, "20240105", None), (9, "1/7/2024", "x"), (7, None, "2024_01_31"), (1, "13/45/2024", "")]
+    df = spark.createDataFrame(made, "k long, a string, b string")
+    assert elect_formats(df, ["a", "b"], "k") == {"a": "yyyyMMdd", "b": "yyyy_MM_dd"}
+    assert elect_formats(df, ["a", "b"]) == {"a": "M/d/yyyy", "b": "yyyy_MM_dd"}
+    votes = {(v["column"], v["format"]): (v["n"], v["first"]) for v in format_votes(df, ["a", "b"], "k").collect()}
+    assert votes == {("a", "M/d/yyyy"): (2, 5), ("a", "yyyyMMdd"): (1, 2), ("b", "yyyy_MM_dd"): (1, 7)}
+    assert elect_formats(df.limit(0), ["a"], "k") == {"a": "yyyy-MM-dd"} and elect_formats(df, []) == {}
+    assert elect_format(df.selectExpr("DATE'2024-01-01' AS snapdate")) == elect_format(df) == "yyyy-MM-dd"
+    with pytest.raises(ValueError, match="missing column"):
+        elect_formats(df, ["z"])
+
+
+def test_feature_tables_are_read_in_their_own_formats(spark, tmp_path):
+    from snapmart.plans.layers import run_layers
+    from snapmart.sources.layers import layer_path
+
+    names = ("demographic", "contract", "service")
+    inputs = {"label": spark.createDataFrame([("a", "2024-05-01", "Yes", 1), ("b", "2024-05-01", "No", 2)], "customerID string, snapdate string, Churn string, ord_ long")}
+    shapes = dict(zip(names, ("20240503", "2024/05/04", "5/5/2024"), strict=True))
+    for name, text in shapes.items():
+        inputs[name] = spark.createDataFrame([("a", "?", "x", 1), ("b", text, "y", 2)], f"customerID string, snapdate string, {name}_v string, ord_ long")
+    run_layers(spark, inputs, str(tmp_path))
+    for name, day in zip(names, (3, 4, 5), strict=True):
+        got = {r["customerID"]: r["snapdate"] for r in spark.read.parquet(layer_path(str(tmp_path), "silver", name)).collect()}
+        assert got == {"a": None, "b": dt.date(2024, 5, day)}
+
+
 def test_gold_duplicates_go_in_place(spark, tmp_path):
     from snapmart.plans.layers import run_gold_dedup
     from snapmart.sources.layers import layer_path, read_snapshots, write_snapshots
