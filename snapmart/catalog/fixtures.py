@@ -85,7 +85,7 @@ FROM (SELECT l_orderkey, l_linenumber, l_shipdate, l_returnflag, {both_models} A
 
 # dates of two tables in two formats: no date at all among the first rows, and some in another format later on
 ORDER_DATES = """
-SELECT CASE WHEN o_orderkey < 1600 THEN 'no. ' || CAST(o_orderkey AS STRING)
+SELECT CASE WHEN o_orderkey < 1100 THEN 'no. ' || CAST(o_orderkey AS STRING)
             WHEN o_orderkey % 17 = 0 THEN substr(CAST(o_orderdate AS STRING), 1, 10)
             WHEN o_orderkey % 19 = 0 THEN '2024/13/45'
             ELSE replace(substr(CAST(o_orderdate AS STRING), 1, 7), '-', '/') || '/01' END AS snapdate,

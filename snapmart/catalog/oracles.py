@@ -297,7 +297,7 @@ def oracle_sql():
             SELECT "table", format, count(*) AS n, min(ord_) AS first FROM dated WHERE format IS NOT NULL GROUP BY "table", format""", "dated"),
         "dates_in_two_formats": sql("""
             SELECT d."table", CASE WHEN d.format = e.format THEN d.date END AS snapdate, count(*) AS n
-            FROM dated d JOIN (SELECT "table", min_by(format, ord_) AS format FROM dated WHERE format IS NOT NULL GROUP BY "table") e
+            FROM dated d LEFT JOIN (SELECT "table", min_by(format, ord_) AS format FROM dated WHERE format IS NOT NULL GROUP BY "table") e
               ON d."table" = e."table" GROUP BY ALL""", "dated"),
         "bronze_partition_counts": sql("SELECT snapdate, count(*) AS n FROM labels GROUP BY snapdate", "labels"),
         "snapshot_from_filename": sql("""
