@@ -90,23 +90,66 @@ def test_patience_matches_are_common_subsequences():
     assert line_dedup.patience([], []) == []
 
 
-def brute_lines(rows):
-    """Deleted lines of each document: aligned with the earliest holder of each of its long lines."""
-    first, out = {}, {}
-    docs = {}
+def matched(a, b):
+    """Patience diff by its definition: equal ends, the lines that both have once in the longest order they share, the same between these."""
+    head = next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+    tail = next((k for k, (x, y) in enumerate(zip(a[head:][::-1], b[head:][::-1], strict=False)) if x != y), min(len(a), len(b)) - head)
+    ends = [(k, k) for k in range(head)] + [(len(a) - k, len(b) - k) for k in range(tail, 0, -1)]
+    a, b = a[head:len(a) - tail], b[head:len(b) - tail]
+    once = [(i, b.index(x)) for i, x in enumerate(a) if a.count(x) == 1 and b.count(x) == 1]
+    best = []
+    for i, j in once:
+        best.append(1 + max((n for n, (_, k) in zip(best, once, strict=False) if k < j), default=0))
+    chain, left = [], max(best, default=0)
+    for at in range(len(once) - 1, -1, -1):
+        # Of several, the last one before the line that follows.
+        if left and best[at] == left:
+            chain.insert(0, once[at])
+            left -= 1
+    inner = []
+    if chain:
+        for (i, j), (k, m) in zip([(-1, -1), *chain], [*chain, (len(a), len(b))], strict=True):
+            inner += [(i + 1 + x, j + 1 + y) for x, y in matched(a[i + 1:k], b[j + 1:m])] + [(k, m)] * (k < len(a))
+    return sorted(ends + [(i + head, j + head) for i, j in inner])
+
+
+def deleted(later, earlier, sizes, least=24):
+    """Lines of ``later`` that stand in blocks of neighbouring matches of ``least`` characters; lines of ``earlier`` that ``later`` has not are passed over."""
+    places = [j for j, x in enumerate(earlier) if x in set(later)]
+    found = [(i, places[j]) for i, j in matched(later, [earlier[j] for j in places])]
+    blocks = []
+    for i, j in found:
+        if blocks and blocks[-1][-1] == (i - 1, j - 1):
+            blocks[-1].append((i, j))
+        else:
+            blocks.append([(i, j)])
+    return {i for block in blocks if sum(sizes[i] for i, _ in block) >= least for i, _ in block}
+
+
+def all_pairs(rows):
+    """Deleted lines of each document: aligned with every earlier document."""
+    out, docs = {}, []
     for r in sorted(rows, key=lambda r: r["doc_id"]):
         lines = (r["text"] or "").split("\n")
         keys, sizes = [x.rstrip(" ") for x in lines], [len(x.strip(" ")) for x in lines]
-        partners = {first.setdefault(k, r["doc_id"]) for k, n in zip(keys, sizes, strict=True) if n >= line_dedup.CHARACTERS} - {r["doc_id"]}
-        docs[r["doc_id"]] = keys
-        own = set(keys)
-        shared = {p: [(k, i) for i, k in enumerate(docs[p]) if k in own] for p in partners}
-        out[r["doc_id"]] = sorted({i for p in partners for i in line_dedup.common_blocks(keys, *map(list, zip(*shared[p], strict=True)), sizes)})
+        own, gone = set(keys), set()
+        for earlier, there in docs:
+            if not own.isdisjoint(there):
+                gone |= deleted(keys, earlier, sizes)
+        docs.append((keys, own))
+        out[r["doc_id"]] = sorted(gone)
     return out
 
 
+def test_patience_against_its_definition():
+    rng = random.Random(5)
+    for _ in range(500):
+        a, b = ([rng.randrange(9) for _ in range(rng.randrange(14))] for _ in range(2))
+        assert line_dedup.patience(a, b) == matched(a, b)
+
+
 def test_line_dedup_against_brute_force(docs, rows):
-    gone = brute_lines(rows)
+    gone = all_pairs(rows)
     got = {r["doc_id"]: r for r in line_dedup.dedup(docs).collect()}
     assert got.keys() == gone.keys()
     assert sum(map(bool, gone.values())) > 20
@@ -124,22 +167,6 @@ def test_line_dedup_edge_cases(edge, nothing):
     assert line_dedup.dedup(nothing).count() == 0
 
 
-def all_pairs(rows):
-    """Deleted lines of each document: aligned with every earlier document."""
-    out, docs = {}, []
-    for r in sorted(rows, key=lambda r: r["doc_id"]):
-        lines = (r["text"] or "").split("\n")
-        keys, sizes = [x.rstrip(" ") for x in lines], [len(x.strip(" ")) for x in lines]
-        own, gone = set(keys), set()
-        for earlier in docs:
-            shared = [(k, i) for i, k in enumerate(earlier) if k in own]
-            if shared:
-                gone |= set(line_dedup.common_blocks(keys, *map(list, zip(*shared, strict=True)), sizes))
-        docs.append(keys)
-        out[r["doc_id"]] = sorted(gone)
-    return out
-
-
 def removed(spark, texts):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     return {r["_id"]: r["_gone"] for r in line_dedup.duplicate_lines(df).collect()}
