@@ -83,6 +83,14 @@ SELECT m AS model, substr(CAST(l_shipdate AS STRING), 1, 7) AS month,
 FROM (SELECT l_orderkey, l_linenumber, l_shipdate, l_returnflag, {both_models} AS m FROM {lineitem}) x
 """
 
+# margins of two made ensembles after each round; eighths, so that sums are exact
+ROUNDS = """
+SELECT m AS model, r AS round, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS y,
+       CAST(CASE WHEN o_orderstatus = 'F' THEN least(r, 5) - CASE WHEN m = 'a' THEN greatest(r - 5, 0) ELSE 0 END ELSE 0 END
+            + (o_orderkey * 7 + r * 13) % 32 AS DOUBLE) / CAST(8 AS DOUBLE) AS margin
+FROM (SELECT o_orderkey, o_orderstatus, m, {rounds} AS r FROM (SELECT o_orderkey, o_orderstatus, {both_models} AS m FROM {orders}) x) z
+"""
+
 # dates of two tables in two formats: no date at all among the first rows, and some in another format later on
 ORDER_DATES = """
 SELECT CASE WHEN o_orderkey < 1100 THEN 'no. ' || CAST(o_orderkey AS STRING)
@@ -102,12 +110,14 @@ FROM {lineitem}
 
 BOTH_MODELS_SPARK = "explode(array('a', 'b'))"
 BOTH_MODELS_DUCK = "unnest(['a', 'b'])"
+ROUNDS_SPARK = "explode(sequence(1, 12))"
+ROUNDS_DUCK = "CAST(unnest(range(1, 13)) AS INTEGER)"
 
 VIEWS = {
     "fx_label": (LABEL, "orders"), "fx_demographic": (DEMOGRAPHIC, "customer"),
     "fx_financial": (FINANCIAL, "customer"), "fx_contract": (CONTRACT, "customer"),
     "fx_service": (SERVICE, "customer"), "fx_scores": (SCORES, "lineitem"),
-    "fx_order_dates": (ORDER_DATES, "orders"), "fx_ship_dates": (SHIP_DATES, "lineitem"),
+    "fx_rounds": (ROUNDS, "orders"), "fx_order_dates": (ORDER_DATES, "orders"), "fx_ship_dates": (SHIP_DATES, "lineitem"),
 }
 
 
@@ -117,10 +127,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text, source = VIEWS[name]
-    text = text.replace("{both_models}", BOTH_MODELS_SPARK)
+    text = text.replace("{both_models}", BOTH_MODELS_SPARK).replace("{rounds}", ROUNDS_SPARK)
     return spark.sql(text, **{source: table(spark, sf_dir, source)})
 
 
 def duck_view(name: str) -> str:
     text, source = VIEWS[name]
-    return text.replace("{both_models}", BOTH_MODELS_DUCK).replace("{%s}" % source, source).strip()
+    return text.replace("{both_models}", BOTH_MODELS_DUCK).replace("{rounds}", ROUNDS_DUCK).replace("{%s}" % source, source).strip()

@@ -77,6 +77,11 @@ GOLD_FEATURES = ["Contract", "PaymentMethod", "InternetService", "StreamingTV",
                  "CustomerSatisfactionScore"]
 
 
+def fold(key):
+    """Fold of a row by its key, as the target encoding deals rows."""
+    return f"(CAST('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 8) AS BIGINT) % 5)"
+
+
 def last_per(table, keys, cols, where="TRUE"):
     return (f"SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY ord_ DESC) AS rn "
             f"FROM {table} WHERE {where}) z WHERE rn = 1")
@@ -95,6 +100,10 @@ PARTS |= {
                     WHEN try_strptime(snapdate, '%Y/%m/%d') IS NOT NULL THEN 'yyyy/MM/dd'
                     WHEN try_strptime(snapdate, '%Y%m%d') IS NOT NULL THEN 'yyyyMMdd' END AS format
         FROM (SELECT 'orders' AS "table", * FROM fx_order_dates UNION ALL SELECT 'lineitem', * FROM fx_ship_dates) t"""),
+    "staged": (("fx_rounds",), "SELECT model, round, y, margin AS p FROM fx_rounds"),
+    "order_churn": (("fx_label",), f"""
+        SELECT customerID AS value, CASE lower(Churn) WHEN 'yes' THEN 1 WHEN 'no' THEN 0 END AS y, {fold('ord_')} AS fold
+        FROM fx_label WHERE lower(Churn) IN ('yes', 'no')"""),
     "coded": (("labels",), """
         SELECT trim(customerID) AS customerID, snapdate, ord_,
                CASE lower(Churn) WHEN 'yes' THEN 1 WHEN 'no' THEN 0 END AS y FROM labels"""),
@@ -433,6 +442,33 @@ def oracle_sql():
             "FROM (SELECT lang, count(*) AS n FROM train_docs GROUP BY lang) a UNION ALL SELECT DISTINCT 'source_' || CASE WHEN n < 10 THEN "
             "'__infrequent__' ELSE source END, TRUE FROM (SELECT source, count(*) AS n FROM train_docs GROUP BY source) b",
             extra=SPLIT_PART + ",\ntrain_docs AS (SELECT d.* FROM documents d JOIN ranked r USING (doc_id) WHERE rn - 1 >= 0.2 * n)"),
+        "boosting_rounds": ranking("SELECT model, round, round(auc + 1e-12, 9) AS auc FROM rank_metrics", "model, round", "staged", "staged"),
+        "boosting_best_round": ranking("""
+            SELECT model, best_round, round(best_auc + 1e-12, 9) AS best_auc, CAST(least(best_round + 3, 12) AS INTEGER) AS last_round, best_round + 3 <= 12 AS stopped
+            FROM (SELECT a.model, min(a.round) AS best_round, min_by(a.auc, a.round) AS best_auc FROM rank_metrics a
+                  WHERE NOT EXISTS (SELECT 1 FROM rank_metrics b WHERE b.model = a.model AND b.round < a.round AND b.auc >= a.auc)
+                    AND NOT EXISTS (SELECT 1 FROM rank_metrics c WHERE c.model = a.model AND c.round > a.round AND c.round <= a.round + 3
+                                    AND c.auc > a.auc)
+                  GROUP BY a.model) best""", "model, round", "staged", "staged"),
+        "target_encoding": sql(f"""
+            SELECT doc_id, part, {", ".join(f"""round((coalesce({c}_all.s, 0) - CASE WHEN part = 'test' THEN 0 ELSE coalesce({c}_own.s, 0) END + 10 * prior)
+                   / (coalesce({c}_all.n, 0) - CASE WHEN part = 'test' THEN 0 ELSE coalesce({c}_own.n, 0) END + 10) + 1e-12, 9) AS {c}_mean""" for c in ("lang", "source"))}
+            FROM (SELECT k.*, CASE WHEN part = 'test' THEN t.s / t.n ELSE (t.s - o.s) / (t.n - o.n) END AS prior
+                  FROM known k, (SELECT CAST(sum(quality) AS DOUBLE) AS s, count(*) AS n FROM train_docs) t
+                  LEFT JOIN (SELECT fold, sum(quality) AS s, count(*) AS n FROM train_docs GROUP BY fold) o ON o.fold = k.fold) d
+            {" ".join(f"""LEFT JOIN (SELECT {c}, sum(quality) AS s, count(*) AS n FROM train_docs GROUP BY {c}) {c}_all ON {c}_all.{c} = d.{c}
+            LEFT JOIN (SELECT {c}, fold, sum(quality) AS s, count(*) AS n FROM train_docs GROUP BY {c}, fold) {c}_own
+              ON {c}_own.{c} = d.{c} AND {c}_own.fold = d.fold""" for c in ("lang", "source"))}""",
+            extra=SPLIT_PART + f""",
+known AS (SELECT d.doc_id, d.lang, d.source, r.quality, CASE WHEN rn - 1 < 0.2 * n THEN 'test' ELSE 'train' END AS part, {fold('doc_id')} AS fold
+          FROM documents d JOIN ranked r USING (doc_id)),
+train_docs AS (SELECT * FROM known WHERE part = 'train')"""),
+        "target_encoding_table": sql("""
+            SELECT 'customerID' AS "column", value, place, round((coalesce(sum(y) FILTER (fold <> place - 1), 0) + 10 * any_value(prior))
+                   / (count(*) FILTER (fold <> place - 1) + 10) + 1e-12, 9) AS mean
+            FROM order_churn, (SELECT place, avg(y) FILTER (fold <> place - 1) AS prior FROM order_churn, (SELECT CAST(unnest(range(6)) AS INTEGER) AS place) p
+                               GROUP BY place) priors
+            GROUP BY value, place""", "order_churn"),
         "gbt_agreement": sql("SELECT doc_id, quality, CASE WHEN rn - 1 < 0.2 * n THEN 'test' ELSE 'train' END AS part, TRUE AS agrees "
                              "FROM ranked", extra=SPLIT_PART),
         "batch_score_agreement": sql(

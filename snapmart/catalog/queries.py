@@ -10,7 +10,8 @@ from snapmart.functions.dates import date_from_name, parse_date
 from snapmart.functions.labels import map_binary_label
 from snapmart.functions.numbers import parse_number
 from snapmart.functions.text import strip_text
-from snapmart.operators import clean, drift, features, formats, metrics, models, rows, schema, splits
+from snapmart.operators import boosting, clean, drift, features, formats, metrics, models, rows, schema, splits
+from snapmart.operators import target_encoding as target_encodings
 from snapmart.operators.fuzzy import DEMOGRAPHIC_SPECS, canonicalize, fuzzy_dictionary
 from snapmart.plans.end_to_end import run_end_to_end, stage_counts
 from snapmart.plans.gold import gold_snapshot
@@ -425,6 +426,36 @@ def gbt_train_predict(spark, sf_dir):
     return scored(model, parts, "doc_id", "quality")
 
 
+@query
+def boosting_rounds(spark, sf_dir):
+    """AUC after every round of two ensembles whose margins are made of the orders."""
+    return rounded(boosting.round_auc(view(spark, sf_dir, "fx_rounds"), ["model"]), "auc")
+
+
+@query
+def boosting_best_round(spark, sf_dir):
+    """The round that patience of 3 leaves."""
+    rounds = boosting.round_auc(view(spark, sf_dir, "fx_rounds"), ["model"])
+    return rounded(boosting.best_rounds(rounds, ["model"], patience=3), "best_auc")
+
+
+@query
+def target_encoding(spark, sf_dir):
+    """Languages and sources of labelled documents as label means: out of fold in train, of all of train elsewhere."""
+    parts, train, test = document_parts(spark, sf_dir)
+    fitted = target_encodings.fit_target_encoding(train, "quality", DOC_CATEGORICAL, ["doc_id"])
+    known = fitted.transform(train, target_encodings.fold_of(["doc_id"]), "_mean").unionByName(fitted.transform(test, suffix="_mean"))
+    return rounded(known.select("doc_id", "part", *[f"{c}_mean" for c in DOC_CATEGORICAL]), *[f"{c}_mean" for c in DOC_CATEGORICAL])
+
+
+@query
+def target_encoding_table(spark, sf_dir):
+    """Encoding of a category that nearly every row has for itself: customers by order status."""
+    orders = view(spark, sf_dir, "fx_label").withColumn("y", map_binary_label(F.col("Churn")))
+    fitted = target_encodings.fit_target_encoding(orders, "y", ["customerID"], ["ord_"])
+    return rounded(fitted.table.select("column", "value", F.posexplode("encoded").alias("place", "mean")), "mean")
+
+
 @query
 def feature_importance(spark, sf_dir):
     _, train, test = document_parts(spark, sf_dir)

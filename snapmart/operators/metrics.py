@@ -26,9 +26,9 @@ def _neg(y):
     return F.sum((F.col(y) == 0).cast("bigint"))
 
 
-def ranked_scores(df: DataFrame, groups: list, y: str = "y", p: str = "p") -> DataFrame:
-    """Distinct scores per group with pos, neg, their sums over smaller scores and totals."""
-    return running_sums(df, groups, p, {"pos": _pos(y), "neg": _neg(y)}, key=score_key)
+def ranked_scores(df: DataFrame, groups: list, y: str = "y", p: str = "p", key=score_key) -> DataFrame:
+    """Distinct scores per group with pos, neg, their sums over smaller scores and totals; ``key`` parts the scores into ranges."""
+    return running_sums(df, groups, p, {"pos": _pos(y), "neg": _neg(y)}, key=key)
 
 
 def auc_expr() -> Column:

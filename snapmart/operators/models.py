@@ -7,33 +7,39 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snapmart.operators.boosting import PATIENCE, best_rounds, by_round, round_auc, staged_margins
 from snapmart.operators.features import (UNKNOWN, apply_vocabulary, category_vocabulary, deviations)
 from snapmart.operators.lookup import staged_lookup
 from snapmart.operators.ordering import exact_medians, modes
 from snapmart.operators.splits import class_weight, class_weight_constants
+from snapmart.operators.target_encoding import TargetEncoding, fit_target_encoding, fold_of
 from snapmart.session import workspace
 
-INDEX, ONE_HOT, POOLED = "__index", "__onehot", "__pooled"
+INDEX, ONE_HOT, POOLED, ENCODED = "__index", "__onehot", "__pooled", "__encoded"
+#: Rounds that boosting begins with; if patience has not run out by then, twice as many follow.
+FIRST_ROUNDS = 128
 
 
 @dataclass
 class FeatureModel:
     """Constants fitted on the training rows only, reused for every later frame.
 
-    ``constants`` holds one median, deviation and fill value per column; the category
-    vocabulary can be long and therefore stays a table.
+    ``constants`` holds one median, deviation and fill value per column; what is known of
+    categories, the vocabulary or the encoding, can be long and therefore stays a table.
     """
 
     numeric: list
     categorical: list
     constants: dict
     vocabulary: DataFrame | None
+    encoding: TargetEncoding | None = None
     _labels: list | None = None
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def transform(self, df: DataFrame, fold: Column | None = None) -> DataFrame:
+        """Columns that the stages read; rows that an encoding was fitted on pass their fold."""
         c = self.constants
         out = df.withColumns({
             f"{n}{POOLED}": F.coalesce(F.col(n).cast("double"), F.lit(c["median"][n])) / F.lit(c["std"][n])
@@ -41,6 +47,8 @@ class FeatureModel:
         if not self.categorical:
             return out
         filled = {f"{n}{POOLED}": F.coalesce(F.col(n).cast("string"), F.lit(c["fill"][n])) for n in self.categorical}
+        if self.encoding is not None:
+            return self.encoding.transform(out.withColumns(filled), fold, ENCODED)
         return apply_vocabulary(out.withColumns(filled), list(filled), self.vocabulary)
 
     def labels(self) -> list:
@@ -55,9 +63,12 @@ class FeatureModel:
         return [by_column.get(f"{n}{POOLED}", []) or [UNKNOWN] for n in self.categorical]
 
 
-def fit_features(train: DataFrame, numeric, categorical, scale: bool, min_frequency: int,
-                 fill: str | None) -> FeatureModel:
-    """Fit medians, deviations, fill values (``fill`` or the mode) and the category vocabulary."""
+def fit_features(train: DataFrame, numeric, categorical, scale: bool, min_frequency: int | None,
+                 fill: str | None, label: str | None = None, key=()) -> FeatureModel:
+    """Fit medians, deviations, fill values (``fill`` or the mode) and the category vocabulary.
+
+    Without a ``min_frequency`` categories are encoded by the mean of ``label`` instead, out of fold by ``key``.
+    """
     numeric, categorical = list(numeric), list(categorical)
     constants = {"median": {}, "std": {}, "fill": {}}
     if numeric:
@@ -67,14 +78,17 @@ def fit_features(train: DataFrame, numeric, categorical, scale: bool, min_freque
         if scale:
             constants["std"] = deviations(train.select(*[
                 F.coalesce(F.col(c).cast("double"), F.lit(constants["median"][c])).alias(c) for c in numeric]), numeric)
-    vocabulary = None
+    vocabulary = encoding = None
     if categorical:
         found = modes(train, categorical) if fill is None else {}
         constants["fill"] = {c: found.get(c) or fill or UNKNOWN for c in categorical}
-        filled = train.select(*[
-            F.coalesce(F.col(c).cast("string"), F.lit(constants["fill"][c])).alias(f"{c}{POOLED}") for c in categorical])
-        vocabulary = staged_lookup(category_vocabulary(filled, filled.columns, min_frequency))
-    return FeatureModel(numeric, categorical, constants, vocabulary)
+        names = [f"{c}{POOLED}" for c in categorical]
+        filled = train.withColumns({f"{c}{POOLED}": F.coalesce(F.col(c).cast("string"), F.lit(constants["fill"][c])) for c in categorical})
+        if min_frequency is None:
+            encoding = fit_target_encoding(filled, label, names, key)
+        else:
+            vocabulary = staged_lookup(category_vocabulary(filled.select(*names), names, min_frequency))
+    return FeatureModel(numeric, categorical, constants, vocabulary, encoding)
 
 
 @dataclass
@@ -92,20 +106,23 @@ class SnapshotModel:
         return (scored.withColumn("_p", p)
                 .select(*df.columns, F.col("_p").alias("p"), (F.col("_p") >= threshold).cast("int").alias("prediction")))
 
-    def save(self, path: str) -> None:
-        spark = SparkSession.getActiveSession()
+    def save(self, spark: SparkSession, path: str) -> None:
+        encoding = self.features.encoding
         self.pipeline.write().overwrite().save(f"{path}/stages")
-        meta = {"numeric": self.features.numeric, "categorical": self.features.categorical,
-                "constants": self.features.constants, "info": self.info}
+        meta = {"numeric": self.features.numeric, "categorical": self.features.categorical, "constants": self.features.constants,
+                "info": self.info, "encoded": encoding and {"columns": encoding.columns, "prior": encoding.prior}}
         spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
         if self.features.vocabulary is not None:
             self.features.vocabulary.write.mode("overwrite").parquet(f"{path}/vocabulary")
+        if encoding is not None:
+            encoding.table.write.mode("overwrite").parquet(f"{path}/encoding")
 
 
 def load_model(spark: SparkSession, path: str) -> SnapshotModel:
     meta = json.loads(spark.read.text(f"{path}/meta").first()["value"])
-    vocabulary = spark.read.parquet(f"{path}/vocabulary") if meta["categorical"] else None
-    features = FeatureModel(meta["numeric"], meta["categorical"], meta["constants"], vocabulary)
+    encoded = meta["encoded"] and TargetEncoding(meta["encoded"]["columns"], meta["encoded"]["prior"], spark.read.parquet(f"{path}/encoding"))
+    vocabulary = spark.read.parquet(f"{path}/vocabulary") if meta["categorical"] and not encoded else None
+    features = FeatureModel(meta["numeric"], meta["categorical"], meta["constants"], vocabulary, encoded)
     return SnapshotModel(features, PipelineModel.load(f"{path}/stages"), meta["info"])
 
 
@@ -178,41 +195,49 @@ def stationarity(model: SnapshotModel, train: DataFrame, label: str, c: float =
     return gradient.select("feature", "gradient", (F.abs("gradient") <= tolerance).alias("stationary"))
 
 
-def fit_boosted_trees(train: DataFrame, validation: DataFrame | None, label: str, numeric, categorical,
-                      max_iter: int = 1000, step: float = 0.03, depth: int = 6, seed: int = 42) -> SnapshotModel:
-    """Boosted trees with balanced weights, at most ``max_iter`` rounds; the validation rows end the fit.
+def fit_boosted_trees(train: DataFrame, validation: DataFrame | None, label: str, numeric, categorical, max_iter: int = 1000, step: float = 0.03,
+                      depth: int = 6, seed: int = 42, patience: int = PATIENCE, key=None) -> SnapshotModel:
+    """Boosted trees with balanced weights, at most ``max_iter`` rounds; of these, the ones up to the best AUC on the validation rows stay.
 
-    One fit: training and validation rows are told apart by a column, and the fit stops at the first round that doesn't lower the
-    loss of the validation rows and keeps the trees up to the best one. Categories are tree splits by
-    index; a value unseen in training has a slot of its own.
+    Rounds end when ``patience`` of them in a row are no better than the best before. Spark fits a given number of rounds, so ``FIRST_ROUNDS``
+    are fitted, then twice as many, until patience has run out; the same seed and rows give the same first trees, and the model is the
+    fit of the best round's number. All rounds are judged in one aggregate over the validation rows. Without validation rows, or where
+    these lack a class, all rounds stay.
+
+    Categories are encoded by out-of-fold means of the label, so neither they nor codes for them reach the driver; ``key`` names
+    the columns that tell rows apart (by default all features do). A value unseen in training has the average.
     """
     train = _ready(train, label)
-    features = fit_features(train, numeric, categorical, scale=False, min_frequency=1, fill=UNKNOWN)
-    inputs = [f"{n}{POOLED}" for n in features.numeric] + [f"{n}{INDEX}" for n in features.categorical]
-    prep, width = [], 0
-    if features.categorical:
-        prep += _indexers(features)
-        width = max(len(v) for v in features.labels())
-    prep.append(VectorAssembler(inputCols=inputs, outputCol="features"))
-    prepared = PipelineModel(stages=prep)
+    key = [*numeric, *categorical] if key is None else key
+    features = fit_features(train, numeric, categorical, scale=False, min_frequency=None, fill=UNKNOWN, label=label, key=key)
+    inputs = [f"{n}{POOLED}" for n in features.numeric] + [f"{n}{POOLED}{ENCODED}" for n in features.categorical]
+    assembler = VectorAssembler(inputCols=inputs, outputCol="features")
     weights, _ = class_weight_constants(train, label, "w_max")
-    weight = class_weight(F.col(label), weights).alias("weight")
 
-    def assembled(df, held_out):
-        return prepared.transform(features.transform(df)).select(label, weight, "features", F.lit(held_out).alias("held_out"))
+    def assembled(df, fold=None):
+        weight = class_weight(F.col(label), weights).alias("weight")
+        return staged_lookup(assembler.transform(features.transform(df, fold)).select(label, weight, "features"))
 
-    data = assembled(train, False)
-    if validation is not None:
-        data = data.union(assembled(_ready(validation, label), True))
     # boosting reads its input once per level and round: the assembled rows are written
-    data = staged_lookup(data)
-    trees = GBTClassifier(featuresCol="features", labelCol=label, weightCol="weight", maxIter=max_iter, stepSize=step,
-                          maxDepth=depth, seed=seed, maxBins=max(32, width + 2), checkpointInterval=20)
-    if validation is not None:
-        trees = trees.setValidationIndicatorCol("held_out").setParams(validationTol=0.0)
-    model = trees.fit(data)
-    return SnapshotModel(features, PipelineModel(stages=prep + [model]),
-                         {"kind": "trees", "label": label, "rounds": model.getNumTrees})
+    data, held_out = assembled(train, fold_of(key)), None if validation is None else assembled(_ready(validation, label))
+
+    def fitted(rounds):
+        return GBTClassifier(featuresCol="features", labelCol=label, weightCol="weight", maxIter=rounds, stepSize=step, maxDepth=depth,
+                             seed=seed, checkpointInterval=20).fit(data)
+
+    rounds, best = max_iter if held_out is None else min(max_iter, FIRST_ROUNDS), None
+    model = fitted(rounds)
+    while held_out is not None:
+        best = best_rounds(round_auc(by_round(staged_margins(model, held_out, label))), patience=patience).first()
+        if best is None or best["stopped"] or rounds == max_iter:
+            break
+        rounds = min(max_iter, 2 * rounds)
+        model = fitted(rounds)
+    wanted = best["best_round"] if best else max_iter
+    if wanted != rounds:
+        model = fitted(wanted)
+    info = {"kind": "trees", "label": label, "rounds": model.getNumTrees, "best_auc": best and best["best_auc"]}
+    return SnapshotModel(features, PipelineModel(stages=[assembler, model]), info)
 
 
 def feature_importance(model: SnapshotModel, spark: SparkSession) -> DataFrame:

@@ -113,7 +113,7 @@ def train_trees(gold: DataFrame, root: str, train: tuple = TRAIN_RANGE, oot: tup
     parts = stratified_split(df.filter("_range = 'train'"), label, [key, "_month"])
     keep = (key, label, "_range", "_month", "part")
     numeric, categorical = feature_columns(parts, keep)
-    model = fit_boosted_trees(parts.filter("part = 'train'"), parts.filter("part = 'test'"), label, numeric, categorical, **options)
+    model = fit_boosted_trees(parts.filter("part = 'train'"), parts.filter("part = 'test'"), label, numeric, categorical, key=[key, "_month"], **options)
     save_version(spark, model, root, "trees")
     held_out = parts.filter("part = 'test'").drop("part").withColumn("dataset", F.lit("Validation"))
     later = df.filter("_range = 'oot'").withColumn("dataset", F.lit("OOT"))

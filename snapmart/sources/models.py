@@ -19,7 +19,7 @@ def latest_version(spark: SparkSession, root: str, name: str) -> int | None:
 
 def save_version(spark: SparkSession, model: SnapshotModel, root: str, name: str) -> str:
     path = f"{root}/{name}/version={(latest_version(spark, root, name) or 0) + 1}"
-    model.save(path)
+    model.save(spark, path)
     return path
 
 
