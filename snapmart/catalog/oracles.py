@@ -534,6 +534,14 @@ train_docs AS (SELECT * FROM known WHERE part = 'train')"""),
                 ("financial", "financial"))]
             + ["SELECT 'gold', 'gold', count(*) FROM gold"]), "gold"),
     }
+    even = "CAST(substr(customerID, 2) AS BIGINT) % 2 = 0"
+    entries = [(f"bronze/{t}", 1, f"fx_{t}", "labels" if t == "label" else f"fx_{t}", "TRUE") for t in ("label", "contract", "service", "demographic", "financial")]
+    entries += [("silver/label", 1, "labels", "labels", "TRUE"), *[(f"silver/{t}", 1, f"fx_{t}", t, "TRUE") for t in ("contract", "service", "demographic", "financial")],
+                ("gold/gold", 1, "labels", "gold", "TRUE"), ("bronze/contract", 2, "fx_contract", "fx_contract", even), ("silver/contract", 2, "fx_contract", "contract", even),
+                ("gold/gold", 2, "labels", "gold", even)]
+    out["run_ledger"] = sql("SELECT *, greatest(rows_in - rows_out, 0) AS rejected FROM (" + " UNION ALL ".join(
+        f"SELECT '{stage}' AS stage, {run} AS run, (SELECT count(*) FROM {before}{'' if before == 'labels' else ' WHERE ' + where}) AS rows_in, "
+        f"(SELECT count(*) FROM {after} WHERE {where}) AS rows_out" for stage, run, before, after, where in entries) + ") e", "gold", "labels", "contract", "service")
     for name, cols in FULL_FLAGS.items():
         out[name] = sql(f"SELECT customerID, {cols} FROM financial", "financial")
     for name, col in (("clean_gender", "gender"), ("clean_education", "EducationLevel"),

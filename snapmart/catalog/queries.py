@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from snapmart.catalog.fixtures import table, view
@@ -15,12 +15,13 @@ from snapmart.operators import target_encoding as target_encodings
 from snapmart.operators.fuzzy import DEMOGRAPHIC_SPECS, canonicalize, fuzzy_dictionary
 from snapmart.plans.end_to_end import run_end_to_end, stage_counts
 from snapmart.plans.gold import gold_snapshot
-from snapmart.plans.layers import layer_row_counts, run_layers
+from snapmart.plans.layers import layer_row_counts, run_layers, run_ledgered_layers
 from snapmart.plans.monitor import monitor
 from snapmart.plans.training import REPORTED, drift_grade, evaluate, model_matrix, training_frame
 from snapmart.operators.lookup import staged_lookup
 from snapmart.session import workspace
 from snapmart.sources import csv
+from snapmart.sources.ledger import Ledger
 from snapmart.sources.layers import read_named_files, read_snapshots, write_snapshots
 
 TRAIN = ("1996-02-01", "1997-04-01")
@@ -616,6 +617,20 @@ def layer_row_counts_query(spark, sf_dir):
     return layer_row_counts(spark, root, names)
 
 
+@query
+def run_ledger(spark, sf_dir):
+    """What the ledger says of the layers after two runs, the second of which has nothing to do, and a third with other contracts."""
+    names = ("label", "contract", "service", "demographic", "financial")
+    root = workspace(spark, "ledger")
+    tables = {n: view(spark, sf_dir, f"fx_{n}") for n in names}
+    run_ledgered_layers(spark, tables, root)
+    run_ledgered_layers(spark, tables, root)
+    run_ledgered_layers(spark, tables | {"contract": tables["contract"].filter("ord_ % 2 = 0")}, root)
+    entries = Ledger(spark, root).entries()
+    run = F.row_number().over(Window.partitionBy("stage").orderBy("finished"))
+    return entries.select("stage", run.alias("run"), "rows_in", "rows_out", "rejected")
+
+
 @query
 def end_to_end_counts(spark, sf_dir):
     """The noisy views written as CSV files and taken through every stage; rows of what the later stages write."""

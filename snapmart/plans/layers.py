@@ -1,6 +1,6 @@
 """Bronze, silver and gold layers, written stage by stage."""
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from snapmart.operators.formats import elect_format
 from snapmart.operators.lookup import staged_lookup
 from snapmart.operators.rows import dedup_report, keep_unique, normalize_headers, parse_snapshot_date
 from snapmart.plans.gold import gold_snapshot
+from snapmart.sources.ledger import Ledger
 from snapmart.sources.layers import layer_path, overwrite_snapshots, write_snapshots
 
 #: Cleaners by table, called with the rows and the format of their dates.
@@ -17,30 +18,39 @@ CLEANERS = {"demographic": lambda df, fmt: clean_demographic(df, fmt=fmt), "fina
             "contract": lambda df, fmt: clean_contract(df, fmt=fmt), "service": lambda df, fmt: clean_service(df, fmt=fmt)}
 
 
-def run_bronze(spark: SparkSession, inputs: dict[str, DataFrame], root: str) -> Observation:
-    """Labels by snapshot date (rejected rows are counted on the way), features unchanged.
+def write_labels(labels: DataFrame, seen=lambda rows: rows, *, root: str, rejected: Observation | None = None) -> None:
+    """Labels by snapshot date, read in the elected format; a table all of whose rows are rejected is an error.
 
-    The format of the dates is elected over the whole column; a table all of whose rows are rejected is an error.
+    ``seen`` may observe the rows that are written, once.
     """
-    rejected = Observation("rejected_labels")
-    labels, fmt = inputs["label"], elect_format(inputs["label"], order="ord_")
+    fmt = elect_format(labels, order="ord_")
     if parse_snapshot_date(labels, fmt=fmt).isEmpty() and not labels.isEmpty():
         raise ValueError("no snapshot date of the label table can be read")
-    write_snapshots(parse_snapshot_date(labels, fmt=fmt, rejected=rejected), layer_path(root, "bronze", "label"))
+    write_snapshots(parse_snapshot_date(seen(labels), fmt=fmt, rejected=rejected), layer_path(root, "bronze", "label"))
+
+
+def run_bronze(spark: SparkSession, inputs: dict[str, DataFrame], root: str) -> Observation:
+    """Labels by snapshot date (rejected rows are counted on the way), features unchanged."""
+    rejected = Observation("rejected_labels")
+    write_labels(inputs["label"], root=root, rejected=rejected)
     for name, df in inputs.items():
         if name != "label":
             df.write.mode("overwrite").parquet(layer_path(root, "bronze", name))
     return rejected
 
 
+def clean_table(spark: SparkSession, root: str, name: str) -> None:
+    """One cleaned table; a feature table's dates are read in the format elected over that table."""
+    raw = spark.read.parquet(layer_path(root, "bronze", name))
+    if name == "label":
+        write_snapshots(raw, layer_path(root, "silver", name))
+    else:
+        CLEANERS[name](raw, elect_format(normalize_headers(raw), order="ord_")).write.mode("overwrite").parquet(layer_path(root, "silver", name))
+
+
 def run_silver(spark: SparkSession, root: str, names) -> None:
-    """Cleaned tables; each feature table's dates are read in the format elected over that table."""
     for name in names:
-        raw = spark.read.parquet(layer_path(root, "bronze", name))
-        if name == "label":
-            write_snapshots(raw, layer_path(root, "silver", name))
-        else:
-            CLEANERS[name](raw, elect_format(normalize_headers(raw), order="ord_")).write.mode("overwrite").parquet(layer_path(root, "silver", name))
+        clean_table(spark, root, name)
 
 
 def run_gold(spark: SparkSession, root: str, names) -> None:
@@ -58,6 +68,22 @@ def run_layers(spark: SparkSession, inputs: dict[str, DataFrame], root: str) ->
     return rejected
 
 
+def run_ledgered_layers(spark: SparkSession, inputs: dict[str, DataFrame], root: str) -> str:
+    """All three stages, each table only where its inputs have changed since the ledger's entry; returns the gold table's fingerprint.
+
+    A changed table is ingested and cleaned again, and gold joined again; the other tables stay as they are.
+    """
+    ledger = Ledger(spark, root)
+    cleaned: list[str] = []
+    for name, df in inputs.items():
+        bronze, silver = layer_path(root, "bronze", name), layer_path(root, "silver", name)
+        write = partial(write_labels, root=root) if name == "label" else lambda rows, seen, path=bronze: seen(rows).write.mode("overwrite").parquet(path)
+        raw = ledger.ingest(f"bronze/{name}", df, bronze, write)
+        cleaned.append(ledger.step(f"silver/{name}", [raw], partial(ledger.rows, bronze), silver, partial(clean_table, spark, root, name)))
+    labels = layer_path(root, "silver", "label")
+    return ledger.step("gold/gold", cleaned, partial(ledger.rows, labels), layer_path(root, "gold", "gold"), partial(run_gold, spark, root, list(inputs)))
+
+
 def run_gold_dedup(spark: SparkSession, root: str, key: str = "customerID", snap: str = "snapdate") -> DataFrame:
     """Keeps the customers that occur once in each gold snapshot, in place; returns the report by date.
 

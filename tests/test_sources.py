@@ -1,14 +1,16 @@
 import datetime as dt
 import json
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
 from snapmart.operators.rows import keep_last
-from snapmart.plans.layers import layer_row_counts, run_layers
+from snapmart.plans.layers import layer_row_counts, run_layers, run_ledgered_layers
 from snapmart.plans.training import training_frame
 from snapmart.session import shared_dir, stage
 from snapmart.sources import csv, layers
+from snapmart.sources.ledger import Ledger, contents
 
 TABLE = "﻿customerID,AnnualIncome Bracket,snapdate\nC1,60–100k,2024-01-01\nC2,无,NaN\nC1,\"a, b\",N/A\n"
 
@@ -184,6 +186,64 @@ def test_layers_from_small_tables(spark, tmp_path):
     assert [(r["customerID"], r["Churn"]) for r in got] == [("a", 1)]
 
 
+def small_tables(spark, day="2024-02-01", extra=()):
+    return {
+        "label": spark.createDataFrame([("a", "2024-01-01", "Yes", 1), ("a", "bad", "No", 2), ("b", day, "No", 3)], "customerID string, snapdate string, Churn string, ord_ int"),
+        "contract": spark.createDataFrame([("a", "One year", 1), ("b", "One year", 2), ("c", "unknown", 3), *extra], "customerID string, Contract string, ord_ int"),
+    }
+
+
+def files(root):
+    return {str(f.relative_to(root)): f.stat().st_mtime_ns for f in root.rglob("*.parquet") if f.relative_to(root).parts[0] != "ledger"}
+
+
+def test_ledger_skips_what_did_not_change(spark, tmp_path):
+    ledger = Ledger(spark, str(tmp_path))
+    assert ledger.entries().count() == 0 and ledger.newest("stage", "gold/gold") is None
+    run_ledgered_layers(spark, small_tables(spark), str(tmp_path))
+    first = files(tmp_path)
+    got = {r["stage"]: (r["rows_in"], r["rows_out"], r["rejected"]) for r in ledger.entries().collect()}
+    assert got == {"bronze/label": (3, 2, 1), "bronze/contract": (3, 3, 0), "silver/label": (2, 2, 0), "silver/contract": (3, 2, 1), "gold/gold": (2, 2, 0)}
+    # The same rows in another order and other partitions write nothing at all.
+    again = {n: df.orderBy(F.desc("ord_")).repartition(3) for n, df in small_tables(spark).items()}
+    run_ledgered_layers(spark, again, str(tmp_path))
+    assert files(tmp_path) == first and ledger.entries().count() == 5
+    # A changed contract is ingested and cleaned again, and gold joined; the labels stay.
+    run_ledgered_layers(spark, small_tables(spark, extra=[("a", "Two year", 4)]), str(tmp_path))
+    changed = files(tmp_path)
+    assert ledger.entries().count() == 8 and {k: v for k, v in changed.items() if "label" in k} == {k: v for k, v in first.items() if "label" in k}
+    assert not set(first) & {k for k in changed if "label" not in k}
+    # What a stage wrote is gone: it runs again though its inputs are the same, and so does nothing before it.
+    shutil.rmtree(tmp_path / "gold")
+    run_ledgered_layers(spark, small_tables(spark, extra=[("a", "Two year", 4)]), str(tmp_path))
+    assert ledger.entries().count() == 9 and files(tmp_path).keys() >= {k for k in changed if k.split("/")[0] != "gold"}
+    run_ledgered_layers(spark, small_tables(spark, day="2024-03-01", extra=[("a", "Two year", 4)]), str(tmp_path))
+    assert Ledger(spark, str(tmp_path)).newest("stage", "gold/gold")["rows_out"] == 2 and ledger.entries().count() == 12
+
+
+def test_a_failed_stage_leaves_no_entry(spark, tmp_path):
+    tables = small_tables(spark)
+    tables["label"] = tables["label"].filter("snapdate = 'bad'")
+    with pytest.raises(ValueError, match="no snapshot date"):
+        run_ledgered_layers(spark, tables, str(tmp_path))
+    assert Ledger(spark, str(tmp_path)).entries().count() == 0
+    tables = small_tables(spark)
+    for _ in range(2):
+        run_ledgered_layers(spark, tables | {"contract": tables["contract"].limit(0)}, str(tmp_path))
+        got = {r["stage"]: (r["rows_in"], r["rows_out"]) for r in Ledger(spark, str(tmp_path)).entries().collect()}
+        assert got == {"bronze/label": (3, 2), "bronze/contract": (0, 0), "silver/label": (2, 2), "silver/contract": (0, 0), "gold/gold": (2, 0)}
+    assert Ledger(spark, str(tmp_path)).entries().count() == 5
+
+
+def test_fingerprints_tell_rows(spark):
+    df = spark.createDataFrame([(1, None, "a"), (2, "b", None)], "k int, x string, y string")
+    same = contents(df)
+    assert contents(df.orderBy(F.desc("k")).repartition(2)) == same and same.rows == 2
+    others = [df.limit(1), df.union(df), df.withColumn("x", F.col("y")).withColumn("y", F.lit(None).cast("string")), df.withColumnRenamed("x", "z"),
+              df.withColumn("k", F.col("k").cast("long")), spark.createDataFrame([(1, "a", None), (2, "b", None)], df.schema)]
+    assert len({same.fingerprint, *(contents(o).fingerprint for o in others)}) == 1 + len(others)
+
+
 def test_training_frame_prunes_partitions(spark, tmp_path):
     path = str(tmp_path / "gold")
     df = spark.createDataFrame([(f" C{i}", dt.date(2023, i % 12 + 1, 1), "Yes", i) for i in range(24)],
