@@ -16,9 +16,10 @@ from snapmart.operators.fuzzy import DEMOGRAPHIC_SPECS, canonicalize, fuzzy_dict
 from snapmart.plans.end_to_end import run_end_to_end, stage_counts
 from snapmart.plans.gold import gold_snapshot
 from snapmart.plans.layers import layer_row_counts, run_layers, run_ledgered_layers
-from snapmart.plans.monitor import monitor
+from snapmart.plans.monitor import merge_months, monitor, monitor_state, stored_state
 from snapmart.plans.training import REPORTED, drift_grade, evaluate, model_matrix, training_frame
 from snapmart.operators.lookup import staged_lookup
+from snapmart.operators.score_state import state_psi
 from snapmart.session import workspace
 from snapmart.sources import csv
 from snapmart.sources.ledger import Ledger
@@ -608,6 +609,32 @@ def psi_grade(spark, sf_dir):
     return rounded(drift_grade(scores(spark, sf_dir), side, ["model"]), "psi")
 
 
+def stored_scores(spark, sf_dir):
+    """A stored score state: early months, then later ones in two batches, one of which brings more rows of the same months, and a month scored again."""
+    root = workspace(spark, "scores")
+    rows_of = scores(spark, sf_dir)
+    merge_months(rows_of.filter("month <= '1996-06'"), root)
+    merge_months(rows_of.filter("month > '1996-06' AND id % 3 = 0"), root)
+    merge_months(rows_of.filter("month > '1996-06' AND id % 3 > 0"), root, add=True)
+    merge_months(rows_of.filter("month = '1995-02'"), root)
+    return root
+
+
+@query
+def score_state_metrics(spark, sf_dir):
+    """Monthly metrics out of the stored counts."""
+    got = monitor_state(spark, stored_scores(spark, sf_dir))
+    return rounded(got, *metrics.RANKING, *metrics.THRESHOLDED, "accuracy", "brier", "logloss", "pred_mean", "pred_std")
+
+
+@query
+def score_state_psi(spark, sf_dir):
+    """Drift between the months up to 1998 and those after, out of the stored counts."""
+    side = F.when(F.col("month") <= "1998-12", "expected").otherwise("actual")
+    index = state_psi(stored_state(spark, stored_scores(spark, sf_dir)), side, ["model"])
+    return rounded(index.withColumn("grade", drift.psi_grade(F.col("psi"))), "psi")
+
+
 # --- layers --------------------------------------------------------------------------------
 @query
 def layer_row_counts_query(spark, sf_dir):

@@ -39,18 +39,21 @@ def bin_counts(df: DataFrame, groups: list, p: str = "p", bins: int = BINS) -> D
         F.count(F.lit(1)).alias("_all"), *[F.count_if(F.col("_bin") == i).alias(f"_b{i}") for i in range(bins)])
 
 
-def psi(df: DataFrame, side: Column, groups: list = (), p: str = "p", bins: int = BINS) -> DataFrame:
+def psi(df: DataFrame, side: Column, groups: list = (), p: str = "p", bins: int = BINS, weight: str | None = None) -> DataFrame:
     """Population stability index between the rows whose ``side`` is expected and actual.
 
     Both histograms come from one aggregate over (group, bin) with no join. Rows with any other
-    ``side`` are left out; the index is NULL where one side has no rows.
+    ``side`` are left out; the index is NULL where one side has no rows. A row counts ``weight`` times, once without one.
     """
+    def rows(condition):
+        return F.count_if(condition) if weight is None else F.coalesce(F.sum(F.when(condition, F.col(weight))), F.lit(0))
+
     groups = list(groups)
     data = (df.withColumn("_side", side).filter(F.col("_side").isin("expected", "actual"))
             .withColumn("_bin", bin_of(F.col(p), bins)))
     sides = ("expected", "actual")
-    count = {s: F.count_if(F.col("_side") == s).alias(f"_{s}") for s in sides}
-    cells = {f"_{s}{i}": F.count_if((F.col("_side") == s) & (F.col("_bin") == i)).alias(f"_{s}{i}")
+    count = {s: rows(F.col("_side") == s).alias(f"_{s}") for s in sides}
+    cells = {f"_{s}{i}": rows((F.col("_side") == s) & (F.col("_bin") == i)).alias(f"_{s}{i}")
              for s in sides for i in range(bins)}
     table = data.groupBy(*groups).agg(*count.values(), *cells.values())
 

@@ -135,12 +135,17 @@ def score_summary(df: DataFrame, groups: list, y="y", p="p", threshold=THRESHOLD
     After the rows of equal scores are combined, every metric is an aggregate over distinct
     scores.
     """
+    return summary_of(ranked_scores(df, groups, y, p), groups, p, threshold)
+
+
+def summary_of(ranked: DataFrame, groups: list, p="p", threshold=THRESHOLD) -> DataFrame:
+    """``score_summary`` of distinct scores with their counts and running sums."""
     hit = F.col(p) >= threshold
     cells = {"tn": F.when(~hit, F.col("neg")), "fp": F.when(hit, F.col("neg")),
              "fn": F.when(~hit, F.col("pos")), "tp": F.when(hit, F.col("pos"))}
     both = (F.max("pos_total") > 0) & (F.max("neg_total") > 0)
     calibration = _calibration(F.col(p), F.col("pos"), F.col("neg"))
-    return ranked_scores(df, groups, y, p).groupBy(*groups).agg(
+    return ranked.groupBy(*groups).agg(
         *[F.when(both, RANKING_EXPRS[n]()).alias(n) for n in RANKING],
         *[F.coalesce(F.sum(e), F.lit(0)).alias(n) for n, e in cells.items()],
         *[e.alias(n) for n, e in calibration.items()])
@@ -148,9 +153,13 @@ def score_summary(df: DataFrame, groups: list, y="y", p="p", threshold=THRESHOLD
 
 def monthly_metrics(df: DataFrame, groups: list, y="y", p="p", threshold=THRESHOLD) -> DataFrame:
     """All monitoring metrics; ranking and threshold metrics are NULL in a group with a single class."""
+    return monthly_of(score_summary(df, groups, y, p, threshold), groups)
+
+
+def monthly_of(summary: DataFrame, groups: list) -> DataFrame:
     both = (F.col("positives") > 0) & (F.col("negatives") > 0)
     at_threshold = threshold_columns()
-    return score_summary(df, groups, y, p, threshold).select(
+    return summary.select(
         *groups, *RANKING,
         *[F.when(both, at_threshold[n]).alias(n) for n in THRESHOLDED],
         at_threshold["accuracy"].alias("accuracy"), *CALIBRATION)

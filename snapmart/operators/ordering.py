@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from snapmart.functions.numbers import null_nan, order_key
 
-RANGE_BITS = 16
+#: Leading bits of the nested ranges of running sums.
+LEVELS = (9, 24, 39)
 COARSE_BITS, FINE_BITS = 10, 20
 
 
@@ -23,31 +24,43 @@ def running_sums(df: DataFrame, groups: list, value: str, sums: dict[str, Column
 
     For every entry ``name`` of ``sums`` the result has ``name`` (sum at the value),
     ``name_before`` (sum over smaller values of the group) and ``name_total``. Rows of equal
-    values are combined map-side. A running sum is then the sum over the ranges before, taken
-    over one row per range, plus the sum over smaller values inside the range. Rows with a
-    NULL value take no part.
+    values are combined map-side. Ranges of values are nested to a fixed depth (``LEVELS``): a running sum is the sum over the ranges before
+    at each level, inside the range of the level above, plus that over smaller values inside the last range. So no task holds more than the
+    ranges of one range, 32,768 at most below the first level, or the 8,192 different values of the last, however close together
+    the values are. Rows with a NULL value take no part.
     """
     names = list(sums)
-    cell = groups + ["_range"]
-    leaf = (df.filter(F.col(value).isNotNull())
-            .groupBy(*groups, value).agg(*[e.alias(n) for n, e in sums.items()])
-            .withColumn("_range", F.coalesce(key(F.col(value), RANGE_BITS), F.lit(0).cast("bigint"))))
+    cells = [f"_r{bits}" for bits in LEVELS]
+    leaf = df.filter(F.col(value).isNotNull()).groupBy(*groups, value).agg(*[e.alias(n) for n, e in sums.items()])
+    leaf = leaf.withColumns({c: F.coalesce(key(F.col(value), bits), F.lit(0).cast("bigint")) for c, bits in zip(cells, LEVELS, strict=True)})
 
     def before(n, part, order):
         w = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         return F.coalesce(F.sum(n).over(w), F.lit(0))
 
-    ranges = leaf.groupBy(*cell).agg(*[F.sum(n).alias(n) for n in names])
-    offsets = ranges.select(
-        *[F.col(c).alias(f"_of_{c}") for c in cell], *[before(n, groups, "_range").alias(f"_{n}_range") for n in names],
-        *[F.sum(n).over(Window.partitionBy(*groups)).alias(f"{n}_total") for n in names])
-    inside = leaf.select(*cell, value, *names, *[before(n, cell, value).alias(f"_{n}_inside") for n in names])
-    # null-safe, so that a group whose key is NULL keeps its rows
-    same_cell = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in cell]
-    return inside.join(offsets, same_cell).select(
-        *groups, value, *names,
-        *[(F.col(f"_{n}_range") + F.col(f"_{n}_inside")).alias(f"{n}_before") for n in names],
-        *[f"{n}_total" for n in names])
+    def inside(frame, part, order):
+        """Sums before each row among those of its range."""
+        return frame.withColumns({f"{n}_before": before(n, part, order) for n in names})
+
+    def placed(frame, offsets, part):
+        """``frame`` with the sums before its range added; null-safe, so that a group whose key is NULL keeps its rows."""
+        renamed = offsets.select(*[F.col(c).alias(f"_of_{c}") for c in part], *[F.col(f"{n}_before").alias(f"_of_{n}") for n in names], *[f"{n}_total" for n in names])
+        same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in part]
+        found = frame.join(renamed, same)
+        return found.withColumns({f"{n}_before": F.col(f"_of_{n}") + F.col(f"{n}_before") for n in names}).drop(*[f"_of_{c}" for c in [*part, *names]])
+
+    # Sums of the ranges of every level, the finest first.
+    levels = [leaf]
+    for depth in range(len(cells), 0, -1):
+        levels.insert(0, levels[0].groupBy(*groups, *cells[:depth]).agg(*[F.sum(n).alias(n) for n in names]))
+    totals = {f"{n}_total": F.sum(n).over(Window.partitionBy(*groups)) for n in names}
+    offsets = inside(levels[0], groups, cells[0]).withColumns(totals)
+    for depth in range(1, len(cells)):
+        part = [*groups, *cells[:depth]]
+        offsets = placed(inside(levels[depth], part, cells[depth]), offsets, part)
+    part = [*groups, *cells]
+    out = placed(inside(leaf, part, value), offsets, part)
+    return out.select(*groups, value, *names, *[f"{n}_before" for n in names], *[f"{n}_total" for n in names])
 
 
 def long_values(df: DataFrame, columns: dict[str, Column], names="column", values="value") -> DataFrame:

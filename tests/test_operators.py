@@ -1,10 +1,12 @@
 import datetime as dt
+import itertools
 import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from snapmart.functions.numbers import order_key, score_key
 from snapmart.operators import clean, drift, features, fuzzy, lookup, metrics, ordering, rows, schema, splits
 from snapmart.plans.gold import gold_snapshot
 
@@ -48,6 +50,22 @@ def test_running_sums_equal_brute_force(spark):
         assert r["s_total"] == sum(n for _, n in mine)
 
 
+def test_running_sums_of_values_close_together(spark):
+    """200,000 scores within 1e-6 of each other: they part into many small ranges, and their sums are exact."""
+    n = 200_000
+    df = spark.range(n).select((F.lit(0.3) + F.col("id") * 5e-12).alias("v"), (F.col("id") % 3).alias("n"))
+    for key in (order_key, score_key):
+        got = ordering.running_sums(df.repartition(4), [], "v", {"s": F.sum("n")}, key).orderBy("v").collect()
+        want = itertools.accumulate(i % 3 for i in range(n))
+        assert len(got) == n and all(r["s_before"] + r["s"] == w for r, w in zip(got, want, strict=True)) and got[0]["s_total"] == sum(i % 3 for i in range(n))
+        cells = df.select(*[key(F.col("v"), bits).alias(f"r{bits}") for bits in ordering.LEVELS])
+        outer = []
+        for bits in (*ordering.LEVELS, None):
+            inner = cells.groupBy(*outer, f"r{bits}").count().groupBy(*outer).count() if bits else cells.groupBy(*outer).count()
+            assert inner.agg(F.max("count")).first()[0] <= 32_768
+            outer.append(f"r{bits}")
+
+
 # --- rows ----------------------------------------------------------------------------------
 def test_keep_last_keeps_null_cells_and_ignores_partitioning(spark):
     data = [("a", 1, "x"), ("a", 3, None), ("a", 2, "y"), ("b", 5, "z")]
