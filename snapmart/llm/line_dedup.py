@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from snapmart.llm.common import whole, written
+from snapmart.llm.common import released, whole, written
 
 #: Characters of a run of lines that can bring two documents together, and of a block that is deleted, at least.
 CHARACTERS = 24
@@ -170,7 +170,7 @@ def duplicate_lines(docs: DataFrame, id_column="doc_id", text_column="text") ->
     found = [copies.where(F.col("_chars") >= CHARACTERS).select("_doc", F.sequence(F.lit(0), F.col("_n") - 1).alias("_gone"))]
 
     doc = f"struct<_none:boolean,_id:{kind},_hash:bigint>"
-    seeds = texts.mapInArrow(_seeds, f"_doc {doc}, _key bigint, _from int, _to int")
+    seeds = texts.mapInArrow(released(_seeds), f"_doc {doc}, _key bigint, _from int, _to int")
     # Occurrences, no less than holders: runs that only one document has are dropped here.
     holders = seeds.groupBy("_key").agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last"), F.count(F.lit(1)).alias("_n")).where("_first < _last").drop("_last")
     shared = written(seeds.join(holders, "_key"), "line-seeds")
@@ -188,11 +188,11 @@ def duplicate_lines(docs: DataFrame, id_column="doc_id", text_column="text") ->
     while True:
         gone = (met.join(other, "_other").withColumn("_both", both)
                 .select("_doc", "_lines", "_sizes", F.col("_both.line").alias("_shared"), F.col("_both.place").alias("_places"))
-                .mapInArrow(_aligned, f"_doc {doc}, _gone array<int>").where(F.size("_gone") > 0)
+                .mapInArrow(released(_aligned), f"_doc {doc}, _gone array<int>").where(F.size("_gone") > 0)
                 .groupBy("_doc").agg(F.array_distinct(F.flatten(F.collect_list("_gone"))).alias("_more")))
         gone = written(gone, "line-gone")
         found.append(gone.select("_doc", F.col("_more").alias("_gone")))
-        state = written(state.join(gone, "_doc", "left").select(*state.columns, "_more").mapInArrow(_open(done), columns), "line-state")
+        state = written(state.join(gone, "_doc", "left").select(*state.columns, "_more").mapInArrow(released(_open(done)), columns), "line-state")
         if state.isEmpty():
             break
         upto = done * STEP or float(STEP)

@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from snapmart.llm.common import whole, written
+from snapmart.llm.common import in_parts, released, whole, written
 from snapmart.llm.graph import components
 
 WORDS = 5
@@ -143,29 +143,29 @@ def links(sets: list[np.ndarray], across: np.ndarray | None = None) -> tuple[np.
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Band keys of the texts in the last column, instead of it."""
     for batch in batches:
-        texts = batch.column(batch.num_columns - 1).to_pylist()
-        keys = np.empty((len(texts), BANDS), np.int64)
-        sizes = np.empty(len(texts), np.int64)
+        n = batch.num_rows
+        keys = np.empty((n, BANDS), np.int64)
+        sizes = np.empty(n, np.int64)
         held: list[np.ndarray] = []
         size, at = 0, 0
-        for k, text in enumerate(texts):
+        for k, text in enumerate(in_parts(batch.column(batch.num_columns - 1))):
             held.append(shingles(text))
             sizes[k] = len(held[-1])
             size += len(held[-1])
-            if size > CHUNK or k + 1 == len(texts):
+            if size > CHUNK or k + 1 == n:
                 rows = signatures(held).reshape(len(held), BANDS, ROWS).astype(np.uint64)
                 h = np.full((len(held), BANDS), 1, np.uint64) * np.arange(1, BANDS + 1, dtype=np.uint64)
                 for r in range(ROWS):
                     h = _mixed(h * PLACES[r] + rows[:, :, r])
                 keys[at:at + len(held)] = h.view(np.int64)
                 at, held, size = at + len(held), [], 0
-        bands = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * BANDS, pa.int32()), pa.array(keys.ravel()))
+        bands = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * BANDS, pa.int32()), pa.array(keys.ravel()))
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sizes), bands], [*batch.schema.names[:-1], "_n", "_bands"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [shingles(t).tobytes() for t in batch.column(batch.num_columns - 1).to_pylist()]
+        sets = [shingles(t).tobytes() for t in in_parts(batch.column(batch.num_columns - 1))]
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sets, pa.large_binary() if sum(map(len, sets)) > 2**30 else pa.binary())], [*batch.schema.names[:-1], "_set"])
 
 
@@ -192,7 +192,7 @@ def classes(docs: DataFrame, id_column="doc_id", text_column="text") -> DataFram
     """Internal form of ``join``: ``_row, _id, _copy, _node, class_id, n_links``; _copy is the digest of the text."""
     rows = docs.select(F.col(id_column).alias("_id"), whole(text_column).alias("_text"))
     kind = dict(rows.dtypes)["_id"]
-    signed = rows.select("_id", F.unhex(F.md5("_text")).alias("_copy"), "_text").mapInArrow(_signed, f"_id {kind}, _copy binary, _n bigint, _bands array<bigint>")
+    signed = rows.select("_id", F.unhex(F.md5("_text")).alias("_copy"), "_text").mapInArrow(released(_signed), f"_id {kind}, _copy binary, _n bigint, _bands array<bigint>")
     signed = written(signed.withColumn("_row", F.monotonically_increasing_id()), "ngram-bands")
     # Copies are one text, which stands for all of them; its row is the least.
     copies = signed.groupBy("_copy").agg(F.min("_row").alias("_node"), F.count(F.lit(1)).alias("_copies"), F.min("_id").alias("_first"))
@@ -207,7 +207,7 @@ def classes(docs: DataFrame, id_column="doc_id", text_column="text") -> DataFram
     # Candidates grow with the corpus, so texts meet them in a merge join at every size.
     found = (keyed.join(chosen.hint("merge"), keyed["_id"].eqNullSafe(chosen["_id"]) & (keyed["_copy"] == chosen["_copy"]))
              .select("_root", "_node", "_copies", "_blocks", "_text"))
-    sets = (found.mapInArrow(_sets, "_root bigint, _node bigint, _copies bigint, _blocks int, _set binary").dropDuplicates(["_node"])
+    sets = (found.mapInArrow(released(_sets), "_root bigint, _node bigint, _copies bigint, _blocks int, _set binary").dropDuplicates(["_node"])
             .withColumn("_block", F.pmod(F.xxhash64("_node"), F.col("_blocks")).cast("int"))
             .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
             .withColumn("_i", F.least("_block", "_other")).withColumn("_j", F.greatest("_block", "_other")))

@@ -10,7 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from snapmart.llm.common import whole, written
+from snapmart.llm.common import in_parts, released, whole, written
 from snapmart.session import stage
 
 LENGTH = 2048
@@ -81,7 +81,7 @@ def pieces(docs: DataFrame, tokenizer: str, id_column="doc_id", text_column="tex
         encode = _encoder(tokenizer)
         for batch in batches:
             out: tuple = ([], [], [], [], [])
-            for row, text in enumerate(batch.column(1).to_pylist()):
+            for row, text in enumerate(in_parts(batch.column(1))):
                 data = encode(text) + b"\0\0\0\0"
                 for piece, at in enumerate(range(0, len(data), width)):
                     part = data[at:at + width]
@@ -93,7 +93,7 @@ def pieces(docs: DataFrame, tokenizer: str, id_column="doc_id", text_column="tex
 
     rows = docs.select(F.col(id_column).alias("_id"), whole(text_column).alias("_text"))
     kind = dict(rows.dtypes)["_id"]
-    return rows.mapInArrow(cut, f"_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
+    return rows.mapInArrow(released(cut), f"_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
 
 
 def best_fit(items, sizes: list[int], room: dict[int, int], bin_of: np.ndarray, next_bin: int, capacity: int) -> int:

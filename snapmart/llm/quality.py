@@ -1,6 +1,6 @@
 """Quality classifier: a linear-chain conditional random field over the lines of a document."""
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -9,7 +9,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from snapmart.llm import crf
-from snapmart.llm.common import whole
+from snapmart.llm.common import in_parts, released, whole
 
 #: Labelled documents that a model is fitted on at most, the ones with the smallest hashes of their ids.
 SAMPLE = 4000
@@ -86,7 +86,7 @@ def raw_scores(chain: crf.Chain, texts: list[str]) -> np.ndarray:
     return np.add.reduceat(p * weight, starts) / np.add.reduceat(weight, starts)
 
 
-def chunks(texts: list[str], most: int = CHUNK) -> Iterator[list[str]]:
+def chunks(texts: Iterable[str], most: int = CHUNK) -> Iterator[list[str]]:
     held, size = [], 0
     for text in texts:
         if held and size + len(text) > most:
@@ -138,11 +138,11 @@ def scored(docs: DataFrame, run, made: str, id_column: str, text_column: str, ke
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
-            results = [run(part) for part in chunks(batch.column(batch.num_columns - 1).to_pylist())]
+            results = [run(part) for part in chunks(in_parts(batch.column(batch.num_columns - 1)))]
             new = [pa.array([x for r in results for x in r[name]], kind) for name, kind in kinds.items()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *new], schema.names)
 
-    return rows.mapInArrow(batches, schema)
+    return rows.mapInArrow(released(batches), schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, label="quality", id_column="doc_id", text_column="text", sample: int = SAMPLE, threshold=0.5, keep=None) -> DataFrame:
