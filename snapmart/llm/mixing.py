@@ -116,12 +116,13 @@ def mix(docs: DataFrame, id_column="doc_id", text_column="text", source_column="
     (``rounding_thresholds``); the hash depends on the row alone, so reruns agree.
 
     Null texts have size 0, take 0 words and keep one copy; documents without a source are a source of their own, last
-    in order; repeated rows are documents of their own that are taken alike; an empty table gives an empty result.
+    in order; an empty table gives an empty result. Of n rows with equal id, source and text the whole part of n times the fraction
+    take one more copy, and what is left of it is drawn like one row's; which of them do is open, as they are the same.
     """
     made = ["size", "source_size", "target", "rate", "copies", "taken"]
     keep = [c for c in docs.columns if c not in made]
-    sized = docs.select(*keep, word_count(whole(text_column)).alias("size"), source_key(F.col(source_column)).alias("_key"))
-    narrow = written(sized.select(F.col(id_column).alias("_id"), F.col(source_column).alias("_source"), "_key", "size"), "mix-sizes")
+    sized = docs.select(*keep, word_count(whole(text_column)).alias("size"), source_key(F.col(source_column)).alias("_key"), F.xxhash64(whole(text_column)).alias("_hash"))
+    narrow = written(sized.select(F.col(id_column).alias("_id"), F.col(source_column).alias("_source"), "_key", "size", "_hash"), "mix-sizes")
     cells = written(narrow.groupBy("_key", "_source", "size").agg(F.count(F.lit(1)).alias("_n")), "mix-cells")
     totals = cells.groupBy("_key", "_source").agg(F.sum(F.col("size") * F.col("_n")).alias("source_size"))
     state = tilts(cells, source_targets(totals, weights, share, cap), cap).drop("_source")
@@ -130,12 +131,38 @@ def mix(docs: DataFrame, id_column="doc_id", text_column="text", source_column="
             .otherwise(F.exp(F.least(F.lit(math.log(cap)), F.col("_tilt") * F.col("size") / F.col("_scale")))))
 
     def rated(df, key):
+        """Rates, and for ``_rows`` equal rows together: copies that they take for certain, and the fraction and turn of one more."""
         uniform = (F.shiftrightunsigned(F.xxhash64(key, F.col("size"), F.lit(8)), 11) + F.lit(0.5)) / F.lit(float(2**53))
-        part = F.col("rate") - F.floor("rate")
-        return (df.join(state, "_key").withColumn("rate", rate).withColumn("_part", F.when(F.col("size") > 0, part).otherwise(F.lit(0.0)))
+        due = F.when(F.col("size") > 0, (F.col("rate") - F.floor("rate")) * F.col("_rows")).otherwise(F.lit(0.0))
+        return (df.join(state, "_key").withColumn("rate", rate).withColumn("_sure", F.floor(due)).withColumn("_part", due - F.floor(due))
                 .withColumn("_turn", F.when(F.col("_part") > 0, uniform / F.col("_part"))))
 
-    last = stage(rounding_thresholds(rated(narrow, F.col("_id")).withColumn("_size", F.col("size"))))
-    copies = (F.floor("rate") + F.when(F.col("_turn") <= F.col("_last"), 1).otherwise(0)).cast("long")
-    return (rated(sized, F.col(id_column)).join(last, "_key", "left").withColumn("copies", copies)
-            .withColumn("taken", F.col("copies") * F.col("size")).select(*keep, *made))
+    units = written(narrow.groupBy("_id", "_key", "size", "_hash").agg(F.count(F.lit(1)).alias("_rows")), "mix-units")
+    last = stage(rounding_thresholds(rated(units, F.col("_id")).withColumn("_size", F.col("size"))))
+    extra = F.col("_sure") + F.when(F.col("_turn") <= F.col("_last"), 1).otherwise(0)
+
+    def taking(df, more):
+        copies = (F.floor("rate") + more).cast("long")
+        return df.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size")).select(*keep, *made)
+
+    repeated = units.where("_rows > 1").withColumnsRenamed({"_id": "_unit", "_key": "_unit_key", "size": "_unit_size", "_hash": "_unit_hash"})
+    if repeated.isEmpty():
+        return taking(rated(sized.withColumn("_rows", F.lit(1)), F.col(id_column)).join(last, "_key", "left"), extra)
+    same = (F.col(id_column).eqNullSafe(F.col("_unit")) & (F.col("_key") == F.col("_unit_key")) & (F.col("size") == F.col("_unit_size")) & (F.col("_hash") == F.col("_unit_hash")))
+    single = rated(sized.join(repeated, same, "left_anti").withColumn("_rows", F.lit(1)), F.col(id_column)).join(last, "_key", "left")
+    several = numbered(written(sized.join(repeated, same).withColumn("_row", F.monotonically_increasing_id()), "mix-repeated"))
+    several = rated(several, F.col(id_column)).join(last, "_key", "left")
+    return taking(single, extra).unionByName(taking(several, F.when(F.col("_number") <= extra, 1).otherwise(0)))
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``_number``, from 1 among the rows of a unit. Rows are numbered within the part of the table they were written in, then
+    parts follow each other, so no unit meets in one task. ``rows`` have to be a written table."""
+    unit = ["_unit", "_unit_key", "_unit_size", "_unit_hash"]
+    placed = rows.withColumn("_place", F.shiftright("_row", 33))
+    inside = placed.withColumn("_inside", F.row_number().over(Window.partitionBy(*unit, "_place").orderBy("_row")))
+    parts = placed.groupBy(*unit, "_place").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*unit).orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).withColumnsRenamed({c: f"{c}_of" for c in [*unit, "_place"]})
+    there = [F.col(c).eqNullSafe(F.col(f"{c}_of")) for c in [*unit, "_place"]]
+    return inside.join(parts, there).withColumn("_number", F.col("_before") + F.col("_inside"))

@@ -68,3 +68,17 @@ def test_null_source_comes_last(spark):
     df = spark.createDataFrame([(i, "w " * (10 + i), s) for i, s in enumerate(["b", None, "a", "é", "Z"] * 20)], "doc_id bigint, text string, source string")
     rows = [r.asDict() for r in df.collect()]
     check(mixing.mix(df).collect(), {r["doc_id"]: r["source"] for r in rows}, {r["doc_id"]: r["text"] for r in rows})
+
+
+def test_repeated_rows_come_near_their_target(spark, monkeypatch):
+    rows = [(i, " ".join(["w"] * (20 + 3 * i)), "b", "x") for i in range(40)] + [(500, " ".join(["v"] * 50), "a", "x")] * 300 + [(None, "one two three", None, "x")] * 9
+    rows += [(501, "u " * 30, "a", None)] * 2 + [(501, "t " * 30, "a", None)] * 3
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string")
+    got = mixing.mix(df.repartition(6)).collect()
+    assert len(got) == len(rows) and all(0 <= r["taken"] <= 2 * r["size"] for r in got)
+    targets_of, taken = {r["source"]: r["target"] for r in got}, Counter()
+    for r in got:
+        taken[r["source"]] += r["taken"]
+    assert all(abs(taken[s] - t) <= 140 / 2 + 1 for s, t in targets_of.items()) and abs(taken["a"] - targets_of["a"]) <= 26
+    again = mixing.mix(df.repartition(2)).collect()
+    assert Counter((r["doc_id"], r["text"], r["taken"]) for r in got) == Counter((r["doc_id"], r["text"], r["taken"]) for r in again)
