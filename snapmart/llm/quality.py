@@ -4,15 +4,17 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from snapmart.llm import crf
-from snapmart.llm.common import in_parts, released, whole
+from snapmart.llm.common import in_parts, release, released, whole, written
 
 #: Labelled documents that a model is fitted on at most, the ones with the smallest hashes of their ids.
 SAMPLE = 4000
+#: Characters of the documents learned from at most; of the chosen ones those that come last by their hashes are left out.
+SAMPLE_CHARACTERS = 1 << 26
 #: Bytes of text that are worked on at once; a longer text is worked on alone.
 CHUNK = 1 << 21
 
@@ -101,12 +103,17 @@ def chunks(texts: Iterable[str], most: int = CHUNK) -> Iterator[list[str]]:
 def labelled(docs: DataFrame, labels: DataFrame, label: str, id_column: str, text_column: str, most: int) -> list:
     """(text, label) of at most ``most`` documents to learn from: rows whose crc32(id as text) mod 3 is 1 are held out.
 
-    The rows of labels are chosen first, by hash, so the join meets a bounded side. Ids with contradicting labels count once.
+    The rows of labels are chosen first, by hash, so the join meets a bounded side. Ids with contradicting labels count once, and so do ids
+    with several rows, by the text of the least hash. Texts of ``SAMPLE_CHARACTERS`` together reach the driver at most.
     """
     chosen = (labels.where(F.col(label).isNotNull() & ~held_out(F.col(id_column))).groupBy(F.col(id_column).alias("_id")).agg(F.max(label).cast("int").alias("_label"))
               .orderBy(F.xxhash64("_id"), "_id").limit(most))
     rows = docs.select(F.col(id_column).alias("_id"), whole(text_column).alias("_text")).join(F.broadcast(chosen), "_id")
-    return sorted((r["_id"], r["_text"], r["_label"]) for r in rows.collect())
+    single = rows.groupBy("_id", "_label").agg(F.min_by("_text", F.xxhash64("_text")).alias("_text"))
+    order = Window.orderBy(F.xxhash64("_id"), "_id").rowsBetween(Window.unboundedPreceding, 0)  # over the chosen rows alone
+    upto = written(single.select("_id", "_label", "_text", F.length("_text").alias("_n")), "labelled-texts")
+    kept = upto.select("_id", F.sum("_n").over(order).alias("_upto")).where(F.col("_upto") <= SAMPLE_CHARACTERS).select("_id")
+    return sorted((r["_id"], r["_text"], r["_label"]) for r in upto.join(F.broadcast(kept), "_id").collect())
 
 
 def held_out(id_column):
@@ -153,6 +160,7 @@ def classify(docs: DataFrame, labels: DataFrame, label="quality", id_column="doc
     not held out; repeated rows get equal scores; without any labels every score is 0.5; an empty table gives an empty result.
     """
     chain, calibration = train(docs, labels, label, id_column, text_column, sample)
+    release()
 
     def run(texts: list[str]) -> dict:
         features, counts, size = line_features(texts)

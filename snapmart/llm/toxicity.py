@@ -9,6 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from snapmart.llm import crf
+from snapmart.llm.common import release
 from snapmart.llm.quality import firsts, labelled, scored
 
 #: Labelled documents that a model is fitted on at most, the ones with the smallest hashes of their ids.
@@ -178,6 +179,7 @@ def classify(docs: DataFrame, labels: DataFrame, label="toxic", id_column="doc_i
     an empty result.
     """
     words, chain, weights = train(docs, labels, label, id_column, text_column, sample)
+    release()
     words.known = {}
 
     def run(texts: list[str]) -> dict:

@@ -126,3 +126,16 @@ def test_rare_terms_are_found(spark):
     got = toxicity.classify(docs, labels, keep=["doc_id"]).join(labels, "doc_id").where("held_out").collect()
     predicted, true = np.array([r["predicted"] for r in got]), np.array([r["toxic"] for r in got])
     assert predicted[true == 1].mean() > 0.95 and predicted[true == 0].mean() < 0.02
+
+
+def test_sample_holds_a_row_for_each_id_and_a_bounded_length(spark, monkeypatch):
+    texts = spark.range(60).selectExpr("id AS doc_id", "repeat(concat('w', id, ' '), 10) AS text")
+    docs = texts.unionByName(texts.where("doc_id = 7").selectExpr("doc_id", "explode(transform(sequence(1, 500), i -> concat('copy ', i))) AS text"))
+    labels = spark.range(60).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS quality")
+    found = quality.labelled(docs, labels, "quality", "doc_id", "text", 10)
+    assert len(found) == len({r[0] for r in found}) == 10
+    everything = quality.labelled(docs, labels, "quality", "doc_id", "text", 60)
+    assert 7 in {r[0] for r in everything} and len(everything) == len({r[0] for r in everything})
+    monkeypatch.setattr(quality, "SAMPLE_CHARACTERS", 200)
+    few = quality.labelled(docs, labels, "quality", "doc_id", "text", 60)
+    assert 0 < sum(len(r[1]) for r in few) <= 200 and set(few) < set(everything)
