@@ -12,7 +12,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Large stars hang a node's larger neighbours on the least of them, small stars its smaller ones, until nothing
     changes, which takes about as many rounds as the logarithm of the longest path. A node with very many neighbours is
-    an aggregate and a join that Spark splits; no component comes together in a task.
+    an aggregate and a join that Spark splits; no component comes together in a task. Should ``ROUNDS`` not do, that is an error.
     """
     now = stage(edges.where("_a <> _b").select(F.greatest("_a", "_b").alias("_a"), F.least("_a", "_b").alias("_b")).distinct())
     state = None
@@ -28,5 +28,7 @@ def components(edges: DataFrame) -> DataFrame:
         if fresh == state:
             break
         state = fresh
+    else:
+        raise ArithmeticError(f"components did not converge in {ROUNDS} rounds")
     roots = now.select("_b").distinct()
     return now.select(F.col("_a").alias("_node"), F.col("_b").alias("_root")).union(roots.select("_b", "_b"))

@@ -23,6 +23,33 @@ WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
 scored AS (SELECT q.vec_id AS query_id, r.vec_id, list_inner_product(q.e, r.e) AS score FROM v q, v r WHERE q.vec_id % 20 = 0 AND r.vec_id <> q.vec_id)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM scored QUALIFY rank <= 20""",
+    "edited_texts": """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n FROM documents),
+o AS (SELECT *, coalesce(lead(text) OVER w, first_value(text) OVER w) AS following FROM t WINDOW w AS (ORDER BY doc_id DESC))
+SELECT doc_id, n AS n_chars, sha256(substr(text, 1, n - n // 2) || substr(following, 1, n // 2)) AS edited_sha256 FROM o""",
+    "base_secrets": r"""
+SELECT doc_id, len([x FOR x IN regexp_extract_all(text, '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 1) IF len(x) >= 8]) AS n_assign,
+       len([x FOR x IN regexp_extract_all(text, 'AKIA[A-Z0-9]+') IF len(x) >= 16]) AS n_access,
+       len([x FOR x IN regexp_extract_all(text, '[0-9a-f]+') IF len(x) >= 32]) AS n_hex
+FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents) d""",
+    # The level at which sources fill: sources in the order of what a unit of weight gets them to, each filled while the level reaches it.
+    "mix_targets": r"""
+WITH sized AS (SELECT source, CAST(sum(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))) AS BIGINT) AS source_size FROM documents GROUP BY source),
+weighed AS (SELECT *, [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w FROM sized),
+levels AS (
+    SELECT a.source, (1.5 * (SELECT sum(source_size) FROM sized) - coalesce(sum(2 * b.source_size) FILTER (2 * b.source_size / b.w < 2 * a.source_size / a.w), 0))
+           / sum(b.w) FILTER (2 * b.source_size / b.w >= 2 * a.source_size / a.w) AS level, any_value(2 * a.source_size / a.w) AS fills
+    FROM weighed a, weighed b GROUP BY a.source),
+common AS (SELECT min_by(level, fills) AS level FROM levels WHERE level <= fills)
+SELECT source, source_size, round(least(2.0 * source_size, coalesce(level * w, 2.0 * source_size)) + 1e-9, 3) AS target, TRUE AS near FROM weighed, common""",
+    "vector_deviations": """
+WITH x AS (
+    SELECT vec_id, [CAST(floor(CAST(64 AS DOUBLE) * CAST(c AS DOUBLE)) AS HUGEINT) + 1000000 FOR c IN embedding] AS x FROM embeddings
+    WHERE len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0 AND len(embedding) > 0),
+cells AS (SELECT vec_id, unnest(x) AS x, generate_subscripts(x, 1) AS d FROM x),
+sums AS (SELECT d, sum(x) AS s, count(*) AS n FROM cells GROUP BY d)
+SELECT vec_id, n, CAST(sum((n * x - s) * (n * x - s)) AS BIGINT) AS deviation, least(32, count(*)) AS components, TRUE AS white
+FROM cells JOIN sums USING (d) GROUP BY vec_id, n""",
     # Whole numbers but for the logarithm in a term's weight.
     "op13_ranked_lexical_search": r"""
 WITH words AS (

@@ -74,8 +74,39 @@ def op13_ranked_lexical_search(spark, sf_dir):
     return lexical_search.rank(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+# What SQL can tell of results that it can't make: the columns of these queries come from the operators' own results.
+
+
+def edited_texts(spark, sf_dir):
+    """Of op3: lengths, and the hashes of the edited texts."""
+    return op3_document_fingerprints(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
+
+
+def base_secrets(spark, sf_dir):
+    """Of op6: the numbers of spans of the fixed patterns."""
+    return op6_secret_scans(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex")
+
+
+def mix_targets(spark, sf_dir):
+    """Of op8: each source's size and target, and whether its words come near the target, by half its longest document."""
+    mixed = op8_mix_sources(spark, sf_dir).join(documents(spark, sf_dir).select("doc_id", "source"), "doc_id")
+    sums = mixed.groupBy("source").agg(F.max("source_size").alias("source_size"), F.max("target").alias("target"), F.sum("taken").alias("taken"),
+                                       F.max("size").alias("longest"), F.max(F.col("taken") - 2 * F.col("size")).alias("over"))
+    near = (F.abs(F.col("taken") - F.col("target")) <= F.col("longest") / 2 + 1) & (F.col("over") <= 0)
+    return sums.select("source", "source_size", F.round(F.col("target") + 1e-9, 3).alias("target"), near.alias("near"))
+
+
+def vector_deviations(spark, sf_dir):
+    """Of op12: rows of the fit and each vector's exact deviation, with the number of its components and whether the identity is met."""
+    rows = op12_embedding_whitening(spark, sf_dir)
+    return rows.groupBy("vec_id", "n", "deviation").agg(F.count(F.lit(1)).alias("components"), (F.max("identity_error") <= 1e-4).alias("white"))
+
+
+CHECKS = (edited_texts, base_secrets, mix_targets, vector_deviations)
+
+
 def registered():
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_ngram_jaccard_join, op3_document_fingerprints, op4_suffix_array_dedup, op5_nearest_neighbours, op6_secret_scans, op7_line_dedup, op8_mix_sources,
+    return {f.__name__: f for f in (*CHECKS, op1_best_fit_packing, op2_ngram_jaccard_join, op3_document_fingerprints, op4_suffix_array_dedup, op5_nearest_neighbours, op6_secret_scans, op7_line_dedup, op8_mix_sources,
                                       op9_quality_classifier, op10_toxicity, op11_language_id, op12_embedding_whitening, op13_ranked_lexical_search)}
 
 
