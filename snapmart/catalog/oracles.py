@@ -542,6 +542,7 @@ train_docs AS (SELECT * FROM known WHERE part = 'train')"""),
     out["run_ledger"] = sql("SELECT *, greatest(rows_in - rows_out, 0) AS rejected FROM (" + " UNION ALL ".join(
         f"SELECT '{stage}' AS stage, {run} AS run, (SELECT count(*) FROM {before}{'' if before == 'labels' else ' WHERE ' + where}) AS rows_in, "
         f"(SELECT count(*) FROM {after} WHERE {where}) AS rows_out" for stage, run, before, after, where in entries) + ") e", "gold", "labels", "contract", "service")
+    out |= {"grown_dictionary": out["clean_demographic"], "stored_fences": out["clean_financial"]}
     out |= {"score_state_metrics": out["monthly_metrics"], "score_state_psi": out["psi_grade"]}
     for name, cols in FULL_FLAGS.items():
         out[name] = sql(f"SELECT customerID, {cols} FROM financial", "financial")

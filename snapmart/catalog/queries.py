@@ -22,6 +22,7 @@ from snapmart.operators.lookup import staged_lookup
 from snapmart.operators.score_state import state_psi
 from snapmart.session import workspace
 from snapmart.sources import csv
+from snapmart.sources.fits import Fits
 from snapmart.sources.ledger import Ledger
 from snapmart.sources.layers import read_named_files, read_snapshots, write_snapshots
 
@@ -250,6 +251,25 @@ def clean_demographic(spark, sf_dir):
     return clean.clean_demographic(view(spark, sf_dir, "fx_demographic"))
 
 
+@query
+def grown_dictionary(spark, sf_dir):
+    """The demographic table cleaned by a stored dictionary that has grown twice, from a tenth of the customers first."""
+    fits = Fits(spark, workspace(spark, "fits"))
+    df = view(spark, sf_dir, "fx_demographic")
+    for part in (df.filter("ord_ % 10 = 1"), df, df):
+        fits.grow(rows.normalize_key(part, "customerID"), DEMOGRAPHIC_SPECS)
+    return clean.clean_demographic(df, dictionary=fits.dictionary())
+
+
+@query
+def stored_fences(spark, sf_dir):
+    """The financial table cleaned by fences that an earlier call has stored."""
+    fits = Fits(spark, workspace(spark, "fits"))
+    df = view(spark, sf_dir, "fx_financial")
+    fits.fences(df, clean.FINANCIAL_SPECS, "first")
+    return clean.clean_financial(df, fences=fits.fences(df.limit(0), clean.FINANCIAL_SPECS, "first"))
+
+
 @query
 def fuzzy_dictionary_query(spark, sf_dir):
     df = fuzzy_dictionary(view(spark, sf_dir, "fx_demographic"), DEMOGRAPHIC_SPECS)

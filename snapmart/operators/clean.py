@@ -112,16 +112,16 @@ def clean_numeric(df: DataFrame, specs: dict[str, NumericSpec], fences: dict | N
     return out.withColumns(cols).drop(*[f"_num_{c}" for c in specs])
 
 
-def clean_financial(df: DataFrame, key: str = "customerID", order: str | None = None) -> DataFrame:
-    """Clean the numeric columns over all rows, then drop rows without a key."""
+def clean_financial(df: DataFrame, key: str = "customerID", order: str | None = None, fences: dict | None = None) -> DataFrame:
+    """Clean the numeric columns over all rows, by ``fences`` fitted earlier if given, then drop rows without a key."""
     df = normalize_headers(df).drop(*FINANCIAL_DROP)
     keep = [c for c in FINANCIAL_KEEP if c in df.columns] + ([order] if order else [])
-    return normalize_key(clean_numeric(df, FINANCIAL_SPECS), key).select(*keep)
+    return normalize_key(clean_numeric(df, FINANCIAL_SPECS, fences), key).select(*keep)
 
 
-def clean_demographic(df: DataFrame, key: str = "customerID", specs=None, fmt: str = ISO_DATE) -> DataFrame:
+def clean_demographic(df: DataFrame, key: str = "customerID", specs=None, fmt: str = ISO_DATE, dictionary: DataFrame | None = None) -> DataFrame:
     df = _dated(normalize_key(normalize_headers(df), key), fmt)
-    return canonicalize(df, DEMOGRAPHIC_SPECS if specs is None else specs)
+    return canonicalize(df, DEMOGRAPHIC_SPECS if specs is None else specs, dictionary)
 
 
 def _dated(df: DataFrame, fmt: str) -> DataFrame:

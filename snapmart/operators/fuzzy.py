@@ -106,6 +106,11 @@ def fuzzy_dictionary(df: DataFrame, specs: dict[str, FuzzySpec]) -> DataFrame:
 
 def category_dictionary(df: DataFrame, specs: dict[str, FuzzySpec]) -> DataFrame:
     """(column, text, value): the canonical value of every distinct normalised text that has one."""
+    return valued(distinct_texts(df, specs), specs).filter(F.col("value").isNotNull())
+
+
+def valued(texts: DataFrame, specs: dict[str, FuzzySpec]) -> DataFrame:
+    """(column, text, value) of distinct texts as ``distinct_texts`` gives them; NULL where no choice is close enough."""
     accepted = F.lit(None).cast("string")
     shown = F.lit(None).cast("string")
     for c, s in specs.items():
@@ -113,20 +118,20 @@ def category_dictionary(df: DataFrame, specs: dict[str, FuzzySpec]) -> DataFrame
         accepted = F.when(here, F.when(s.accepted(F.col("score")), F.col("best"))).otherwise(accepted)
         shown = F.when(here, s.show(F.col("_value"))).otherwise(shown)
     value = F.coalesce(F.when(_is_choice(specs, "known"), F.col("known")), accepted)
-    return (_scored(distinct_texts(df, specs), specs).withColumn("_value", value)
-            .filter(F.col("_value").isNotNull()).select("column", "text", shown.alias("value")))
+    return _scored(texts, specs).withColumn("_value", value).select("column", "text", shown.alias("value"))
 
 
-def canonicalize(df: DataFrame, specs: dict[str, FuzzySpec]) -> DataFrame:
+def canonicalize(df: DataFrame, specs: dict[str, FuzzySpec], dictionary: DataFrame | None = None) -> DataFrame:
     """Replace each column of ``specs`` by its canonical value, or NULL where none is close enough.
 
-    Only distinct texts reach Python. The dictionary is written, so that Spark knows its bytes and decides
+    A stored ``dictionary`` (column, text, value) that has all texts of ``df`` is taken as it is. Without one,
+    only distinct texts reach Python. The dictionary is written, so that Spark knows its bytes and decides
     between broadcast and shuffle; the rows themselves are never sent to Python.
     """
     specs = {c: s for c, s in specs.items() if c in df.columns}
     if not specs:
         return df
-    table = staged_lookup(category_dictionary(df, specs))
+    table = staged_lookup(category_dictionary(df, specs)) if dictionary is None else dictionary
     out = df.withColumns({f"_text_{c}": s.prepare(F.col(c)) for c, s in specs.items()})
     for c in specs:
         part = table.filter(F.col("column") == c).select(F.col("text").alias(f"_text_{c}"), F.col("value").alias(f"_value_{c}"))

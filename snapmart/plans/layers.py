@@ -5,11 +5,13 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.operators.clean import clean_contract, clean_demographic, clean_financial, clean_service
+from snapmart.operators.clean import FINANCIAL_SPECS, clean_contract, clean_demographic, clean_financial, clean_service
 from snapmart.operators.formats import elect_format
+from snapmart.operators.fuzzy import DEMOGRAPHIC_SPECS
 from snapmart.operators.lookup import staged_lookup
-from snapmart.operators.rows import dedup_report, keep_unique, normalize_headers, parse_snapshot_date
+from snapmart.operators.rows import dedup_report, keep_unique, normalize_headers, normalize_key, parse_snapshot_date
 from snapmart.plans.gold import gold_snapshot
+from snapmart.sources.fits import Fits
 from snapmart.sources.ledger import Ledger
 from snapmart.sources.layers import layer_path, overwrite_snapshots, write_snapshots
 
@@ -39,11 +41,23 @@ def run_bronze(spark: SparkSession, inputs: dict[str, DataFrame], root: str) ->
     return rejected
 
 
-def clean_table(spark: SparkSession, root: str, name: str) -> None:
-    """One cleaned table; a feature table's dates are read in the format elected over that table."""
+def clean_table(spark: SparkSession, root: str, name: str, fingerprint: str | None = None) -> None:
+    """One cleaned table; a feature table's dates are read in the format elected over that table.
+
+    With the ``fingerprint`` of the raw table, fits are kept beside the layers: the dictionary of categories grows by the texts that it has
+    not, and fences are fitted once for each state of the table.
+    """
     raw = spark.read.parquet(layer_path(root, "bronze", name))
+    fits = Fits(spark, f"{root.rstrip('/')}/fits")
     if name == "label":
         write_snapshots(raw, layer_path(root, "silver", name))
+    elif fingerprint and name in ("demographic", "financial"):
+        df = normalize_headers(raw)
+        if name == "demographic":
+            cleaned = clean_demographic(df, fmt=elect_format(df, order="ord_"), dictionary=fits.grow(normalize_key(df, "customerID"), DEMOGRAPHIC_SPECS))
+        else:
+            cleaned = clean_financial(df, order="ord_", fences=fits.fences(df, FINANCIAL_SPECS, fingerprint))
+        cleaned.write.mode("overwrite").parquet(layer_path(root, "silver", name))
     else:
         CLEANERS[name](raw, elect_format(normalize_headers(raw), order="ord_")).write.mode("overwrite").parquet(layer_path(root, "silver", name))
 
@@ -79,7 +93,7 @@ def run_ledgered_layers(spark: SparkSession, inputs: dict[str, DataFrame], root:
         bronze, silver = layer_path(root, "bronze", name), layer_path(root, "silver", name)
         write = partial(write_labels, root=root) if name == "label" else lambda rows, seen, path=bronze: seen(rows).write.mode("overwrite").parquet(path)
         raw = ledger.ingest(f"bronze/{name}", df, bronze, write)
-        cleaned.append(ledger.step(f"silver/{name}", [raw], partial(ledger.rows, bronze), silver, partial(clean_table, spark, root, name)))
+        cleaned.append(ledger.step(f"silver/{name}", [raw], partial(ledger.rows, bronze), silver, partial(clean_table, spark, root, name, raw)))
     labels = layer_path(root, "silver", "label")
     return ledger.step("gold/gold", cleaned, partial(ledger.rows, labels), layer_path(root, "gold", "gold"), partial(run_gold, spark, root, list(inputs)))
 
