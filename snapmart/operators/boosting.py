@@ -5,6 +5,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkContext
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
@@ -28,8 +29,19 @@ def leaf_values(model: GBTClassificationModel) -> np.ndarray:
     return out
 
 
-def staged_margins(model: GBTClassificationModel, rows: DataFrame, label: str) -> DataFrame:
-    """(y, margins): the margin of each row after every round. The model's probability is 1 / (1 + exp(-2 * margin))."""
+def first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model as it was after so many rounds: its first trees, which a fit of that number of rounds would make again."""
+    sc = SparkContext.getOrCreate()
+    tree = sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
+    trees, weights = sc._gateway.new_array(tree, rounds), sc._gateway.new_array(sc._jvm.double, rounds)
+    for i, (fitted, weight) in enumerate(zip(model.trees[:rounds], model.treeWeights[:rounds], strict=True)):
+        trees[i], weights[i] = fitted._java_obj, float(weight)
+    cut = GBTClassificationModel(sc._jvm.org.apache.spark.ml.classification.GBTClassificationModel(model.uid, trees, weights))
+    return cut.setFeaturesCol(model.getFeaturesCol())
+
+
+def staged_margins(model: GBTClassificationModel, rows: DataFrame, label: str, after: int = 0) -> DataFrame:
+    """(y, margins): the margin of each row after every round, those of the first ``after`` rounds left out. The model's probability is 1 / (1 + exp(-2 * margin))."""
     values = leaf_values(model)
     placed = model.transform(rows, {model.leafCol: "_leaf"}).select(F.col(label).cast("int").alias("y"), vector_to_array("_leaf").alias("_leaf"))
 
@@ -37,16 +49,16 @@ def staged_margins(model: GBTClassificationModel, rows: DataFrame, label: str) -
         for batch in batches:
             for part in (batch.slice(lo, ROWS) for lo in range(0, batch.num_rows, ROWS)):
                 leaves = part.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(part.num_rows, len(values))
-                margins = np.cumsum(values[np.arange(len(values)), leaves], axis=1)
-                offsets = pa.array(np.arange(len(margins) + 1, dtype=np.int32) * len(values))
+                margins = np.cumsum(values[np.arange(len(values)), leaves], axis=1)[:, after:]
+                offsets = pa.array(np.arange(len(margins) + 1, dtype=np.int32) * margins.shape[1])
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(offsets, pa.array(margins.ravel()))], ["y", "margins"])
 
     return placed.mapInArrow(run, "y int, margins array<double>")
 
 
-def by_round(margins: DataFrame, groups: list = ()) -> DataFrame:
-    """(groups, round, y, margin) of (groups, y, margins) rows."""
-    return margins.select(*groups, "y", F.posexplode("margins").alias("_k", "margin")).select(*groups, (F.col("_k") + 1).alias("round"), "y", "margin")
+def by_round(margins: DataFrame, groups: list = (), after: int = 0) -> DataFrame:
+    """(groups, round, y, margin) of (groups, y, margins) rows whose margins begin after so many rounds."""
+    return margins.select(*groups, "y", F.posexplode("margins").alias("_k", "margin")).select(*groups, (F.col("_k") + 1 + after).alias("round"), "y", "margin")
 
 
 def round_auc(staged: DataFrame, groups: list = ()) -> DataFrame:

@@ -10,10 +10,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.operators.boosting import PATIENCE, best_rounds, by_round, round_auc, staged_margins
+from snapmart.operators.boosting import PATIENCE, best_rounds, by_round, first_rounds, round_auc, staged_margins
 from snapmart.operators.features import (UNKNOWN, apply_vocabulary, category_vocabulary, deviations)
 from snapmart.operators.lookup import staged_lookup
 from snapmart.operators.ordering import exact_medians, modes
+from snapmart.operators.rows import union_all
 from snapmart.operators.splits import class_weight, class_weight_constants
 from snapmart.operators.target_encoding import TargetEncoding, fit_target_encoding, fold_of
 from snapmart.session import workspace
@@ -21,6 +22,8 @@ from snapmart.session import workspace
 INDEX, ONE_HOT, POOLED, ENCODED = "__index", "__onehot", "__pooled", "__encoded"
 #: Rounds that boosting begins with; if patience has not run out by then, twice as many follow.
 FIRST_ROUNDS = 128
+#: Training rows that are worth a task of their own in each level of a tree.
+TASK_ROWS = 10_000
 
 
 @dataclass
@@ -200,9 +203,9 @@ def fit_boosted_trees(train: DataFrame, validation: DataFrame | None, label: str
     """Boosted trees with balanced weights, at most ``max_iter`` rounds; of these, the ones up to the best AUC on the validation rows stay.
 
     Rounds end when ``patience`` of them in a row are no better than the best before. Spark fits a given number of rounds, so ``FIRST_ROUNDS``
-    are fitted, then twice as many, until patience has run out; the same seed and rows give the same first trees, and the model is the
-    fit of the best round's number. All rounds are judged in one aggregate over the validation rows. Without validation rows, or where
-    these lack a class, all rounds stay.
+    are fitted, then twice as many, until patience has run out; the same seed and rows give the same first trees, so each round is judged
+    once, the new ones of a fit in one aggregate over the validation rows, and the model is the first trees up to the best round. Without
+    validation rows, or where these lack a class, all rounds stay.
 
     Categories are encoded by out-of-fold means of the label, so neither they nor codes for them reach the driver; ``key`` names
     the columns that tell rows apart (by default all features do). A value unseen in training has the average.
@@ -212,30 +215,35 @@ def fit_boosted_trees(train: DataFrame, validation: DataFrame | None, label: str
     features = fit_features(train, numeric, categorical, scale=False, min_frequency=None, fill=UNKNOWN, label=label, key=key)
     inputs = [f"{n}{POOLED}" for n in features.numeric] + [f"{n}{POOLED}{ENCODED}" for n in features.categorical]
     assembler = VectorAssembler(inputCols=inputs, outputCol="features")
-    weights, _ = class_weight_constants(train, label, "w_max")
+    weights, n_train = class_weight_constants(train, label, "w_max")
+    tasks = max(1, min(train.sparkSession.sparkContext.defaultParallelism, n_train // TASK_ROWS))
 
     def assembled(df, fold=None):
         weight = class_weight(F.col(label), weights).alias("weight")
-        return staged_lookup(assembler.transform(features.transform(df, fold)).select(label, weight, "features"))
+        return assembler.transform(features.transform(df, fold)).select(label, weight, "features")
 
-    # boosting reads its input once per level and round: the assembled rows are written
-    data, held_out = assembled(train, fold_of(key)), None if validation is None else assembled(_ready(validation, label))
+    # boosting reads its input once per level and round: the assembled rows are written, in as many files as tasks are to share each level
+    data = staged_lookup(assembled(train, fold_of(key)).repartition(tasks))
+    held_out = None if validation is None else staged_lookup(assembled(_ready(validation, label)))
 
     def fitted(rounds):
         return GBTClassifier(featuresCol="features", labelCol=label, weightCol="weight", maxIter=rounds, stepSize=step, maxDepth=depth,
                              seed=seed, checkpointInterval=20).fit(data)
 
-    rounds, best = max_iter if held_out is None else min(max_iter, FIRST_ROUNDS), None
+    rounds = max_iter if held_out is None else min(max_iter, FIRST_ROUNDS)
+    known, best, judged = 0, None, []
     model = fitted(rounds)
     while held_out is not None:
-        best = best_rounds(round_auc(by_round(staged_margins(model, held_out, label))), patience=patience).first()
+        judged.append(staged_lookup(round_auc(by_round(staged_margins(model, held_out, label, known), after=known))))
+        best = best_rounds(union_all(judged), patience=patience).first()
         if best is None or best["stopped"] or rounds == max_iter:
             break
-        rounds = min(max_iter, 2 * rounds)
+        known, rounds = rounds, min(max_iter, 2 * rounds)
         model = fitted(rounds)
-    wanted = best["best_round"] if best else max_iter
-    if wanted != rounds:
-        model = fitted(wanted)
+    if best:
+        model = first_rounds(model, best["best_round"])
+    elif rounds < max_iter:
+        model = fitted(max_iter)
     info = {"kind": "trees", "label": label, "rounds": model.getNumTrees, "best_auc": best and best["best_auc"]}
     return SnapshotModel(features, PipelineModel(stages=[assembler, model]), info)
 
@@ -243,6 +251,7 @@ def fit_boosted_trees(train: DataFrame, validation: DataFrame | None, label: str
 def feature_importance(model: SnapshotModel, spark: SparkSession) -> DataFrame:
     names = model.features.numeric + model.features.categorical
     values = model.pipeline.stages[-1].featureImportances.toArray()
+    values = [*values, *[0.0] * (len(names) - len(values))]  # of a cut model they end with the last feature that a tree uses
     table = spark.createDataFrame([(n, float(v)) for n, v in zip(names, values, strict=True)],
                                   "feature string, importance double")
     return table.orderBy(F.desc("importance"), "feature")

@@ -131,3 +131,46 @@ def test_one_text_per_row_is_fitted_without_a_collect(spark, monkeypatch):
     model = models.fit_boosted_trees(rows, None, "y", ["x"], ["c"], max_iter=2, depth=2, key=["id"])
     assert model.features.encoding.table.count() == 3000 and max(collected) <= 16
     assert model.features.vocabulary is None and model.score(rows.limit(5)).count() == 5
+
+
+def test_no_round_is_fitted_or_judged_for_its_number_alone(frame, monkeypatch):
+    """The cut model is the first trees of the last fit, and each fit judges its new rounds only."""
+    monkeypatch.setattr(models, "FIRST_ROUNDS", 4)
+    fits, judged = [], []
+    fit, margins = models.GBTClassifier.fit, models.staged_margins
+    monkeypatch.setattr(models.GBTClassifier, "fit", lambda self, data: fits.append(self.getMaxIter()) or fit(self, data))
+    monkeypatch.setattr(models, "staged_margins", lambda model, rows, label, after=0: judged.append((after, model.getNumTrees)) or margins(model, rows, label, after))
+    train, test = frame.filter("id % 3 > 0"), frame.filter("id % 3 = 0")
+    model = models.fit_boosted_trees(train, test, "y", ["x", "z"], ["c"], max_iter=40, step=0.3, depth=3, patience=5)
+    assert fits == [4 * 2 ** i for i in range(len(fits))][:-1] + [min(40, 4 * 2 ** (len(fits) - 1))]
+    assert judged == list(zip([0, *fits], fits)) and model.info["rounds"] < fits[-1]
+    whole = models.fit_boosted_trees(train, None, "y", ["x", "z"], ["c"], max_iter=model.info["rounds"], step=0.3, depth=3)
+    got, wanted = ({r["id"]: r["p"] for r in m.score(test).collect()} for m in (model, whole))
+    assert got == pytest.approx(wanted)
+    importance = {r["feature"]: r["importance"] for r in models.feature_importance(model, frame.sparkSession).collect()}
+    assert importance == pytest.approx({r["feature"]: r["importance"] for r in models.feature_importance(whole, frame.sparkSession).collect()})
+
+
+def test_cut_model_is_stored(frame, tmp_path):
+    fitted = models.fit_boosted_trees(frame, None, "y", ["x", "z"], [], max_iter=5, depth=2)
+    cut = boosting.first_rounds(fitted.pipeline.stages[-1], 3)
+    model = models.SnapshotModel(fitted.features, models.PipelineModel(stages=[fitted.pipeline.stages[0], cut]), fitted.info)
+    model.save(frame.sparkSession, f"{tmp_path}/m")
+    again = models.load_model(frame.sparkSession, f"{tmp_path}/m")
+    rows = {r["id"]: r["p"] for r in model.score(frame).collect()}
+    assert again.pipeline.stages[-1].getNumTrees == 3 and {r["id"]: r["p"] for r in again.score(frame).collect()} == pytest.approx(rows)
+
+
+def test_validation_rows_of_one_class_leave_all_rounds(frame, monkeypatch):
+    monkeypatch.setattr(models, "FIRST_ROUNDS", 2)
+    assert models.fit_boosted_trees(frame, frame.filter("y = 1"), "y", ["x"], [], max_iter=5, depth=2).info["rounds"] == 5
+
+
+def test_training_rows_are_shared_by_tasks(spark, monkeypatch):
+    """Rows that come out of one file are fitted by several tasks."""
+    monkeypatch.setattr(models, "TASK_ROWS", 100)
+    rows = spark.range(400).coalesce(1).select("id", (F.col("id") % 7 / 7.0).alias("x"), (F.xxhash64("id") % 2 == 0).cast("int").alias("y"))
+    found, fit = [], models.GBTClassifier.fit
+    monkeypatch.setattr(models.GBTClassifier, "fit", lambda self, data: found.append(data.rdd.getNumPartitions()) or fit(self, data))
+    models.fit_boosted_trees(rows, None, "y", ["x"], [], max_iter=1, depth=2, key=["id"])
+    assert found[0] >= 4
