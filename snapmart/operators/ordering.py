@@ -46,7 +46,8 @@ def running_sums(df: DataFrame, groups: list, value: str, sums: dict[str, Column
         """``frame`` with the sums before its range added; null-safe, so that a group whose key is NULL keeps its rows."""
         renamed = offsets.select(*[F.col(c).alias(f"_of_{c}") for c in part], *[F.col(f"{n}_before").alias(f"_of_{n}") for n in names], *[f"{n}_total" for n in names])
         same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in part]
-        found = frame.join(renamed, same)
+        # never broadcast: sorted sums compress so well in the shuffle that what looks small there would fill the driver
+        found = frame.join(renamed.hint("merge"), same)
         return found.withColumns({f"{n}_before": F.col(f"_of_{n}") + F.col(f"{n}_before") for n in names}).drop(*[f"_of_{c}" for c in [*part, *names]])
 
     # Sums of the ranges of every level, the finest first.

@@ -16,10 +16,13 @@ def latest_features(df: DataFrame, name: str, key: str, order: str, snap: str =
 
 
 def join_tables(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Inner join on ``key``; a column that both sides have becomes ``_x`` (left) and ``_y`` (right)."""
+    """Inner join on ``key``; a column that both sides have becomes ``_x`` (left) and ``_y`` (right).
+
+    Merged, never broadcast: a customer table of a few compressed megabytes is many times that in the driver, and several are joined at once.
+    """
     both = set(left.columns) & set(right.columns) - {key}
     return (left.withColumnsRenamed({c: f"{c}_x" for c in both})
-            .join(right.withColumnsRenamed({c: f"{c}_y" for c in both}), key))
+            .join(right.withColumnsRenamed({c: f"{c}_y" for c in both}).hint("merge"), key))
 
 
 def gold_snapshot(labels: DataFrame, features: dict[str, DataFrame], key: str = "customerID",

@@ -329,3 +329,23 @@ def test_gold_snapshot_small(spark):
     assert got.columns == ["customerID", "snapdate", "Churn", "Contract", "contract_snapdate", "Plan"]
     assert pairs(got, "customerID", "snapdate", "Churn", "Contract", "Plan") == [
         ("a", dt.date(2024, 1, 1), "No", "x", "s2"), ("a", dt.date(2024, 2, 1), "No", "x", "s2")]
+
+
+def joins_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_running_sums_and_gold_are_not_broadcast(spark):
+    """Their tables grow with the rows, however few compressed bytes they are."""
+    from pyspark.sql import functions as F
+
+    from snapmart.operators.ordering import running_sums
+    from snapmart.plans.gold import join_tables
+
+    rows = spark.createDataFrame([("a", 0.5, 1), ("a", 0.25, 2), (None, 0.5, 3)], "g string, v double, n bigint")
+    sums = running_sums(rows, ["g"], "v", {"n": F.sum("n")})
+    assert {(r["g"], r["v"], r["n_before"], r["n_total"]) for r in sums.collect()} == {("a", 0.25, 0, 3), ("a", 0.5, 2, 3), (None, 0.5, 0, 3)}
+    both = join_tables(rows, rows, "g")
+    assert both.count() == 4
+    for df in (sums, both):
+        assert "Broadcast" not in joins_of(df) and "SortMergeJoin" in joins_of(df)
