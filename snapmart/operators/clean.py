@@ -7,9 +7,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.functions.dates import ISO_DATE, parse_date
-from snapmart.functions.numbers import cap_at, parse_number, round_half_even
+from snapmart.functions.numbers import cap_at, null_nan, parse_number, round_half_even
 from snapmart.operators.fuzzy import DEMOGRAPHIC_SPECS, canonicalize
-from snapmart.operators.ordering import exact_quantiles
+from snapmart.operators.ordering import long_values, quantiles_of_counts
 from snapmart.operators.rows import compute_once, distinct_rows, drop_value, normalize_headers, normalize_key
 
 ORDER = "ord_"
@@ -73,10 +73,18 @@ FINANCIAL_KEEP = ("MonthlyCharges", "AverageDataUsage", "AppLoginFrequency",
 
 
 def iqr_fences(df: DataFrame, specs: dict[str, NumericSpec]) -> dict:
-    """Fit ``{column: {"q1", "q3", "upper"}}`` of all fenced columns together."""
-    values = {c: s.fenced(s.base(parse_number(F.col(c)))) for c, s in specs.items()}
+    """Fit ``{column: {"q1", "q3", "upper"}}`` of all fenced columns together.
+
+    Equal cells are combined map-side before they are parsed, so a text is parsed once, after the shuffle.
+    """
+    cells = long_values(df, {c: F.col(c).cast("string") for c in specs}, values="text").groupBy("column", "text").agg(F.count(F.lit(1)).alias("_n"))
+    parsed = compute_once(cells, {"_num": parse_number(F.col("text"))})
+    value = F.lit(None).cast("double")
+    for c, s in specs.items():
+        value = F.when(F.col("column") == c, s.fenced(s.base(F.col("_num")))).otherwise(value)
+    counted = parsed.select("column", null_nan(value).alias("value"), "_n")
     return {c: q | {"upper": q["q3"] + specs[c].iqr_k * max(q["q3"] - q["q1"], 0.0)}
-            for c, q in exact_quantiles(df, values, QUARTILES).items()}
+            for c, q in quantiles_of_counts(counted, QUARTILES).items()}
 
 
 def clean_numeric(df: DataFrame, specs: dict[str, NumericSpec], fences: dict | None = None) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from snapmart.functions import text
 from snapmart.operators.lookup import lookup_join, staged_lookup
 from snapmart.operators.ordering import long_values
+from snapmart.operators.rows import compute_once
 
 
 @dataclass(frozen=True)
@@ -75,12 +76,29 @@ def best_match_udf(choices_by_column: dict):
 
 def distinct_texts(df: DataFrame, specs: dict[str, FuzzySpec]) -> DataFrame:
     """(column, text, known) of the distinct normalised values of all columns, combined map-side."""
-    texts = df.select(*[s.prepare(F.col(c)).alias(c) for c, s in specs.items()])
-    values = long_values(texts, {c: F.col(c) for c in specs}, values="text").distinct()
-    known = F.lit(None).cast("string")
-    for c, s in specs.items():
-        known = F.when(F.col("column") == c, s.known(F.col("text"))).otherwise(known)
-    return values.withColumn("known", known)
+    return _known(raw_texts(df, specs).filter(F.col("text").isNotNull()).select("column", "text").distinct(), specs)
+
+
+def raw_texts(df: DataFrame, specs: dict[str, FuzzySpec]) -> DataFrame:
+    """(column, raw, text): the distinct cells of all columns, NULL read as ``as_text`` does, and their normalised texts.
+
+    Equal cells are combined map-side before they are normalised, so patterns are matched once for each text, after the shuffle and not
+    in the tasks of the scan.
+    """
+    raws = long_values(df, {c: text.as_text(F.col(c)) for c in specs}, values="raw").distinct()
+    return compute_once(raws, {"text": _by_column({c: s.prepare(F.col("raw")) for c, s in specs.items()})})
+
+
+def _by_column(values: dict[str, Column]) -> Column:
+    """The expression of the column that a (column, ...) row is of."""
+    out = F.lit(None).cast("string")
+    for c, value in values.items():
+        out = F.when(F.col("column") == c, value).otherwise(out)
+    return out
+
+
+def _known(texts: DataFrame, specs: dict[str, FuzzySpec]) -> DataFrame:
+    return compute_once(texts, {"known": _by_column({c: s.known(F.col("text")) for c, s in specs.items()})})
 
 
 def _is_choice(specs: dict[str, FuzzySpec], value: str) -> Column:
@@ -105,8 +123,11 @@ def fuzzy_dictionary(df: DataFrame, specs: dict[str, FuzzySpec]) -> DataFrame:
 
 
 def category_dictionary(df: DataFrame, specs: dict[str, FuzzySpec]) -> DataFrame:
-    """(column, text, value): the canonical value of every distinct normalised text that has one."""
-    return valued(distinct_texts(df, specs), specs).filter(F.col("value").isNotNull())
+    """(column, raw, value): the canonical value of every distinct cell that has one, NULL as ``raw_texts`` has it."""
+    raws = staged_lookup(raw_texts(df, specs))
+    texts = _known(raws.filter(F.col("text").isNotNull()).select("column", "text").distinct(), specs)
+    values = staged_lookup(valued(texts, specs).filter(F.col("value").isNotNull()))
+    return raws.join(values, ["column", "text"]).select("column", "raw", "value")
 
 
 def valued(texts: DataFrame, specs: dict[str, FuzzySpec]) -> DataFrame:
@@ -124,16 +145,16 @@ def valued(texts: DataFrame, specs: dict[str, FuzzySpec]) -> DataFrame:
 def canonicalize(df: DataFrame, specs: dict[str, FuzzySpec], dictionary: DataFrame | None = None) -> DataFrame:
     """Replace each column of ``specs`` by its canonical value, or NULL where none is close enough.
 
-    A stored ``dictionary`` (column, text, value) that has all texts of ``df`` is taken as it is. Without one,
-    only distinct texts reach Python. The dictionary is written, so that Spark knows its bytes and decides
-    between broadcast and shuffle; the rows themselves are never sent to Python.
+    A stored ``dictionary`` (column, text, value) that has all texts of ``df`` is taken as it is, and rows are normalised to meet it. Without
+    one, only distinct cells are normalised and only distinct texts reach Python; rows meet the dictionary by their cells. The dictionary is
+    written, so that Spark knows its bytes and decides between broadcast and shuffle; the rows themselves are never sent to Python.
     """
     specs = {c: s for c, s in specs.items() if c in df.columns}
     if not specs:
         return df
-    table = staged_lookup(category_dictionary(df, specs)) if dictionary is None else dictionary
-    out = df.withColumns({f"_text_{c}": s.prepare(F.col(c)) for c, s in specs.items()})
+    table, found = (staged_lookup(category_dictionary(df, specs)), "raw") if dictionary is None else (dictionary, "text")
+    out = df.withColumns({f"_text_{c}": text.as_text(F.col(c)) if found == "raw" else s.prepare(F.col(c)) for c, s in specs.items()})
     for c in specs:
-        part = table.filter(F.col("column") == c).select(F.col("text").alias(f"_text_{c}"), F.col("value").alias(f"_value_{c}"))
+        part = table.filter(F.col("column") == c).select(F.col(found).alias(f"_text_{c}"), F.col("value").alias(f"_value_{c}"))
         out = lookup_join(out, part, [f"_text_{c}"])
     return out.select(*[F.col(f"_value_{c}").alias(c) if c in specs else F.col(c) for c in df.columns])

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapmart.functions.numbers import null_nan, order_key
+from snapmart.operators.lookup import staged_lookup
 
 #: Leading bits of the nested ranges of running sums.
 LEVELS = (9, 24, 39)
@@ -73,16 +74,21 @@ def long_values(df: DataFrame, columns: dict[str, Column], names="column", value
 def exact_quantiles(df: DataFrame, columns: dict[str, Column], probs: dict[str, float]) -> dict:
     """Fit exact quantiles with linear interpolation: ``{column: {prob name: value}}``.
 
-    Rank selection in three narrowing passes over the pruned columns: counts of coarse
-    ranges, of the fine ranges inside the hit coarse ones, and of the values inside the hit
-    ranges. Only counts are
+    The columns are read once: equal values are combined map-side and written with their counts. Rank selection then takes
+    three narrowing passes over the counts: of coarse ranges, of the fine ranges inside the hit coarse ones, and of the
+    values inside the hit ranges. Only counts are
     shuffled, and no task sees more than the members of one range, whereas the built-in exact
     percentile keeps all distinct values of a column in one task. The driver gets at most two
     rows per column and probability and pass. NULL and NaN take no part; a column without
     values is absent.
     """
-    data = long_values(df, {n: null_nan(e) for n, e in columns.items()})
-    data = data.select("column", "value", *[
+    return quantiles_of_counts(long_values(df, {n: null_nan(e) for n, e in columns.items()}).withColumn("_n", F.lit(1)), probs)
+
+
+def quantiles_of_counts(counted: DataFrame, probs: dict[str, float]) -> dict:
+    """``exact_quantiles`` of (column, value, _n) rows that stand for ``_n`` equal values each; a NULL value takes no part."""
+    data = staged_lookup(counted.filter(F.col("value").isNotNull()).groupBy("column", "value").agg(F.sum("_n").alias("_n")))
+    data = data.select("column", "value", "_n", *[
         order_key(F.col("value"), bits).alias(f"_r{bits}") for bits in (COARSE_BITS, FINE_BITS)])
 
     coarse, fine = f"_r{COARSE_BITS}", f"_r{FINE_BITS}"
@@ -113,7 +119,7 @@ def exact_quantiles(df: DataFrame, columns: dict[str, Column], probs: dict[str,
 
 def _cumulated(frame: DataFrame, group: list, child: str) -> DataFrame:
     """Counts per child with the ranks ``_lo`` (first) and ``_hi`` (one past the last) in its group."""
-    counts = frame.groupBy(*group, child).agg(F.count(F.lit(1)).alias("_n"))
+    counts = frame.groupBy(*group, child).agg(F.sum("_n").alias("_n"))
     w = Window.partitionBy(*group).orderBy(child).rowsBetween(Window.unboundedPreceding, 0)
     return counts.withColumn("_hi", F.sum("_n").over(w)).withColumn("_lo", F.col("_hi") - F.col("_n"))
 

@@ -349,3 +349,32 @@ def test_running_sums_and_gold_are_not_broadcast(spark):
     assert both.count() == 4
     for df in (sums, both):
         assert "Broadcast" not in joins_of(df) and "SortMergeJoin" in joins_of(df)
+
+
+def test_quantiles_read_their_rows_once(spark):
+    from pyspark.sql import functions as F
+
+    from snapmart.operators.ordering import exact_quantiles
+
+    read = spark.sparkContext.accumulator(0)
+
+    def value(i):
+        read.add(1)
+        return float(i * 37 % 101)
+
+    rows = spark.range(200).select(F.udf(value, "double")("id").alias("x"))
+    values = sorted(float(i * 37 % 101) for i in range(200))
+    assert exact_quantiles(rows, {"x": F.col("x")}, {"half": 0.5, "low": 0.0}) == {"x": {"half": (values[99] + values[100]) / 2, "low": values[0]}}
+    assert read.value == 200
+
+
+def test_rows_are_not_normalised_without_a_dictionary(spark):
+    """Patterns are matched for distinct cells only; NULL cells and numbers meet the dictionary as texts."""
+    from snapmart.operators.fuzzy import DEMOGRAPHIC_SPECS, canonicalize, category_dictionary
+
+    rows = spark.createDataFrame([(" Femail", 1.0), (None, None), ("FEMALE", 0.0), ("male ", 1.0), (" male", 2.0)], "gender string, Partner double")
+    specs = {c: DEMOGRAPHIC_SPECS[c] for c in rows.columns}
+    out = canonicalize(rows, specs)
+    assert [(r["gender"], r["Partner"]) for r in out.collect()] == [("female", "Yes"), (None, None), ("female", "No"), ("male", "Yes"), ("male", None)]
+    assert "regexp_replace" not in joins_of(out)
+    assert category_dictionary(rows.unionByName(rows), specs).count() == 6
