@@ -2,6 +2,8 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
+
 from snapmart.llm import parsing, substring_dedup
 
 N = parsing.LENGTH
@@ -72,3 +74,37 @@ def test_edge_cases(edge, nothing):
     by = {r["doc_id"]: r for r in found if r["doc_id"] is not None}
     assert by[2]["n_bytes"] == 0 and by[3]["n_removed"] == 0 and by[4]["n_removed"] == by[4]["n_bytes"] and by[8]["n_removed"] == by[8]["n_bytes"] - 4
     assert substring_dedup.dedup(nothing).count() == 0
+
+
+def test_phrases_of_a_core_against_counts_of_their_windows():
+    rng = random.Random(11)
+    for _ in range(400):
+        base = "".join(rng.choices("ab", k=1300))
+        phrases = []
+        for _ in range(rng.randrange(2, 9)):
+            text = list(base)
+            for _ in range(rng.randrange(3)):
+                text[rng.randrange(1300)] = rng.choice("xy")
+            before = rng.randrange(N - parsing.GRAM + 1)
+            phrases.append((before, "".join(text[500 - before:500 + N - rng.randrange(before + 1)]).encode()))
+        windows = [{(before - at, text[at:at + N]): at for at in range(len(text) - N + 1)} for before, text in phrases]
+        counts = Counter(w for found in windows for w in found)
+        again = [[at for w, at in found.items() if counts[w] > 1] for found in windows]
+        assert substring_dedup.equal_windows(phrases) == [(min(a), max(a)) if a else None for a in again]
+
+
+def test_parsing_looks_up_ranges_not_windows(monkeypatch):
+    """The windows between two triggers are one range: only those without a trigger of the first rank are looked up one by one."""
+    data = np.random.default_rng(5).integers(97, 123, 200_000).astype(np.uint8)
+    looked_up = []
+    search = np.searchsorted
+
+    def counted(a, v, *args, **more):
+        looked_up.append(np.size(v))
+        return search(a, v, *args, **more)
+
+    monkeypatch.setattr(np, "searchsorted", counted)
+    text, first, last, core, core_end = parsing.runs(data, np.array([0, 120_000]), np.array([120_000, 200_000]))
+    assert int((last - first + 1).sum()) == len(data) - 2 * (N - 1)
+    assert (first <= last).all() and (last <= core).all() and (core_end <= first + N).all()
+    assert sum(looked_up) < len(data) / 3
